@@ -17,6 +17,6 @@ def first_copies(transactions: DataFrame, key: str, order: list[str]) -> DataFra
     return copies.select(key, "copy.*").select(transactions.columns)
 
 
-def stream_copies(transactions: DataFrame, key: str, time: str, delay: str) -> DataFrame:
-    """One copy per key in a stream, for copies that arrive within ``delay``."""
-    return transactions.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+def stream_copies(transactions: DataFrame, key: str) -> DataFrame:
+    """One copy per key in a stream, for copies within its watermark's delay."""
+    return transactions.dropDuplicatesWithinWatermark([key])
