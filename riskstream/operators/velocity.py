@@ -44,23 +44,26 @@ def tumbling(transactions: DataFrame, seconds: float = 6 * HOUR) -> DataFrame:
     )
 
 
+# Up to this many overlapping windows per row, copying rows before the map-side
+# reduction costs less than a second shuffle.
+FEW_WINDOWS = 4
+
+
 def sliding(
     transactions: DataFrame, seconds: float = 6 * HOUR, slide: float = 2 * HOUR
 ) -> DataFrame:
-    """Count per user and overlapping window.
+    """Count per user and overlapping window; batch or stream.
 
-    A window is a run of slide-long panes. In batch the rows are counted once
-    per pane and only the counts are copied to the windows that overlap it; a
-    stream keeps Spark's own window state.
+    A window is a run of slide-long panes. When many windows overlap, a batch
+    counts its rows once per pane and copies only the counts to the windows.
     """
     length, step = round(seconds * SECOND), round(slide * SECOND)
-    if transactions.isStreaming or length % step:
-        counted = (
+    if transactions.isStreaming or length % step or length // step <= FEW_WINDOWS:
+        return (
             transactions.groupBy(F.window("ts", _clock(seconds), _clock(slide)), "user_id")
             .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("window_start", F.col("window.start"))
+            .select(F.col("window.start").alias("window_start"), "user_id", "n")
         )
-        return counted.select("window_start", "user_id", "n")
     panes = transactions.groupBy("user_id", _pane(F.unix_micros("ts"), step).alias("pane")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -103,70 +106,86 @@ def sessions(transactions: DataFrame, gap: float = 6 * HOUR) -> DataFrame:
 
 
 # What happens at one instant of the trailing window, in this order.
-_CARRY, _ENTERS, _LEAVES = 0, 1, 2
+_HELD, _ENTERS, _LEAVES = 0, 1, 2
+
+# Users with more rows than this are split by time. At most one user in
+# ``rows / BUSY_ROWS`` can be: 250,000 of 10^12 rows, a few megabytes of ids.
+BUSY_ROWS = 4_000_000
+SPLITS = 64
+
+
+def busy_users(transactions: DataFrame, rows: int = BUSY_ROWS) -> DataFrame:
+    """Users with more than ``rows`` rows; counted map side, from one column."""
+    counts = transactions.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > rows).select(F.col("user_id").alias("busy_user"))
 
 
 def trailing(
     transactions: DataFrame,
     seconds: float = 6 * HOUR,
-    splits: int = 6,
     keep: tuple[str, ...] = ("transaction_id", "user_id", "ts"),
+    busy_rows: int = BUSY_ROWS,
+    splits: int = SPLITS,
 ) -> DataFrame:
     """Per transaction, count and mean amount of its user over ``[ts - d, ts]``.
 
-    Every row enters the window at ``ts`` and leaves it after ``ts + d``; the
-    answer is a running sum of entries and exits, linear in the rows where a
-    sliding frame would add up each frame anew. The sum runs inside one user's
-    pane (a ``splits``-th of the window). What the panes before it still hold
-    comes from their totals, reduced map side, as the pane's first event. More
-    ``splits`` cut a busy user finer.
+    Each row enters the window at ``ts`` and leaves it after ``ts + d``, and a
+    running sum of entries and exits gives the answer: linear in the rows, where
+    a sliding frame would add up each frame anew. A user of at most
+    ``busy_rows`` rows is one group. A busier one is a group per pane (a
+    ``splits``-th of the window); what the window already holds when a pane
+    begins comes from the totals of the panes before it, reduced map side.
     """
-    pane = round(seconds * SECOND) // splits
-    length = pane * splits
-    if length != round(seconds * SECOND):
+    length = round(seconds * SECOND)
+    if length % splits:
         raise ValueError("splits must divide the window into whole microseconds")
-    carried = [c for c in keep if c != "user_id"]
-
-    rows = transactions.select(
-        "user_id",
-        F.unix_micros("ts").alias("at"),
-        micros(F.col("amount")).alias("worth"),
-        F.struct(*carried).alias("row"),
+    short = length // splits
+
+    busy = F.broadcast(busy_users(transactions, busy_rows).withColumn("busy", F.lit(True)))
+    # Rows without a user count as one user, who may be the busiest.
+    is_busy = F.col("user_id").eqNullSafe(F.col("busy_user"))
+    extra = [] if "user_id" in keep else ["user_id"]
+    rows = (
+        transactions.withColumns({"at": F.unix_micros("ts"), "worth": micros(F.col("amount"))})
+        .join(busy, is_busy, "left")
+        .select(*keep, *extra, "at", "worth", "busy")
     )
-    no_row = F.lit(None).cast(rows.schema["row"].dataType).alias("row")
-
-    def event(at: Column, kind: int, n: Column, worth: Column, row: Column) -> list[Column]:
-        return [
-            at.alias("at"),
-            F.lit(kind).alias("kind"),
-            n.cast("bigint").alias("n"),
-            worth.alias("worth"),
-            row,
-        ]
-
-    at, worth = F.col("at"), F.col("worth")
-    enters = F.struct(*event(at, _ENTERS, F.lit(1), worth, F.col("row")))
-    leaves = F.struct(*event(at + F.lit(length), _LEAVES, F.lit(-1), -worth, no_row))
-    events = rows.select("user_id", F.explode(F.array(enters, leaves)).alias("e")).select(
-        "user_id", _pane(F.col("e.at"), pane).alias("pane"), "e.*"
+    pane = F.when(F.col("busy"), _pane(F.col("at"), short)).otherwise(0)
+
+    enters = F.col("kind") == _ENTERS
+    events = (
+        rows.withColumn("kind", F.explode(F.array(F.lit(_ENTERS), F.lit(_LEAVES))))
+        .withColumn("at", F.col("at") + F.when(enters, 0).otherwise(length))
+        .select(
+            *[F.when(enters, F.col(c)).alias(c) for c in keep if c != "user_id"],
+            "user_id",
+            pane.alias("pane"),
+            "at",
+            "kind",
+            F.when(enters, 1).otherwise(-1).cast("bigint").alias("n"),
+            F.when(enters, F.col("worth")).otherwise(-F.col("worth")).alias("worth"),
+        )
     )
-
-    held = Window.partitionBy("user_id").orderBy("pane").rangeBetween(-length, -1)
-    carry = (
-        rows.groupBy("user_id", _pane(at, pane).alias("pane"))
+    before = Window.partitionBy("user_id").orderBy("pane").rangeBetween(-length, -1)
+    held = (
+        rows.where("busy")
+        .groupBy("user_id", pane.alias("pane"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("worth").alias("worth"))
-        .withColumns({"n": F.sum("n").over(held), "worth": F.sum("worth").over(held)})
+        .withColumns({"n": F.sum("n").over(before), "worth": F.sum("worth").over(before)})
         .where(F.col("n").isNotNull())
-        .select("user_id", "pane", *event(F.col("pane"), _CARRY, F.col("n"), worth, no_row))
+        .select(
+            "user_id", "pane", F.col("pane").alias("at"), F.lit(_HELD).alias("kind"), "n", "worth"
+        )
     )
     # The default frame takes in all events of the same instant and kind.
     running = Window.partitionBy("user_id", "pane").orderBy("at", "kind")
     return (
-        events.unionByName(carry)
+        events.unionByName(held, allowMissingColumns=True)
         .withColumns({"n": F.sum("n").over(running), "worth": F.sum("worth").over(running)})
-        .where(F.col("kind") == _ENTERS)
-        .select("user_id", "row.*", "n", (from_micros(worth) / F.col("n")).alias("mean"))
-        .select(*keep, "n", half_up(F.col("mean"), 2).alias("mean_amount"))
+        .where(enters)
+        .select(
+            *keep, "n", half_up(from_micros(F.col("worth")) / F.col("n"), 2).alias("mean_amount")
+        )
     )
 
 

@@ -341,10 +341,8 @@ def gen_transactions(spark, folder):
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    table = f"{folder}/events.parquet"
-    declared = spark.read.parquet(table).schema
     # A file stream takes a folder or a pattern; this one matches the one table.
-    stream = spark.readStream.schema(declared).parquet(f"{folder}/events.parque[t]")
+    stream = spark.readStream.schema(events.EVENTS).parquet(f"{folder}/events.parque[t]")
     return alerts.transaction_messages(events.as_transactions(stream))
 
 

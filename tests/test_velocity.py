@@ -1,4 +1,5 @@
 import random
+import re
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from datetime import datetime, timedelta, timezone
@@ -31,12 +32,13 @@ def skewed():
         (f"u{rng.randrange(40)}", rng.randrange(0, 200_000), rng.randrange(1, 100))
         for _ in range(1300)
     ]
-    tied = [("hot", 50_000, 1)] * 50 + [("hot", 50_000 + 6 * 3600, 1)] * 5
+    unkeyed = [(None, rng.randrange(0, 100_000), 1) for _ in range(100)]
+    tied = unkeyed + [("hot", 50_000, 1)] * 50 + [("hot", 50_000 + 6 * 3600, 1)] * 5
     return hot + rest + tied
 
 
-@pytest.mark.parametrize("splits", [1, 2, 6, 48])
-def test_trailing_against_brute_force(spark, skewed, splits):
+@pytest.mark.parametrize("busy_rows, splits", [(10**6, 64), (500, 1), (500, 6), (0, 2), (30, 64)])
+def test_trailing_against_brute_force(spark, skewed, busy_rows, splits):
     by_user = defaultdict(list)
     for user, s, amount in skewed:
         by_user[user].append((s, amount))
@@ -44,7 +46,9 @@ def test_trailing_against_brute_force(spark, skewed, splits):
     for i, (user, s, _) in enumerate(skewed):
         held = [a for t, a in by_user[user] if s - 6 * 3600 <= t <= s]
         expected[str(i)] = (len(held), sum(held) / len(held))
-    found = velocity.trailing(frame(spark, skewed), splits=splits).collect()
+    found = velocity.trailing(
+        frame(spark, skewed), busy_rows=busy_rows, splits=splits
+    ).collect()
     assert len(found) == len(skewed)
     for row in found:
         n, mean = expected[row.transaction_id]
@@ -63,13 +67,14 @@ def test_trailing_before_the_epoch(spark):
     assert found == [(1, 1.0), (2, 2.0)]
 
 
-def test_sliding_against_brute_force(spark, skewed):
+@pytest.mark.parametrize("overlap", [1, 3, 12])
+def test_sliding_against_brute_force(spark, skewed, overlap):
     expected = defaultdict(int)
     for user, s, _ in skewed:
         pane = s // 7200 * 7200
-        for k in range(3):
+        for k in range(overlap):
             expected[user, pane - k * 7200] += 1
-    found = velocity.sliding(frame(spark, skewed)).withColumn(
+    found = velocity.sliding(frame(spark, skewed), overlap * 7200, 7200).withColumn(
         "start", F.unix_micros("window_start")
     )
     base = int(BASE.timestamp())
@@ -102,7 +107,7 @@ def test_bursts_of_generated_traffic(spark):
     made = datagen.transactions(spark.range(300)).withColumn(
         "ts", F.col("timestamp").cast("timestamp")
     )
-    flagged = velocity.bursts(velocity.trailing(made, seconds=10, splits=2), 5)
+    flagged = velocity.bursts(velocity.trailing(made, seconds=10), 5)
     users = {r.user_id for r in flagged.collect()}
     expected = {
         r.user_id
@@ -111,13 +116,18 @@ def test_bursts_of_generated_traffic(spark):
     assert users == expected
 
 
-def test_no_user_is_gathered_whole(spark, skewed):
-    """Only pane totals may be grouped by user alone."""
+def test_only_reduced_rows_are_grouped_by_user_alone(spark, skewed):
     plan = velocity.trailing(frame(spark, skewed))._jdf.queryExecution().executedPlan().toString()
-    by_user = [
-        line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line
-    ]
-    assert by_user and all("pane" in line for line in by_user if "user_id" in line and "e#" in line)
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        found = re.search(r"Exchange hashpartitioning\(([^)]*)", line)
+        if found and "pane" not in found.group(1):
+            assert any("HashAggregate" in below for below in lines[i + 1 : i + 6])
+
+
+def test_busy_users(spark, skewed):
+    rows = frame(spark, skewed)
+    assert [r.busy_user for r in velocity.busy_users(rows, 500).collect()] == ["hot"]
 
 
 def test_first_copies_keep_the_earliest(spark):
