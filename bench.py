@@ -65,10 +65,12 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     model.pinned(spark)
-    seconds = {}
-    for name in HEADLINE:
-        timed(spark, name)  # warm-up: code generation and file caches
-        seconds[name] = round(statistics.median(timed(spark, name) for _ in range(REPEATS)), 4)
+    for name in HEADLINE:  # warm-up: compiled code and file caches
+        timed(spark, name)
+    seconds = {
+        name: round(statistics.median(timed(spark, name) for _ in range(REPEATS)), 4)
+        for name in HEADLINE
+    }
     events = pq.read_metadata(f"{FOLDER}/events.parquet").num_rows
     print(
         json.dumps(

@@ -45,3 +45,8 @@ def uuid_text(hex_digits: Column) -> Column:
         part(1, 8), F.lit("-"), part(9, 4), F.lit("-4"), part(14, 3),
         F.lit("-a"), part(18, 3), F.lit("-"), part(21, 12),
     )
+
+
+def coin(hex_digits: Column) -> Column:
+    """A fair coin from the digit that ``uuid_text`` replaces by the version."""
+    return F.substring(hex_digits, 13, 1) < "8"

@@ -111,8 +111,8 @@ def transactions(
         ids, seed, config.burst_probability, locations=config.locations
     )
     key = (F.col("id"), F.col("step"))
-    drawn = plan.withColumns({s: draws.digest(seed, f"tx-{s}", *key) for s in ("a", "b", "c", "d")})
-    a, b, c = F.col("a"), F.col("b"), F.col("c")
+    drawn = plan.withColumns({s: draws.digest(seed, f"tx-{s}", *key) for s in ("a", "b", "ident")})
+    a, b, ident = F.col("a"), F.col("b"), F.col("ident")
 
     suspicious = draws.uniform(a, 0) < SUSPICIOUS_SHARE
     amount = F.when(
@@ -127,7 +127,7 @@ def transactions(
     )
     at = F.timestamp_micros(F.unix_micros(F.lit(start).cast("timestamp")) + offset)
     return drawn.select(
-        draws.uuid_text(F.col("d")).alias("transaction_id"),
+        draws.uuid_text(ident).alias("transaction_id"),
         F.coalesce("burst_user", user).alias("user_id"),
         F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         amount.alias("amount"),
@@ -135,6 +135,6 @@ def transactions(
         F.when(remote, REMOTE_LOCATION).otherwise(city).alias("location"),
         draws.choice(draws.uniform(b, 2), PAYMENT_METHODS).alias("payment_method"),
         draws.choice(draws.uniform(b, 3), MERCHANT_CATEGORIES).alias("merchant_category"),
-        (draws.uniform(c, 0) < 0.5).alias("is_online"),
+        draws.coin(ident).alias("is_online"),
         F.coalesce("burst_device", device).alias("device_id"),
     )

@@ -133,7 +133,7 @@ def _generated_transactions() -> str:
             f"tx-{stream}", "CAST(id AS VARCHAR) || ':' || CAST(step AS VARCHAR)", part
         )
 
-    digest = "md5('42:tx-d:' || CAST(id AS VARCHAR) || ':' || CAST(step AS VARCHAR))"
+    digest = "md5('42:tx-ident:' || CAST(id AS VARCHAR) || ':' || CAST(step AS VARCHAR))"
     categories = ["GROCERY", "ELECTRONICS", "RESTAURANT", "TRAVEL", "FASHION", "PHARMACY"]
     return f"""WITH plan AS (
   SELECT event_id AS id, {burst(0).replace('id AS', 'event_id AS')} < 0.1e0 AS is_burst FROM events),
@@ -158,7 +158,7 @@ SELECT
     ELSE {_choice(u('a', 2), cities)} END AS location,
   {_choice(u('b', 2), ['CARD', 'MOBILE_PAYMENT', 'BANK_TRANSFER', 'CASH'])} AS payment_method,
   {_choice(u('b', 3), categories)} AS merchant_category,
-  {u('c', 0)} < 0.5e0 AS is_online,
+  substr(d, 13, 1) < '8' AS is_online,
   CASE WHEN is_burst THEN 'DEV_BOT_' || {_integer(burst(3), 10, 99)}
     ELSE 'DEV_' || {_integer(u('b', 1), 100, 999)} END AS device_id
 FROM drawn"""

@@ -18,6 +18,8 @@ def builder(app_name: str) -> SparkSession.Builder:
         .config("spark.sql.session.timeZone", ZONE)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Sessions of one task merge before they are shuffled to their user.
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -44,6 +46,6 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local["):
         return _local_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
