@@ -1,5 +1,6 @@
 import glob
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,6 +122,34 @@ def test_replayed_batch_leaves_one_copy(spark, transactions, tmp_path):
         context.setLocalProperty("sql.streaming.queryId", None)
 
 
+def test_failed_batch_is_finished_after_a_restart(spark, transactions, tmp_path):
+    """A run that dies between two sinks leaves no gap and no second copy."""
+    messages = alerts.transaction_messages(transactions)
+    messages.select("value").coalesce(2).write.text(f"{tmp_path}/in")
+    whole = outputs(tmp_path)
+
+    def broken(frame, batch):
+        raise OSError("topic is gone")
+
+    def start(to):
+        return scoring.start(
+            streams.file_stream(spark, f"{tmp_path}/in"),
+            model.pinned(spark),
+            to,
+            checkpoint=f"{tmp_path}/checkpoint",
+            trigger=ONCE,
+        )
+
+    with pytest.raises(Exception, match="topic is gone"):
+        start(replace(whole, alerts_topic=broken)).awaitTermination()
+    assert stored(spark, tmp_path).count() == 1000
+    start(whole).awaitTermination()
+    batch = plans.scored(messages, model.pinned(spark))
+    same(stored(spark, tmp_path), batch)
+    sent = spark.read.parquet(f"{tmp_path}/alerts-topic/run=*/batch_id=*")
+    same(sent, alerts.alert_messages(batch))
+
+
 def test_batch_of_rejects_only(spark, tmp_path):
     spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
     try:
@@ -171,7 +200,11 @@ def windows(spark, transactions, tmp_path, build, mode):
     return spark.read.parquet(target)
 
 
-@pytest.mark.parametrize("build", [velocity.tumbling, velocity.sliding])
+def burst_windows(transactions):
+    return velocity.bursts(velocity.sliding(transactions), 2)
+
+
+@pytest.mark.parametrize("build", [velocity.tumbling, velocity.sliding, burst_windows])
 def test_windows_in_a_stream(spark, transactions, tmp_path, build):
     found = windows(spark, transactions, tmp_path, build, "complete")
     same(found, build(transactions))
