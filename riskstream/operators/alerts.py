@@ -42,14 +42,18 @@ def alert_messages(scored: DataFrame) -> DataFrame:
     return _messages(fraud_only(scored), "transaction_id", schema.ALERT_FIELDS)
 
 
-def batch_summary(scored: DataFrame) -> DataFrame:
-    """One row of counts, in one pass."""
-    return scored.agg(
+def summary_columns() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("prediction") == FRAUD).alias("alerts"),
         F.count_if(F.col("prediction") == SUSPICIOUS).alias("suspicious"),
         F.count_if(F.col("user_id").isNull()).alias("unkeyed"),
-    )
+    ]
+
+
+def batch_summary(scored: DataFrame) -> DataFrame:
+    """One row of counts, in one pass."""
+    return scored.agg(*summary_columns())
 
 
 def preview(scored: DataFrame, n: int = 5) -> DataFrame:

@@ -44,6 +44,25 @@ def tumbling(transactions: DataFrame, seconds: float = 6 * HOUR) -> DataFrame:
     )
 
 
+def with_profile(transactions: DataFrame, seconds: float = 6 * HOUR) -> DataFrame:
+    """Each transaction beside its user's count and sum in the window it falls in.
+
+    A left join to the tumbling profile on user and window: the profile is
+    reduced map side, and a user's rows spread over their windows. The profile
+    is shuffled once more to its window's start, which lets adaptive execution
+    split the rows of a window too busy for one task; a window function, or a
+    join straight onto the grouping, would rule that out. No user, no profile.
+    """
+    profile = tumbling(transactions, seconds).withColumnsRenamed(
+        {"n": "user_n", "total": "user_total"}
+    )
+    start = _instant(_pane(F.unix_micros("ts"), round(seconds * SECOND)))
+    placed = transactions.withColumn("window_start", start)
+    return placed.join(profile, ["user_id", "window_start"], "left").select(
+        *transactions.columns, "user_n", "user_total"
+    )
+
+
 # Up to this many overlapping windows per row, copying rows before the map-side
 # reduction costs less than a second shuffle.
 FEW_WINDOWS = 4

@@ -303,6 +303,12 @@ def queries() -> dict[str, str]:
             + _cents(f"CAST(sum({_MICROS}) AS DOUBLE) / 1e6")
             + " AS total FROM tx GROUP BY 1, 2"
         ),
+        "user_profile": (
+            f"WITH {_TX} SELECT event_id, user_id, count(*) OVER w AS user_n, "
+            + _cents(f"CAST(sum({_MICROS}) OVER w AS DOUBLE) / 1e6")
+            + " AS user_total FROM tx WINDOW w AS (PARTITION BY user_id,"
+            " time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01'))"
+        ),
         "velocity_sliding": (
             f"WITH {_TX} SELECT time_bucket(INTERVAL '2 hours', ts, TIMESTAMP '1970-01-01')"
             " - k * INTERVAL '2 hours' AS window_start, user_id, count(*) AS n"

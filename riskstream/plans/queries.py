@@ -17,7 +17,7 @@ from riskstream import schema
 from riskstream.functions import labels
 from riskstream.operators import alerts, datagen, decode, dedup, model, scoring, velocity
 from riskstream.plans import scoring as plans
-from riskstream.session import shared_folder
+from riskstream.session import pin_zone, shared_folder
 from riskstream.sources import events
 from riskstream.streaming import alerts as alert_stream
 from riskstream.streaming import scoring as scoring_stream
@@ -285,6 +285,12 @@ def velocity_tumbling(spark, folder):
     return windows.withColumn("window_start", _wall_clock("window_start"))
 
 
+@_query
+def user_profile(spark, folder):
+    profiled = velocity.with_profile(_tx(spark, folder))
+    return profiled.select("event_id", "user_id", "user_n", "user_total")
+
+
 @_query
 def velocity_sliding(spark, folder):
     windows = velocity.sliding(_tx(spark, folder))
@@ -348,7 +354,7 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def _run_scoring(spark: SparkSession, folder: str) -> str:
     root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
-    _tx(spark, folder)  # pins the zone
+    pin_zone(spark)
     outputs = scoring_stream.Outputs(
         table=f"{root}/scored",
         alerts_topic=files(f"{root}/alerts", "parquet"),

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream import schema
@@ -40,7 +41,8 @@ def fan_out(
     The forest runs once: scores are written to the table, and every other
     output reads the few columns it needs back from there. That holds nothing
     in executor memory, lets the alert filter reach the Parquet scan, and
-    costs no re-scoring when an executor is lost.
+    costs no re-scoring when an executor is lost. The counts that decide which
+    outputs have work are observed while the table is written.
     """
     store = files(outputs.table, "parquet")
 
@@ -48,20 +50,23 @@ def fan_out(
         spark = messages.sparkSession
         run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch = BatchRef(run, batch_id)
+        decoded, summary = Observation(), Observation()
         inspected = inspect_transactions(messages)
-        store(score(usable(inspected), model, policy), batch)
-        if outputs.dead_letter:
-            outputs.dead_letter(dead_letters(inspected), batch)
+        counted = inspected.observe(decoded, F.count("cause").alias("rejected"))
+        scored = score(usable(counted), model, policy)
+        store(scored.observe(summary, *alerts.summary_columns()), batch)
 
-        stored = spark.read.schema(schema.SCORED).parquet(batch.folder(outputs.table))
-        counts = alerts.batch_summary(stored).first()
-        log.info("batch %d: %d records", batch_id, counts.records)
-        if not counts.records:
+        rejected, found = decoded.get["rejected"], summary.get
+        log.info("batch %d: %d records, %d rejected", batch_id, found["records"], rejected)
+        if rejected and outputs.dead_letter:
+            outputs.dead_letter(dead_letters(inspected), batch)
+        if not found["records"]:
             return
+        stored = spark.read.schema(schema.SCORED).parquet(batch.folder(outputs.table))
         if outputs.scored_topic:
             outputs.scored_topic(alerts.scored_messages(stored), batch)
-        if counts.alerts:
-            log.warning("batch %d: %d fraud alerts", batch_id, counts.alerts)
+        if found["alerts"]:
+            log.warning("batch %d: %d fraud alerts", batch_id, found["alerts"])
             if outputs.alerts_topic:
                 outputs.alerts_topic(alerts.alert_messages(stored), batch)
             if outputs.cases:

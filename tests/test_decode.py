@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from riskstream import schema
@@ -86,3 +88,31 @@ def test_alert_text_and_rejects(spark):
     assert [r.cause for r in rejected_alerts(frame).collect()] == [
         "missing fraud_probability", "malformed json", "empty payload",
     ]
+
+
+def test_damaged_payloads_never_stop_a_batch(spark):
+    """Cut, doubled and scrambled payloads end on one side or the other."""
+    from riskstream.operators import model
+    from riskstream.operators.scoring import score
+
+    rng = random.Random(3)
+    values = []
+    for _ in range(2000):
+        text = list(GOOD)
+        for _ in range(rng.randrange(0, 4)):
+            at = rng.randrange(len(text))
+            kind = rng.randrange(3)
+            if kind == 0:
+                text[at:] = []
+            elif kind == 1:
+                text[at] = rng.choice('{}[]":,0eN-\\x\u0000\u00e9')
+            else:
+                text[at:at] = text[: rng.randrange(20)]
+            text = text or ["{"]
+        values.append("".join(text))
+    inspected = decode.inspect_transactions(messages(spark, *values))
+    good = score(decode.usable(inspected), model.pinned(spark)).collect()
+    bad = decode.dead_letters(inspected).collect()
+    assert len(good) + len(bad) == 2000 and good and bad
+    assert all(0.0 <= row.fraud_probability <= 1.0 for row in good)
+    assert all(row.value in values or row.value is None for row in bad)

@@ -29,6 +29,13 @@ def test_fit_on_generated_rows(trained):
     assert forest.getImpurity() == "gini" and forest.getSeed() == model.SEED
 
 
+def test_pinned_model_can_be_made_again(spark, trained, featured):
+    keep = ["event_id", "fraud_probability"]
+    shipped = scoring.with_probability(featured, model.pinned(spark)).select(keep)
+    rebuilt = scoring.with_probability(featured, trained[0]).select(keep)
+    assert shipped.exceptAll(rebuilt).isEmpty()
+
+
 def test_save_then_load_scores_alike(spark, trained, featured):
     fitted, _, path = trained
     again = model.load(path)

@@ -125,6 +125,49 @@ def test_only_reduced_rows_are_grouped_by_user_alone(spark, skewed):
             assert any("HashAggregate" in below for below in lines[i + 1 : i + 6])
 
 
+def test_profile_joins_every_row(spark, skewed):
+    sums = defaultdict(lambda: [0, 0])
+    for user, s, amount in skewed:
+        entry = sums[user, s // 21600]
+        entry[0] += 1
+        entry[1] += amount
+    found = velocity.with_profile(frame(spark, skewed)).collect()
+    assert len(found) == len(skewed)
+    for row in found:
+        user, s, _ = skewed[int(row.transaction_id)]
+        expected = sums[user, s // 21600] if user else [None, None]
+        assert [row.user_n, row.user_total] == expected
+
+
+def test_busy_window_is_split(spark):
+    ids = spark.range(0, 200_000, 1, 8)
+    rows = ids.select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("user_id"),
+        F.timestamp_micros(F.col("id") * 1000).alias("ts"),
+        F.lit(1.0).alias("amount"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        profiled = velocity.with_profile(rows)
+        hot = profiled.where("user_id = 'hot'").agg(F.min("user_n"), F.max("user_n")).first()
+        assert tuple(hot) == (66_667, 66_667)
+        assert len(profiled.collect()) == 200_000
+        plan = profiled._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_busy_users(spark, skewed):
     rows = frame(spark, skewed)
     assert [r.busy_user for r in velocity.busy_users(rows, 500).collect()] == ["hot"]
