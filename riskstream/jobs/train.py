@@ -14,7 +14,7 @@ def main() -> None:
     config = StreamConfig.from_env()
     spark = session.builder("riskstream-train").getOrCreate()
     _, auc = training.run(spark, config.processed_path, config.model_path)
-    print(f"Model Training Complete. AUC: {auc:.4f}")
+    print(f"saved {config.model_path}; holdout area under ROC {auc:.4f}")
 
 
 if __name__ == "__main__":

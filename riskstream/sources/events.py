@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.functions.decision import REMOTE_LOCATION
-from riskstream.session import pin_zone
+from riskstream.session import pin_zone, size_shuffles
 
+# Which place, method and category an event stands for.
 _CITIES = ("Tunis", "Sousse", "Sfax", "Monastir", "Tunis", "Sousse", "Sfax", REMOTE_LOCATION)
 _METHODS = ("CARD", "MOBILE_PAYMENT", "BANK_TRANSFER", "CASH")
 _CATEGORIES = {
@@ -51,8 +52,9 @@ def as_transactions(events: DataFrame) -> DataFrame:
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    reader = pin_zone(spark).read.schema(EVENTS)
-    return as_transactions(reader.parquet(f"{folder}/events.parquet"))
+    table = f"{folder}/events.parquet"
+    size_shuffles(spark, table)
+    return as_transactions(pin_zone(spark).read.schema(EVENTS).parquet(table))
 
 
 def stand_in_probability() -> Column:

@@ -41,3 +41,18 @@ def test_shared_folder(spark, monkeypatch):
         session.shared_folder(Elsewhere)
     Elsewhere.sparkContext.master = "local[4]"
     assert session.shared_folder(Elsewhere) == session.shared_folder(Elsewhere)
+
+
+def test_shuffles_grow_with_the_table(spark, monkeypatch, tmp_path):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    table = f"{tmp_path}/t"
+    spark.range(10_000).write.parquet(table)
+    session.size_shuffles(spark, table)
+    assert spark.conf.get(key, None) is None
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 100)
+    try:
+        session.size_shuffles(spark, table)
+        assert 8 < int(spark.conf.get(key)) <= session.MOST_PARTITIONS
+        assert spark.read.parquet(table).groupBy("id").count().count() == 10_000
+    finally:
+        spark.conf.unset(key)
