@@ -124,9 +124,6 @@ def sessions(transactions: DataFrame, gap: float = 6 * HOUR) -> DataFrame:
     )
 
 
-# What happens at one instant of the trailing window, in this order.
-_HELD, _ENTERS, _LEAVES = 0, 1, 2
-
 # Users with more rows than this are split by time. At most one user in
 # ``rows / BUSY_ROWS`` can be: 250,000 of 10^12 rows, a few megabytes of ids.
 BUSY_ROWS = 4_000_000
@@ -148,12 +145,12 @@ def trailing(
 ) -> DataFrame:
     """Per transaction, count and mean amount of its user over ``[ts - d, ts]``.
 
-    Each row enters the window at ``ts`` and leaves it after ``ts + d``, and a
-    running sum of entries and exits gives the answer: linear in the rows, where
-    a sliding frame would add up each frame anew. A user of at most
-    ``busy_rows`` rows is one group. A busier one is a group per pane (a
-    ``splits``-th of the window); what the window already holds when a pane
-    begins comes from the totals of the panes before it, reduced map side.
+    What entered by ``ts`` minus what entered before ``ts - d``: two frames that
+    only ever grow, so the work is linear in the rows, where a sliding frame
+    would add up each frame anew. A user of at most ``busy_rows`` rows is one
+    group. A busier one is a group per pane (a ``splits``-th of the window): the
+    pane begins with what the window already holds, from the totals of the panes
+    before it, reduced map side, and each row is sent on to the pane it leaves in.
     """
     length = round(seconds * SECOND)
     if length % splits:
@@ -169,42 +166,51 @@ def trailing(
         .join(busy, is_busy, "left")
         .select(*keep, *extra, "at", "worth", "busy")
     )
-    pane = F.when(F.col("busy"), _pane(F.col("at"), short)).otherwise(0)
 
-    enters = F.col("kind") == _ENTERS
-    events = (
-        rows.withColumn("kind", F.explode(F.array(F.lit(_ENTERS), F.lit(_LEAVES))))
-        .withColumn("at", F.col("at") + F.when(enters, 0).otherwise(length))
-        .select(
-            *[F.when(enters, F.col(c)).alias(c) for c in keep if c != "user_id"],
-            "user_id",
-            pane.alias("pane"),
-            "at",
-            "kind",
-            F.when(enters, 1).otherwise(-1).cast("bigint").alias("n"),
-            F.when(enters, F.col("worth")).otherwise(-F.col("worth")).alias("worth"),
-        )
+    def pane(at: Column) -> Column:
+        return F.when(F.col("busy"), _pane(at, short)).otherwise(0).alias("pane")
+
+    def if_enters(value: Column, otherwise: Column) -> Column:
+        return F.when(F.col("enters"), value).otherwise(otherwise)
+
+    at, worth = F.col("at"), F.col("worth")
+    once, twice = F.array(F.lit(True)), F.array(F.lit(True), F.lit(False))
+    events = rows.withColumn(
+        "enters", F.explode(F.when(F.col("busy"), twice).otherwise(once))
+    ).select(
+        *[if_enters(F.col(c), F.lit(None)).alias(c) for c in keep if c != "user_id"],
+        "user_id",
+        pane(if_enters(at, at + length)),
+        # A row still counts at the very end of its window.
+        if_enters(at, at + (length + 1)).alias("at"),
+        "enters",
+        if_enters(F.lit(1), F.lit(-1)).cast("bigint").alias("n"),
+        if_enters(worth, -worth).alias("worth"),
     )
     before = Window.partitionBy("user_id").orderBy("pane").rangeBetween(-length, -1)
     held = (
         rows.where("busy")
-        .groupBy("user_id", pane.alias("pane"))
+        .groupBy("user_id", pane(at))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("worth").alias("worth"))
         .withColumns({"n": F.sum("n").over(before), "worth": F.sum("worth").over(before)})
         .where(F.col("n").isNotNull())
         .select(
-            "user_id", "pane", F.col("pane").alias("at"), F.lit(_HELD).alias("kind"), "n", "worth"
+            "user_id", "pane", F.col("pane").alias("at"), F.lit(False).alias("enters"), "n", "worth"
         )
     )
-    # The default frame takes in all events of the same instant and kind.
-    running = Window.partitionBy("user_id", "pane").orderBy("at", "kind")
+    group = Window.partitionBy("user_id", "pane").orderBy("at")
+    so_far = group.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # Empty within a pane, which is no longer than the window.
+    expired = group.rangeBetween(Window.unboundedPreceding, -(length + 1))
+    inside = {
+        c: F.sum(c).over(so_far) - F.coalesce(F.sum(c).over(expired), F.lit(0))
+        for c in ("n", "worth")
+    }
     return (
         events.unionByName(held, allowMissingColumns=True)
-        .withColumns({"n": F.sum("n").over(running), "worth": F.sum("worth").over(running)})
-        .where(enters)
-        .select(
-            *keep, "n", half_up(from_micros(F.col("worth")) / F.col("n"), 2).alias("mean_amount")
-        )
+        .withColumns(inside)
+        .where("enters")
+        .select(*keep, "n", half_up(from_micros(worth) / F.col("n"), 2).alias("mean_amount"))
     )
 
 
