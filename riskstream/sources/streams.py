@@ -43,3 +43,10 @@ def file_stream(
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     return reader.load(path)
+
+
+def paced_ids(spark: SparkSession, interval: float) -> DataFrame:
+    """Ids for a generator, one per ``interval`` seconds (at least one a second)."""
+    per_second = max(1, round(1 / interval))
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+    return ticks.selectExpr("value AS id")

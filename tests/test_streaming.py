@@ -1,5 +1,6 @@
 import glob
 import json
+import time
 from dataclasses import replace
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from riskstream import schema
 from riskstream.config import StreamConfig
 from riskstream.jobs import generate, score, watch_alerts
-from riskstream.operators import alerts, dedup, model, velocity
+from riskstream.operators import alerts, datagen, dedup, model, velocity
 from riskstream.operators.decode import decode_transactions
 from riskstream.plans import scoring as plans
 from riskstream.sources import events, streams
@@ -150,6 +151,18 @@ def test_failed_batch_is_finished_after_a_restart(spark, transactions, tmp_path)
     same(sent, alerts.alert_messages(batch))
 
 
+def test_empty_batches(spark, tmp_path):
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
+    try:
+        handle = scoring.fan_out(model.pinned(spark), outputs(tmp_path))
+        empty = spark.createDataFrame([], schema.MESSAGE)
+        handle(empty, 0)
+        handle(empty.where("false"), 1)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert stored(spark, tmp_path).count() == 0
+
+
 def test_batch_of_rejects_only(spark, tmp_path):
     spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
     try:
@@ -238,6 +251,34 @@ def test_topic_options():
     assert sinks.kafka_options(config, "t") == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
 
 
+def test_live_generation(spark, tmp_path):
+    made = datagen.transactions(streams.paced_ids(spark, 0.01))
+    lines = alerts.transaction_messages(made).select("value")
+    query = (
+        lines.writeStream.format("text")
+        .option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .start(f"{tmp_path}/out")
+    )
+    try:
+        deadline = time.monotonic() + 60
+        while time.monotonic() < deadline:
+            if query.lastProgress and query.lastProgress["sink"]["numOutputRows"] != 0:
+                if glob.glob(f"{tmp_path}/out/_spark_metadata/1"):
+                    break
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    sent = decode_transactions(spark.read.text(f"{tmp_path}/out"))
+    assert not sent.isEmpty()
+    assert sent.count() == spark.read.text(f"{tmp_path}/out").count()
+
+
+def test_generator_wants_a_count_or_live():
+    for wrong in ([], ["5", "--live"]):
+        with pytest.raises(SystemExit):
+            generate.main(wrong)
+
+
 def test_jobs_end_to_end(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("PROCESSED_DATA_PATH", f"{tmp_path}/processed")
     monkeypatch.setenv("FRAUD_CASES_PATH", f"{tmp_path}/cases")
