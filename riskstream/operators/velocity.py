@@ -1,9 +1,11 @@
 """Per-user activity over event-time windows.
 
 Transactions come with ``user_id``, ``ts`` (TIMESTAMP) and ``amount``. No step
-brings all rows of one user together: rows are first reduced, map side, to one
-row per user and *pane* (a short stretch of time), so what reaches a user's
-group is bounded by the time span over the pane and not by the user's traffic.
+brings all rows of a busy user together: rows are first reduced, map side, to
+one row per user and *pane* (a short stretch of time), so what reaches a user's
+group is bounded by the time span over the pane and not by the user's traffic;
+where each row needs an answer, a busy user's rows are grouped by pane. Rows
+without a time are in no window.
 """
 
 from __future__ import annotations
@@ -83,7 +85,8 @@ def sliding(
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("window.start").alias("window_start"), "user_id", "n")
         )
-    panes = transactions.groupBy("user_id", _pane(F.unix_micros("ts"), step).alias("pane")).agg(
+    timed = transactions.where(F.col("ts").isNotNull())
+    panes = timed.groupBy("user_id", _pane(F.unix_micros("ts"), step).alias("pane")).agg(
         F.count(F.lit(1)).alias("n")
     )
     starts = F.sequence(F.col("pane") - F.lit(length - step), F.col("pane"), F.lit(step))
@@ -110,7 +113,8 @@ def sessions(transactions: DataFrame, gap: float = 6 * HOUR) -> DataFrame:
         )
     length = round(gap * SECOND)
     at = F.unix_micros("ts")
-    panes = transactions.groupBy("user_id", _pane(at, length).alias("pane")).agg(
+    timed = transactions.where(F.col("ts").isNotNull())
+    panes = timed.groupBy("user_id", _pane(at, length).alias("pane")).agg(
         F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n")
     )
     in_order = Window.partitionBy("user_id").orderBy("pane")
@@ -206,11 +210,12 @@ def trailing(
         c: F.sum(c).over(so_far) - F.coalesce(F.sum(c).over(expired), F.lit(0))
         for c in ("n", "worth")
     }
+    mean = from_micros(worth) / F.nullif(F.col("n"), F.lit(0))
     return (
         events.unionByName(held, allowMissingColumns=True)
         .withColumns(inside)
         .where("enters")
-        .select(*keep, "n", half_up(from_micros(worth) / F.col("n"), 2).alias("mean_amount"))
+        .select(*keep, "n", half_up(mean, 2).alias("mean_amount"))
     )
 
 

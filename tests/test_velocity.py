@@ -56,6 +56,21 @@ def test_trailing_against_brute_force(spark, skewed, busy_rows, splits):
         assert row.mean_amount == pytest.approx(mean, abs=0.0051)
 
 
+@pytest.mark.parametrize("busy_rows", [0, 10**6])
+def test_rows_without_a_time(spark, busy_rows):
+    rows = frame(spark, [("a", 0, 2), ("a", 60, 4), ("a", 120, 9)]).withColumn(
+        "ts", F.when(F.col("transaction_id") != "2", F.col("ts"))
+    )
+    found = {r.transaction_id: r for r in velocity.trailing(rows, busy_rows=busy_rows).collect()}
+    assert {k: (r.n, r.mean_amount) for k, r in found.items()} == {
+        "0": (1, 2.0), "1": (2, 3.0), "2": (0, None),
+    }
+    assert [r.n for r in velocity.sessions(rows).collect()] == [2]
+    assert {r.n for r in velocity.sliding(rows, 24 * 3600, 3600).collect()} == {2}
+    profiled = {r.transaction_id: r.user_n for r in velocity.with_profile(rows).collect()}
+    assert profiled == {"0": 2, "1": 2, "2": None}
+
+
 def test_trailing_rejects_uneven_splits(spark, skewed):
     with pytest.raises(ValueError):
         velocity.trailing(frame(spark, skewed), seconds=1e-6, splits=3)
