@@ -332,5 +332,6 @@ def queries() -> dict[str, str]:
         "gen_transactions": _generated_transactions(),
         "stream_scored": f"{by_forest} SELECT {_SCORED} FROM scored",
         "stream_alerts": f"{by_forest} SELECT transaction_id AS key, {_ALERT} {fraud}",
+        "stream_dead_letters": _quarantine(),
         "stream_cases": f"{by_forest} SELECT {_SCORED_JSON} {fraud}",
     }

@@ -105,7 +105,7 @@ def alert_messages(spark, folder):
     return _fields(alerts.alert_messages(frauds), schema.ALERT)
 
 
-def _damaged(spark: SparkSession, folder: str) -> DataFrame:
+def _damaged(transactions: DataFrame) -> DataFrame:
     """Messages of which most are unusable, each kind of damage in turn."""
     ident = F.concat(F.lit('"transaction_id":"'), F.col("event_id").cast("string"), F.lit('"'))
     online, time = F.lit(',"is_online":true'), F.lit(',"timestamp":"2024-01-01T00:00:00"')
@@ -131,12 +131,12 @@ def _damaged(spark: SparkSession, folder: str) -> DataFrame:
         record(F.lit('"AMOUNT":1.0'), online, time),
     ]
     kind = (F.col("event_id") % len(kinds)).cast("int")
-    return _tx(spark, folder).select(F.element_at(F.array(*kinds), kind + 1).alias("value"))
+    return transactions.select(F.element_at(F.array(*kinds), kind + 1).alias("value"))
 
 
 @_query
 def quarantine(spark, folder):
-    return decode.quarantine(_damaged(spark, folder))
+    return decode.quarantine(_damaged(_tx(spark, folder)))
 
 
 # Decision
@@ -348,23 +348,20 @@ def gen_transactions(spark, folder):
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     # A file stream takes a folder or a pattern; this one matches the one table.
-    stream = spark.readStream.schema(events.EVENTS).parquet(f"{folder}/events.parque[t]")
-    return alerts.transaction_messages(events.as_transactions(stream))
+    reader = pin_zone(spark).readStream.schema(events.EVENTS)
+    return events.as_transactions(reader.parquet(f"{folder}/events.parque[t]"))
 
 
-def _run_scoring(spark: SparkSession, folder: str) -> str:
+def _run_scoring(messages: DataFrame, *wanted: str) -> str:
+    """Run the scoring stream to the end of its input; return its output root."""
+    spark = messages.sparkSession
     root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
-    pin_zone(spark)
-    outputs = scoring_stream.Outputs(
-        table=f"{root}/scored",
-        alerts_topic=files(f"{root}/alerts", "parquet"),
-        cases=files(f"{root}/cases", "json"),
-        show=0,
-    )
+    formats = {"alerts_topic": "parquet", "cases": "json", "dead_letter": "json"}
+    sinks = {name: files(f"{root}/{name}", formats[name]) for name in wanted}
     query = scoring_stream.start(
-        _event_stream(spark, folder),
+        messages,
         model.pinned(spark),
-        outputs,
+        scoring_stream.Outputs(table=f"{root}/table", **sinks, show=0),
         checkpoint=f"{root}/checkpoint",
         name=f"scoring-{uuid.uuid4().hex}",
         trigger={"availableNow": True},
@@ -375,20 +372,28 @@ def _run_scoring(spark: SparkSession, folder: str) -> str:
 
 @_query
 def stream_scored(spark, folder):
-    root = _run_scoring(spark, folder)
-    stored = spark.read.schema(schema.SCORED).parquet(f"{root}/scored/run=*/batch_id=*")
+    root = _run_scoring(alerts.transaction_messages(_event_stream(spark, folder)))
+    stored = spark.read.schema(schema.SCORED).parquet(f"{root}/table/run=*/batch_id=*")
     return stored.withColumn("tx_timestamp", _wall_clock("tx_timestamp"))
 
 
 @_query
 def stream_alerts(spark, folder):
-    root = _run_scoring(spark, folder)
-    sent = spark.read.schema(schema.MESSAGE).parquet(f"{root}/alerts/run=*/batch_id=*")
+    messages = alerts.transaction_messages(_event_stream(spark, folder))
+    root = _run_scoring(messages, "alerts_topic")
+    sent = spark.read.schema(schema.MESSAGE).parquet(f"{root}/alerts_topic/run=*/batch_id=*")
     return _fields(sent, schema.ALERT)
 
 
 @_query
 def stream_cases(spark, folder):
-    root = _run_scoring(spark, folder)
+    messages = alerts.transaction_messages(_event_stream(spark, folder))
+    root = _run_scoring(messages, "cases")
     cases = spark.read.schema(schema.SCORED).json(f"{root}/cases/run=*/batch_id=*")
     return cases.withColumn("tx_timestamp", _wall_clock("tx_timestamp"))
+
+
+@_query
+def stream_dead_letters(spark, folder):
+    root = _run_scoring(_damaged(_event_stream(spark, folder)), "dead_letter")
+    return spark.read.schema(schema.DEAD_LETTER).json(f"{root}/dead_letter/run=*/batch_id=*")

@@ -72,5 +72,11 @@ def test_windows_reduce_before_the_first_shuffle(spark, name):
     assert any("HashAggregate" in line and "partial_" in line for line in lines[deepest:])
 
 
+def test_copies_reduce_before_the_shuffle(spark):
+    lines = query(spark, "tx_dedup").splitlines()
+    shuffle = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert any("partial_min" in line for line in lines[shuffle:])
+
+
 def test_model_is_loaded_once(spark):
     assert model.pinned(spark) is model.pinned(spark)
