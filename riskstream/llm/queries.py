@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskstream.llm import token_counts
+from riskstream.llm import packing, token_counts
 from riskstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,8 @@ def op2_token_counts(spark, folder):
     return token_counts.token_counts(
         table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model")
     )
+
+
+@_query
+def op4_best_fit_packing(spark, folder):
+    return packing.packed(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
