@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskstream.llm import packing, token_counts
+from riskstream.llm import packing, set_sketch, token_counts
 from riskstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,8 @@ def op2_token_counts(spark, folder):
 @_query
 def op4_best_fit_packing(spark, folder):
     return packing.packed(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@_query
+def op6_minhash_near_dedup(spark, folder):
+    return set_sketch.near_duplicates(table(spark, folder, "documents"), words=2)
