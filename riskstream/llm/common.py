@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -42,6 +43,14 @@ class Scratch:
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         path.getFileSystem(conf).delete(path, True)
 
+    def settle(self) -> None:
+        """Let Spark delete the shuffle files of frames that nothing refers to any more.
+
+        It does so when the driver's garbage is collected, which may be long after.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def mix(values: np.ndarray) -> np.ndarray:
     """A fixed scrambling of 64-bit numbers (the SplitMix64 finaliser)."""

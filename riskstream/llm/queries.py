@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskstream.llm import packing, set_sketch, token_counts
+from riskstream.llm import packing, passages, set_sketch, token_counts
 from riskstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,8 @@ def op4_best_fit_packing(spark, folder):
 @_query
 def op6_minhash_near_dedup(spark, folder):
     return set_sketch.near_duplicates(table(spark, folder, "documents"), words=2)
+
+
+@_query
+def op9_substring_dedup(spark, folder):
+    return passages.repeated_passages(table(spark, folder, "documents"))
