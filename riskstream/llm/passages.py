@@ -7,11 +7,14 @@ min-hash. Windows shorter than the shortest passage are of no use, and the other
 the runs of equal minima of a sliding window of that length, so arrays yield them
 without building the tree: about 2n / length for n shingles.
 
-1. Values that windows of two documents share are counted; the least id is the
-   value's first document.
+1. Values that windows of two documents share are kept; the least id is the value's
+   first document.
 2. Every other window of a shared value is laid over the first document's, at the
    positions that have the value. Both stretches give an interval of either document
-   in which the two share this min-hash.
+   in which the two share this min-hash. Where a common line or a family of variants
+   makes the value's first document a poor match, a closer one is tried as well: the
+   first of those that agree in the ``CONTEXT`` shingles from the position on, or up
+   to it. Any exact passage has room for one of the two.
 3. Intervals of the same two documents that overlap, over all hashes, make a region;
    one that at least ``AGREE`` of ``HASHES`` hashes found is a candidate.
 4. The region's full shingles confirm it: maximal stretches of shared shingles,
@@ -19,7 +22,7 @@ without building the tree: about 2n / length for n shingles.
    the wanted Jaccard similarity.
 
 Work and output are linear in the windows: a passage of thousands of documents is
-compared with its first document only.
+compared with three documents at most.
 
 Results by case: null and short texts have no passages; rows without an id take no
 part; rows that repeat an id are one document; extra columns are ignored; an empty
@@ -46,6 +49,8 @@ SHINGLE = 5
 PASSAGE = 50  # words
 # Unmatched shingles inside one passage: what two changed words next to each other leave.
 GAP = 6
+# Shingles whose equality on one side of a position makes a closer group.
+CONTEXT = (PASSAGE - SHINGLE + 1) // 2
 TOGETHER = 1 << 17  # shingles worked on at once
 
 _LOW = np.uint64((1 << 26) - 1)
@@ -53,7 +58,9 @@ _HIGH = ~_LOW
 _SEEDS = mix(np.arange(HASHES, dtype=np.uint64) + np.uint64(1))
 _WORD = re.compile(WORD)
 
-WINDOW = "array<struct<value: long, hash: byte, c: int, l: int, r: int>>"
+WINDOW = (
+    "array<struct<value: long, hash: byte, c: int, l: int, r: int, right: int, left: int>>"
+)
 PASSAGE_TYPE = (
     "array<struct<begin: int, end: int, first_begin: int, first_end: int, similarity: double>>"
 )
@@ -85,6 +92,17 @@ def _sliding_least(values: np.ndarray, length: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:])
 
 
+def _contexts(items: np.ndarray, length: int) -> np.ndarray:
+    """32-bit hashes of each ``length`` items in a row."""
+    width, hashes = 1, items
+    while 2 * width <= length:
+        hashes = mix(hashes[:-width] + np.uint64(3) * hashes[width:])
+        width *= 2
+    rest = length - width
+    hashes = mix(hashes[: len(hashes) - rest] + np.uint64(5) * hashes[rest:])
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def compact_windows(sequences: list[np.ndarray], length: int) -> tuple[np.ndarray, ...]:
     """Sequence, value, hash, position, left and right end of each compact window."""
     sizes = np.array([len(s) for s in sequences])
@@ -150,11 +168,25 @@ def window_values(text: Column, length: int) -> Column:
     return values(text)
 
 
+def _sides(group: list[np.ndarray], owners: np.ndarray, c: np.ndarray) -> list[pa.Array]:
+    """Hashes of the contexts from each position on and up to it, null where one ends."""
+    sizes = np.array([len(s) for s in group])
+    first = np.concatenate([[0], np.cumsum(sizes)])[owners]
+    items = np.concatenate(group)
+    hashes = _contexts(items, CONTEXT) if len(items) >= CONTEXT else np.zeros(1, np.int32)
+    sides = []
+    for start in (c, c - CONTEXT + 1):
+        lacking = (start < 0) | (start + CONTEXT > sizes[owners])
+        at = np.clip(first + start, 0, len(hashes) - 1)
+        sides.append(pa.array(hashes[at], pa.int32(), mask=lacking))
+    return sides
+
+
 def windows(text: Column, length: int) -> Column:
     """A text's compact windows."""
     kind = pa.struct(
-        [("value", pa.int64()), ("hash", pa.int8()), ("c", pa.int32()), ("l", pa.int32()),
-         ("r", pa.int32())]
+        [("value", pa.int64()), ("hash", pa.int8())]
+        + [(n, pa.int32()) for n in ("c", "l", "r", "right", "left")]
     )
 
     @F.arrow_udf(WINDOW)
@@ -165,8 +197,8 @@ def windows(text: Column, length: int) -> Column:
                 owners, *columns = compact_windows(group, length)
                 fields = [
                     pa.array(column, field.type, safe=False)
-                    for column, field in zip(columns, kind, strict=True)
-                ]
+                    for column, field in zip(columns, kind, strict=False)
+                ] + _sides(group, owners, columns[2])
                 rows = pa.StructArray.from_arrays(fields, fields=list(kind))
                 parts.append(_listed(kind, owners, len(group), rows))
             yield pa.concat_arrays(parts)
@@ -284,7 +316,7 @@ def repeated_passages(
         .groupBy("value")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last")
-        .select("value", "first")
+        .select("value")
     )
     shared = scratch.keep(shared, "shared")
     scratch.settle()
@@ -292,18 +324,34 @@ def repeated_passages(
     found = scratch.keep(found.select("doc_id", "w.*").join(shared, "value"), "windows")
     scratch.settle()
 
-    firsts = found.where("doc_id = first").groupBy("value").agg(
-        F.min(F.struct("c", "l", "r")).alias("f")
-    )
-    laid = found.where("doc_id <> first").join(firsts, "value").select(
-        "doc_id", "first", "hash", "c", F.col("f.c").alias("fc"),
-        F.least(F.col("c") - F.col("l"), F.col("f.c") - F.col("f.l")).alias("before"),
-        F.least(F.col("r") - F.col("c"), F.col("f.r") - F.col("f.c")).alias("after"),
-    ).select(
-        "doc_id", "first", "hash",
-        (F.col("c") - F.col("before")).alias("begin"), (F.col("c") + F.col("after")).alias("end"),
-        (F.col("fc") - F.col("before")).alias("first_begin"),
-        (F.col("fc") + F.col("after")).alias("first_end"),
+    def over_first(rows: DataFrame, *closer: str) -> DataFrame:
+        """Windows beside the least document's window of their group."""
+        group = ["value", *closer]
+        firsts = rows.groupBy(group).agg(F.min(F.struct("doc_id", "c", "l", "r")).alias("f"))
+        return rows.join(firsts, group).where("doc_id <> f.doc_id").select(
+            "doc_id", "hash", "c", "l", "r", "f"
+        )
+
+    laid = (
+        over_first(found)
+        .union(over_first(found.where("right is not null"), "right"))
+        .union(over_first(found.where("left is not null"), "left"))
+        .distinct()
+        .select(
+            "doc_id", F.col("f.doc_id").alias("first"), "hash", "c", F.col("f.c").alias("fc"),
+            F.least(F.col("c") - F.col("l"), F.col("f.c") - F.col("f.l")).alias("before"),
+            F.least(F.col("r") - F.col("c"), F.col("f.r") - F.col("f.c")).alias("after"),
+        )
+        .select(
+            "doc_id", "first", "hash",
+            *[
+                (F.col(at) + sign * F.col(reach)).alias(name)
+                for name, at, sign, reach in (
+                    ("begin", "c", -1, "before"), ("end", "c", 1, "after"),
+                    ("first_begin", "fc", -1, "before"), ("first_end", "fc", 1, "after"),
+                )
+            ],
+        )
     )
     # Regions: intervals of two documents that overlap.
     of_two = Window.partitionBy("doc_id", "first").orderBy("begin", "end", "hash")
