@@ -12,7 +12,7 @@ from riskstream.session import shared_folder
 
 # A word: what stands between these six white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-SPACE = r"[\x20\x09-\x0D]"
+WHITE = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,3 +62,19 @@ def mix(values: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """64-bit hashes of a text's word shingles, in order."""
+    import xxhash
+
+    # bytes.split() splits at just the six ASCII white-space characters.
+    words = (text or "").encode().split()
+    n = len(words) - size + 1
+    if n < 1:
+        return np.empty(0, np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    joined = np.zeros(n, np.uint64)
+    for i in range(size):
+        joined = mix(joined ^ hashes[i : n + i])
+    return joined

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskstream.llm.common import WORD, Scratch, mix
+from riskstream.llm.common import WORD, Scratch, mix, shingles
 
 HASHES = 5
 AGREE = 1  # at similarity 0.8 all five hashes miss a passage 3 times in 10,000
@@ -66,22 +66,6 @@ PASSAGE_TYPE = (
 )
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """64-bit hashes of a text's word shingles, in order."""
-    import xxhash
-
-    # bytes.split() splits at just the six ASCII white-space characters.
-    words = (text or "").encode().split()
-    n = len(words) - size + 1
-    if n < 1:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    joined = np.zeros(n, np.uint64)
-    for i in range(size):
-        joined = mix(joined ^ hashes[i : n + i])
-    return joined
-
-
 def _sliding_least(values: np.ndarray, length: int) -> np.ndarray:
     """Least of each stretch of ``length``, by doubling."""
     width = 1
@@ -137,7 +121,7 @@ def compact_windows(sequences: list[np.ndarray], length: int) -> tuple[np.ndarra
 def _in_groups(batch: pa.Array) -> Iterator[list[np.ndarray]]:
     group, total = [], 0
     for value in batch:
-        group.append(shingles(value.as_py()))
+        group.append(shingles(value.as_py(), SHINGLE))
         total += len(group[-1])
         if total >= TOGETHER:
             yield group
@@ -212,7 +196,7 @@ def _slice(text: pa.Array, begin: pa.Array, end: pa.Array) -> pa.Array:
     found, last, sequence = [], None, None
     for t, b, e in zip(text.to_pylist(), begin.to_pylist(), end.to_pylist(), strict=True):
         if sequence is None or t != last:
-            last, sequence = t, shingles(t)
+            last, sequence = t, shingles(t, SHINGLE)
         found.append(sequence[b : e + 1].tobytes())
     return pa.array(found, pa.binary())
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskstream.llm import packing, passages, set_sketch, token_counts
+from riskstream.llm import packing, passages, quality_rules, set_sketch, token_counts
 from riskstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@_query
+def op1_quality_rules(spark, folder):
+    docs = table(spark, folder, "documents")
+    return quality_rules.quality_rules(
+        docs, quality_rules.learn(docs, table(spark, folder, "labels"))
+    )
+
+
 @_query
 def op2_token_counts(spark, folder):
     return token_counts.token_counts(
