@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskstream.llm import packing, passages, quality_rules, set_sketch, token_counts
-from riskstream.llm.common import table
+from riskstream.llm import mixing, packing, passages, quality_rules, set_sketch, token_counts
+from riskstream.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,18 @@ def op4_best_fit_packing(spark, folder):
     return packing.packed(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+# Wanted share of each language's words.
+TARGETS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
+
+
+@_query
+def op5_soft_mixing(spark, folder):
+    return mixing.mixed(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), TARGETS,
+        Scratch(spark, "mixing"),
+    )
+
+
 @_query
 def op6_minhash_near_dedup(spark, folder):
     return set_sketch.near_duplicates(table(spark, folder, "documents"), words=2)
