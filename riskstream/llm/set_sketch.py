@@ -8,12 +8,14 @@ both, and two sets agree in a register about as often as their Jaccard similarit
 1. Documents of the same set are one class, and go on as one node.
 2. Bands of ``BAND`` registers put a class in ``BANDS`` buckets. At similarity 0.8 a
    pair misses every bucket with probability 5e-10.
-3. In a bucket of several classes one, drawn by the bucket, is the centre. Members
-   are compared with centres only, so a bucket costs no more than its size. A few
-   centres for each class come first; then, of those still apart, the rest.
-4. What then lies apart in one bucket is compared pair by pair, if the sizes allow
-   the similarity. A large group is one component by then, so that what is left is
-   its stragglers, and no link is lost to the centres' choice.
+3. In a bucket of several classes one, drawn by the bucket, is the centre. A class is
+   compared with ``CENTRES`` of its buckets' centres, so a bucket costs no more than its
+   size, and most of a large group is one component after that.
+4. Components that share a bucket are a family, which still may hide links. Its commonest
+   centre is its base, and each class is written as what it and the base don't share.
+   Classes near the base are linked to it. Of a linked pair the two differences share
+   one of their rarest items, so pairs come from an exact prefix join on those: what a
+   family has in common, which would pair all its members, cancels out.
 5. A pair is first estimated from both registers at once by maximum likelihood over
    the known sizes; one more than six deviations below the threshold goes. The rest
    is confirmed on the full sets of 64-bit shingle hashes.
@@ -43,7 +45,7 @@ BASE, RATE, TOP = 1.1, 20.0, 255
 BAND = 5
 BANDS = REGISTERS // BAND
 TOGETHER = 256  # documents sketched at once
-FIRST_CENTRES = 3  # compared first, for each class
+CENTRES = 3  # compared with each class
 
 SKETCH = "struct<n_shingles: long, key1: long, key2: long, registers: binary>"
 
@@ -224,6 +226,97 @@ def _pair(one: str, other: str) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _difference(items: pa.Array, base: pa.Array) -> pa.Array:
+    """What only one of two sets holds."""
+    found = [
+        np.setxor1d(
+            np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64),
+            assume_unique=True,
+        ).view(np.int64)
+        for a, b in zip(items, base, strict=True)
+    ]
+    return pa.array(found, pa.list_(pa.int64()))
+
+
+def _across(
+    members: DataFrame, roots: DataFrame, sets: DataFrame, scratch: Scratch, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links to a family's base, and candidate pairs of nodes that still lie apart."""
+    # |x - y| + |y - x| of linked sets is at most ``slack`` times |x| + |y|.
+    slack = (100 - percent) / (100 + percent)
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    rooted = scratch.keep(
+        rooted.join(mixed.where("least < most"), "bucket").select(
+            "node", "n_shingles", "centre", "root", "least"
+        ),
+        "mixed",
+    )
+    families = components(
+        rooted.select(F.col("root").alias("a"), F.col("least").alias("b")), scratch, "families"
+    ).toDF("root", "family")
+    rooted = rooted.join(families, "root")
+    bases = (
+        rooted.groupBy("family", "centre").agg(F.count("*").alias("n"))
+        .groupBy("family").agg(F.max(F.struct("n", "centre")).alias("top"))
+        .select("family", F.col("top.centre").alias("base"))
+    )
+    nodes = rooted.select("node", "n_shingles", "root", "family").distinct()
+    based = bases.join(sets.select(F.col("node").alias("base"), "items"), "base").select(
+        "family", "base", F.col("items").alias("base_items"),
+        (F.length("items") / 8).cast("long").alias("n_base"),
+    )
+    apart = nodes.join(sets, "node").join(based, "family").select(
+        "node", "n_shingles", "root", "family", "base", "n_base",
+        _difference("items", "base_items").alias("items"),
+    )
+    apart = apart.withColumn("apart", F.size("items"))
+    near = F.col("apart") <= slack * (F.col("n_shingles") + F.col("n_base"))
+    apart = scratch.keep(apart.withColumn("near", near), "apart")
+
+    # Nodes near the base are one component. Of any other pair at least one is far. If a
+    # pair is linked, the one that differs less from the base has few differences that
+    # the other lacks, so among its rarest there is one of the other's rarest.
+    size = F.col("n_shingles")
+    wide = slack * (size + size * 100 / percent)
+    narrow = F.when(
+        F.col("near"),
+        F.least(wide / 2, (F.col("apart") + slack * (size - F.col("n_base"))) / 2),
+    ).otherwise(wide / 2)
+    items = apart.select(
+        "family", "node", "root", "near", "apart", "n_shingles",
+        wide.alias("wide"), narrow.alias("narrow"), F.explode("items").alias("item"),
+    )
+    common = items.groupBy("family", "item").agg(F.count("*").alias("times")).where("times > 1")
+    # An item that no other node has leads to none, but takes its rank among the rarest.
+    items = items.join(common, ["family", "item"], "left").withColumn(
+        "times", F.coalesce("times", F.lit(1))
+    )
+    rarest = Window.partitionBy("node").orderBy("times", "item")
+    ranked = items.withColumn("rank", F.row_number().over(rarest)).where(
+        "rank <= wide + 1.000001 and times > 1"
+    )
+    ranked = scratch.keep(ranked.drop("times", "wide"), "rarest")
+    less = ranked.where("rank <= narrow + 1.000001").drop("rank", "narrow")
+    less = less.toDF(*(c if c in ("family", "item") else f"{c}_a" for c in less.columns))
+    more = ranked.drop("rank", "narrow")
+    more = more.toDF(*(c if c in ("family", "item") else f"{c}_b" for c in more.columns))
+    pairs = (
+        less.join(more, ["family", "item"])
+        .where("apart_a < apart_b or (apart_a = apart_b and node_a < node_b)")
+        .where("root_a <> root_b and not (near_a and near_b)")
+        .where(
+            f"100 * least(n_shingles_a, n_shingles_b)"
+            f" >= {percent} * greatest(n_shingles_a, n_shingles_b)"
+        )
+        .select(*_pair("node_a", "node_b"))
+        .distinct()
+    )
+    near_base = apart.where("near and node <> base").select(*_pair("node", "base"))
+    return near_base, pairs
+
+
 def near_duplicates(
     documents: DataFrame, words: int = 5, percent: int = 80,
     key: str = "doc_id", text: str = "text",
@@ -282,44 +375,15 @@ def near_duplicates(
     sets = scratch.keep(found, "sets")
 
     links = _Links(scratch, classes, sets, percent)
-    stars = scratch.keep(
-        members.where("node <> centre").select(*_pair("node", "centre"), "node").distinct(),
-        "stars",
-    )
+    stars = members.where("node <> centre").select(*_pair("node", "centre"), "node").distinct()
     drawn = Window.partitionBy("node").orderBy(F.xxhash64("a", "b"), "a", "b")
-    first = stars.withColumn("rank", F.row_number().over(drawn)).where(f"rank <= {FIRST_CENTRES}")
-    edges = links.confirmed(first.select("a", "b").distinct(), "links1")
-    roots = components(edges, scratch, "roots1")
-
-    def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-        for end in "ab":
-            pairs = pairs.join(
-                found.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")),
-                end, "left",
-            ).withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
-        return pairs.where("root_a <> root_b")
-
-    rest = apart(stars.select("a", "b").distinct(), roots).select("a", "b")
-    rest = rest.join(first.select("a", "b"), ["a", "b"], "left_anti")
-    edges = edges.union(links.confirmed(rest, "links2"))
-    roots = scratch.keep(components(edges, scratch, "roots2"), "roots2")
-
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("l"), F.max("root").alias("h"))
-    rooted = rooted.join(mixed.where("l <> h"), "bucket").select(
-        "bucket", "node", "root", "n_shingles"
-    )
-    one, two = rooted.toDF("bucket", "a", "root_a", "n"), rooted.toDF("bucket", "b", "root_b", "m")
-    cross = (
-        one.join(two, "bucket")
-        .where("a < b and root_a <> root_b")
-        .where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
-        .select("a", "b")
-        .distinct()
-        .join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    edges = edges.union(links.confirmed(cross, "links3"))
-    roots = components(edges, scratch, "roots3")
+    first = stars.withColumn("rank", F.row_number().over(drawn)).where(f"rank <= {CENTRES}")
+    edges = links.confirmed(first.select("a", "b").distinct(), "stars")
+    scratch.settle()
+    roots = scratch.keep(components(edges, scratch, "star-roots"), "roots")
+    near_base, pairs = _across(members, roots, sets, scratch, percent)
+    edges = edges.union(near_base).union(links.confirmed(pairs, "across"))
+    roots = components(edges, scratch, "all-roots")
 
     ids = classes.join(roots, "node", "left").select(
         "key1", "key2", "doc_id", F.coalesce("root", "node").alias("root")
