@@ -372,3 +372,55 @@ def repeated_passages(
         (F.col("first_begin") + F.col("p.first_begin")).alias("first_begin"),
         (F.col("first_begin") + F.col("p.first_end")).alias("first_end"), "p.similarity",
     )
+
+
+def cut(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words ``begin`` up to ``end`` of each span."""
+    bounds = [match.start() for match in _WORD.finditer(text)] + [len(text)]
+    kept, at = [], 0
+    for begin, end in sorted(spans):
+        start = max(bounds[begin], at)
+        kept.append(text[at:start])
+        at = max(at, bounds[end])
+    return "".join(kept) + text[at:]
+
+
+@F.arrow_udf(T.StringType())
+def _cut(text: pa.Array, spans: pa.Array) -> pa.Array:
+    return pa.array(
+        [
+            t if s is None or t is None else cut(t, [(x["begin"], x["end"]) for x in s])
+            for t, s in zip(text.to_pylist(), spans.to_pylist(), strict=True)
+        ],
+        pa.string(),
+    )
+
+
+def without_repeats(
+    documents: DataFrame, words: int = PASSAGE, percent: int = 80,
+    key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """The documents without the passages that a document of lesser id has.
+
+    All columns stay; ``n_chars``, if there, follows the text. A document of which
+    nothing but white space is left goes; one without a repeated passage is untouched.
+    """
+    found = repeated_passages(documents, words, percent, key, text)
+    # A document's spans are no more than it has words.
+    spans = found.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.collect_list(F.struct("begin", "end")).alias("__spans")
+    )
+    rows = documents.join(spans, F.col(key) == F.col("__id"), "left")
+    rows = rows.withColumn("__text", _cut(F.col(text), F.col("__spans")))
+    repeats = F.col("__spans").isNotNull()
+    rows = rows.where(~repeats | F.col("__text").rlike(WORD))
+    columns = []
+    for name in documents.columns:
+        value = documents[name]
+        if name == text:
+            value = F.col("__text")
+        elif name == "n_chars":
+            size = F.length("__text").cast(documents.schema[name].dataType)
+            value = F.when(repeats, size).otherwise(value)
+        columns.append(value.alias(name))
+    return rows.select(columns)

@@ -317,18 +317,15 @@ def _across(
     return near_base, pairs
 
 
-def near_duplicates(
-    documents: DataFrame, words: int = 5, percent: int = 80,
-    key: str = "doc_id", text: str = "text",
-) -> DataFrame:
-    """For each row its id, ``n_shingles``, the component's least id and ``kept``.
-
-    Rows are linked when 100 * shared >= percent * all shingles of both.
-    """
-    scratch = Scratch(documents.sparkSession, "near-duplicates")
+def _marked(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """Ids and texts; a row without an id is found again by the hash of its text."""
     docs = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    # A row without an id is found again by its text.
-    docs = docs.withColumn("mark", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    return docs.withColumn("mark", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+
+
+def _resolved(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Each row's id, mark, set size, and its component's least id and least mark."""
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
     rows = scratch.keep(
         docs.select("doc_id", "mark", sketch(F.col("text"), words).alias("s")).select(
             "doc_id", "mark", "s.*"
@@ -386,15 +383,72 @@ def near_duplicates(
     roots = components(edges, scratch, "all-roots")
 
     ids = classes.join(roots, "node", "left").select(
-        "key1", "key2", "doc_id", F.coalesce("root", "node").alias("root")
+        "key1", "key2", "doc_id", "mark", F.coalesce("root", "node").alias("root")
     )
     ids = scratch.keep(ids, "ids")
-    least = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = ids.join(least, "root").select("key1", "key2", "component_id")
+    least = ids.groupBy("root").agg(
+        F.min("doc_id").alias("component_id"), F.min("mark").alias("least_mark")
+    )
+    named = ids.join(least, "root").select("key1", "key2", "component_id", "least_mark")
+    columns = ["doc_id", "mark", "n_shingles"]
     full = rows.where("n_shingles > 0").join(named, ["key1", "key2"]).select(
-        "doc_id", "n_shingles", "component_id"
+        *columns, "component_id", "least_mark"
     )
     empty = rows.where("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        *columns, F.col("doc_id").alias("component_id"), F.col("mark").alias("least_mark")
+    )
+    return full.union(empty)
+
+
+def near_duplicates(
+    documents: DataFrame, words: int = 5, percent: int = 80,
+    key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """For each row its id, ``n_shingles``, the component's least id and ``kept``.
+
+    Rows are linked when 100 * shared >= percent * all shingles of both.
+    """
+    rows = _resolved(_marked(documents, key, text), words, percent)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return rows.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def first_of_each(
+    documents: DataFrame, words: int = 5, percent: int = 80,
+    key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """The documents that stay, one of each component, with all their columns.
+
+    Of rows that repeat an id, one stays. A row without an id stays only if no row of its
+    component has one, and then one text of the component stays once.
+    """
+    scratch = Scratch(documents.sparkSession, "first-of-each")
+    marked = _marked(documents, key, text)
+    stays = F.when(
+        F.col("doc_id").isNull(),
+        F.col("component_id").isNull() & (F.col("mark") == F.col("least_mark")),
+    ).otherwise(F.col("doc_id") == F.col("component_id"))
+    odd = (
+        _resolved(marked, words, percent)
+        .groupBy("doc_id", "mark")
+        .agg(F.count("*").alias("times"), F.max(stays).alias("stays"))
+        .where("not stays or times > 1")
+    )
+    # Rows that go or that repeat one another; all others aren't named.
+    odd = scratch.keep(
+        odd.toDF("__id", "__mark", "__times", "__stays"), "odd"
+    )
+    own = documents.columns
+    keyed = documents.withColumn(
+        "__own_mark", F.when(F.col(key).isNull(), F.xxhash64(text))
+    )
+    rows = keyed.join(
+        odd,
+        F.col(key).eqNullSafe(F.col("__id")) & F.col("__own_mark").eqNullSafe(F.col("__mark")),
+        "left",
     )
-    return full.union(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    result = rows.where("__times is null").select(own)
+    if not odd.where("__stays").isEmpty():
+        again = rows.where("__stays").dropDuplicates(["__id", "__mark"])
+        result = result.unionByName(again.select(own))
+    return result
