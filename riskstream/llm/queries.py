@@ -5,8 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from riskstream.llm import mixing, packing, passages, quality_rules, set_sketch, token_counts
+from pyspark.sql import functions as F
+
+from riskstream.llm import (
+    mixing,
+    packing,
+    passages,
+    quality_rules,
+    set_sketch,
+    token_counts,
+    vector_index,
+)
 from riskstream.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +86,10 @@ def op6_minhash_near_dedup(spark, folder):
 @_query
 def op9_substring_dedup(spark, folder):
     return passages.repeated_passages(table(spark, folder, "documents"))
+
+
+@_query
+def op10_nearest_neighbours(spark, folder):
+    return vector_index.nearest(
+        table(spark, folder, "embeddings"), asked=F.col("vec_id") % 20 == 0
+    )
