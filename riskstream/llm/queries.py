@@ -14,6 +14,7 @@ from riskstream.llm import (
     quality_rules,
     set_sketch,
     token_counts,
+    toxicity,
     vector_index,
 )
 from riskstream.llm.common import Scratch, table
@@ -83,6 +84,12 @@ def op6_minhash_near_dedup(spark, folder):
     return set_sketch.near_duplicates(table(spark, folder, "documents"), words=2)
 
 
+@_query
+def op7_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    return toxicity.toxicity(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
 @_query
 def op9_substring_dedup(spark, folder):
     return passages.repeated_passages(table(spark, folder, "documents"))
