@@ -18,7 +18,6 @@ def _large_star(edges: DataFrame) -> DataFrame:
         both.join(least, "u")
         .where("v > u")
         .select(F.col("v").alias("high"), F.col("least").alias("low"))
-        .distinct()
     )
 
 
@@ -43,14 +42,14 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     ).distinct()
     rows = scratch.keep(rows, f"{name}-0")
     done, number = None, 0
-    while True:
+    while not rows.isEmpty():
         number += 1
         rows = scratch.keep(_small_star(_large_star(rows)), f"{name}-{number}")
         seen = rows.select(
             F.count("*"), F.bit_xor(F.xxhash64("high", "low")), F.bit_xor(F.xxhash64("low"))
         ).first()
         scratch.drop(f"{name}-{number - 1}")
-        if seen == done or not seen[0]:
+        if seen == done:
             break
         done = seen
     stars = rows.toDF("node", "root")

@@ -7,9 +7,10 @@ both, and two sets agree in a register about as often as their Jaccard similarit
 
 1. Documents of the same set are one class, and go on as one node.
 2. Bands of ``BAND`` registers put a class in ``BANDS`` buckets. At similarity 0.8 a
-   pair misses every bucket with probability 5e-10.
+   pair misses every bucket with probability 3e-6; unrelated sets, which agree in a
+   register with probability 0.023, meet with probability 5e-12.
 3. In a bucket of several classes one, drawn by the bucket, is the centre. A class is
-   compared with ``CENTRES`` of its buckets' centres, so a bucket costs no more than its
+   compared with the centre it meets most often, so a bucket costs no more than its
    size, and most of a large group is one component after that.
 4. Components that share a bucket are a family, which still may hide links. Its commonest
    centre is its base, and each class is written as what it and the base don't share.
@@ -40,12 +41,11 @@ from pyspark.sql.window import Window
 from riskstream.llm.common import Scratch, mix
 from riskstream.llm.graph import components
 
-REGISTERS = 256
+REGISTERS = 512
 BASE, RATE, TOP = 1.1, 20.0, 255
-BAND = 5
+BAND = 8
 BANDS = REGISTERS // BAND
 TOGETHER = 256  # documents sketched at once
-CENTRES = 3  # compared with each class
 
 SKETCH = "struct<n_shingles: long, key1: long, key2: long, registers: binary>"
 
@@ -82,7 +82,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
         )
         noise = mix(items[:, None] ^ mix(steps)[None, :])
         uniform = ((noise & np.uint64((1 << 53) - 1)).astype(float) + 1) * 2.0**-53
-        where = places[:, None] + (noise >> np.uint64(56)).astype(np.int64)
+        where = places[:, None] + (noise >> np.uint64(55)).astype(np.int64)
         times = at[:, None] + np.cumsum(-np.log(uniform), axis=1) / (RATE * REGISTERS)
         np.minimum.at(least, where.ravel(), times.ravel())
         limit = least.reshape(-1, REGISTERS).max(axis=1)
@@ -166,60 +166,48 @@ def estimate(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray)
     return np.take_along_axis(j, likelihood.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
-@F.arrow_udf(T.DoubleType())
-def _estimated(left: pa.Array, right: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
-    parts = []
-    for i in range(0, len(left), 2048):
-        rows = [
-            np.frombuffer(b"".join(a.slice(i, 2048).to_pylist()), np.uint8).reshape(-1, REGISTERS)
-            for a in (left, right)
-        ]
-        sizes = [a.slice(i, 2048).to_numpy(zero_copy_only=False) for a in (n, m)]
-        parts.append(estimate(*rows, *sizes))
-    return pa.array(np.concatenate([*parts, np.empty(0)]))
-
-
-@F.arrow_udf(T.LongType())
-def _shared(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Sizes of intersections."""
-    found = []
-    for a, b in zip(left, right, strict=True):
-        a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-        small, large = (a, b) if len(a) < len(b) else (b, a)
-        at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-        found.append(int((large[at] == small).sum()))
-    return pa.array(found, pa.int64())
-
-
-class _Links:
-    """Confirmed links among pairs of nodes."""
-
-    def __init__(self, scratch: Scratch, classes: DataFrame, sets: DataFrame, percent: int):
-        self.scratch, self.classes, self.sets, self.percent = scratch, classes, sets, percent
-        deviation = (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
-        self.floor = percent / 100 - 6 * deviation
-
-    def _both(self, pairs: DataFrame, side: DataFrame, *columns: str) -> DataFrame:
-        for end in "ab":
-            named = [F.col(c).alias(f"{c}_{end}") for c in columns]
-            pairs = pairs.join(side.select(F.col("node").alias(end), *named), end)
-        return pairs
-
-    def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that are links, written."""
-        close = self._both(pairs, self.classes, "n_shingles", "registers").select(
-            "a", "b", "n_shingles_a", "n_shingles_b",
-            _estimated("registers_a", "registers_b", "n_shingles_a", "n_shingles_b").alias("j"),
-        )
-        close = self.scratch.keep(
-            close.where(F.col("j") >= self.floor).drop("j"), f"{name}-close"
-        )
-        shared = self._both(close, self.sets, "items").select(
-            "a", "b", "n_shingles_a", "n_shingles_b", _shared("items_a", "items_b").alias("s")
-        )
-        union = F.col("n_shingles_a") + F.col("n_shingles_b") - F.col("s")
-        links = shared.where(100 * F.col("s") >= self.percent * union).select("a", "b")
-        return self.scratch.keep(links, name)
+def _linked(percent: int):
+    """Whether two sets are linked: estimated from registers first, then confirmed."""
+    deviation = (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
+    floor = percent / 100 - 6 * deviation
+
+    @F.arrow_udf(T.BooleanType())
+    def linked(
+        registers_a: pa.Array, registers_b: pa.Array, items_a: pa.Array, items_b: pa.Array
+    ) -> pa.Array:
+        found = []
+        for i in range(0, len(items_a), 1024):
+            rows = [
+                np.frombuffer(b"".join(x.slice(i, 1024).to_pylist()), np.uint8).reshape(
+                    -1, REGISTERS
+                )
+                for x in (registers_a, registers_b)
+            ]
+            sets = [
+                [np.frombuffer(v.as_buffer(), np.uint64) for v in x.slice(i, 1024)]
+                for x in (items_a, items_b)
+            ]
+            sizes = [np.array([len(x) for x in side], float) for side in sets]
+            likely = estimate(*rows, *sizes) >= floor
+            for near, one, two in zip(likely, *sets, strict=True):
+                small, large = (one, two) if len(one) < len(two) else (two, one)
+                shared = 0
+                if near:
+                    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                    shared = int((large[at] == small).sum())
+                union = len(one) + len(two) - shared
+                found.append(bool(near) and 100 * shared >= percent * union)
+        return pa.array(found, pa.bool_())
+
+    return linked("registers_a", "registers_b", "items_a", "items_b")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes that are links."""
+    for end in "ab":
+        named = [F.col(c).alias(f"{c}_{end}") for c in ("registers", "items")]
+        pairs = pairs.join(sets.select(F.col("node").alias(end), *named), end)
+    return pairs.where(_linked(percent)).select("a", "b")
 
 
 def _pair(one: str, other: str) -> list[Column]:
@@ -359,28 +347,29 @@ def _resolved(docs: DataFrame, words: int, percent: int) -> DataFrame:
     members = scratch.keep(buckets.join(centres, "bucket"), "members")
 
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select(
-        "node", "key1", "key2", "doc_id",
+        "node", "key1", "key2", "registers", "doc_id",
         F.when(F.col("doc_id").isNull(), F.col("mark")).alias("mark"),
     )
     at = [wanted[c].eqNullSafe(docs[c]) for c in ("doc_id", "mark")]
     found = docs.join(wanted, at[0] & at[1]).select(
-        "node", "key1", "key2", keyed_set(docs["text"], words).alias("s")
+        "node", "key1", "key2", "registers", keyed_set(docs["text"], words).alias("s")
     )
     # Of rows that share an id, those whose set it is.
     own = (F.col("s.key1") == F.col("key1")) & (F.col("s.key2") == F.col("key2"))
-    found = found.where(own).select("node", "s.items").dropDuplicates(["node"])
+    found = found.where(own).select("node", "registers", "s.items").dropDuplicates(["node"])
     sets = scratch.keep(found, "sets")
 
-    links = _Links(scratch, classes, sets, percent)
-    stars = members.where("node <> centre").select(*_pair("node", "centre"), "node").distinct()
-    drawn = Window.partitionBy("node").orderBy(F.xxhash64("a", "b"), "a", "b")
-    first = stars.withColumn("rank", F.row_number().over(drawn)).where(f"rank <= {CENTRES}")
-    edges = links.confirmed(first.select("a", "b").distinct(), "stars")
+    meetings = members.where("node <> centre").groupBy("node", "centre").count()
+    often = meetings.groupBy("node").agg(F.max(F.struct("count", "centre")).alias("most"))
+    stars = often.select("node", F.col("most.centre").alias("centre"))
+    edges = scratch.keep(
+        _confirmed(stars.select(*_pair("node", "centre")).distinct(), sets, percent), "stars"
+    )
     scratch.settle()
     roots = scratch.keep(components(edges, scratch, "star-roots"), "roots")
     near_base, pairs = _across(members, roots, sets, scratch, percent)
-    edges = edges.union(near_base).union(links.confirmed(pairs, "across"))
-    roots = components(edges, scratch, "all-roots")
+    across = scratch.keep(_confirmed(pairs, sets, percent), "across")
+    roots = components(edges.union(near_base).union(across), scratch, "all-roots")
 
     ids = classes.join(roots, "node", "left").select(
         "key1", "key2", "doc_id", "mark", F.coalesce("root", "node").alias("root")
