@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 import numpy as np
@@ -12,6 +11,8 @@ from riskstream.session import shared_folder
 
 # A word: what stands between these six white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -33,8 +34,18 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
-        """Write a frame and return the written table."""
-        frame.write.mode("overwrite").parquet(self.path(name))
+        """Write a frame and return the written table.
+
+        The shuffle files of the write go at its end: nothing reads them again, and
+        otherwise they stay until the driver's garbage happens to be collected.
+        """
+        conf = self.spark.conf
+        before = conf.get(_CLEANUP)
+        conf.set(_CLEANUP, "true")
+        try:
+            frame.write.mode("overwrite").parquet(self.path(name))
+        finally:
+            conf.set(_CLEANUP, before)
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
@@ -43,14 +54,6 @@ class Scratch:
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         path.getFileSystem(conf).delete(path, True)
 
-    def settle(self) -> None:
-        """Let Spark delete the shuffle files of frames that nothing refers to any more.
-
-        It does so when the driver's garbage is collected, which may be long after.
-        """
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
 
 def mix(values: np.ndarray) -> np.ndarray:
     """A fixed scrambling of 64-bit numbers (the SplitMix64 finaliser)."""

@@ -365,7 +365,6 @@ def _resolved(docs: DataFrame, words: int, percent: int) -> DataFrame:
     edges = scratch.keep(
         _confirmed(stars.select(*_pair("node", "centre")).distinct(), sets, percent), "stars"
     )
-    scratch.settle()
     roots = scratch.keep(components(edges, scratch, "star-roots"), "roots")
     near_base, pairs = _across(members, roots, sets, scratch, percent)
     across = scratch.keep(_confirmed(pairs, sets, percent), "across")
