@@ -11,6 +11,7 @@ from riskstream.llm import (
     mixing,
     packing,
     passages,
+    quality_classifier,
     quality_rules,
     set_sketch,
     token_counts,
@@ -62,6 +63,20 @@ def op2_token_counts(spark, folder):
     )
 
 
+def _ratings(labels: DataFrame) -> DataFrame:
+    """Grades of the labelled documents: 0 poor, 1 good but toxic, 2 good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    known = F.col("quality").isNotNull() & F.col("toxic").isNotNull()
+    return labels.select("doc_id", F.when(known, grade).alias("grade"))
+
+
+@_query
+def op3_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = quality_classifier.learn(docs, _ratings(table(spark, folder, "labels")))
+    return quality_classifier.quality_grades(docs, model)
+
+
 @_query
 def op4_best_fit_packing(spark, folder):
     return packing.packed(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
