@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.llm import (
+    licences,
     mixing,
     packing,
     passages,
@@ -105,6 +106,18 @@ def op7_toxicity(spark, folder):
     return toxicity.toxicity(docs, toxicity.learn(docs, table(spark, folder, "labels")))
 
 
+@_query
+def op8_licence_scan(spark, folder):
+    """Documents as files of the directories source / language."""
+    name = [F.coalesce(F.col(c).cast("string"), F.lit("_")) for c in ("source", "lang", "doc_id")]
+    files = table(spark, folder, "documents").select(
+        F.concat_ws("/", *name).alias("path"), "text"
+    )
+    found = licences.licences(files)
+    doc_id = F.element_at(F.split("path", "/"), -1).try_cast("long")
+    return found.select(doc_id.alias("doc_id"), "*")
+
+
 @_query
 def op9_substring_dedup(spark, folder):
     return passages.repeated_passages(table(spark, folder, "documents"))
