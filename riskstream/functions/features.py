@@ -16,8 +16,17 @@ def is_finite(value: Column) -> Column:
 
 
 def micros(value: Column) -> Column:
-    """A money amount in whole millionths, so that sums are exact in any order."""
-    return F.floor(value * F.lit(1e6) + F.lit(0.5)).cast("bigint")
+    """A money amount in whole millionths, so that sums are exact in any order.
+
+    Null when the amount isn't finite or has more than 28 digits in millionths: 10^10
+    of the largest still add up without overflow.
+    """
+    return F.rint(value * F.lit(1e6)).try_cast("decimal(28,0)")
+
+
+def unsummable(value: Column) -> Column:
+    """Whether an amount is there but has no exact millionths."""
+    return value.isNotNull() & micros(value).isNull()
 
 
 def from_micros(total: Column) -> Column:
@@ -25,6 +34,11 @@ def from_micros(total: Column) -> Column:
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Round by one multiply, floor and divide: the same double on any engine."""
+    """Round by one multiply, floor and divide: the same double on any engine.
+
+    From 2^53 on a scaled double has no fraction, and stays as it is.
+    """
     scale = F.lit(float(10**digits))
-    return F.floor(value * scale + F.lit(0.5)).cast("double") / scale
+    scaled = value * scale + F.lit(0.5)
+    small = F.abs(scaled) < F.lit(float(2**53))
+    return F.when(small, F.floor(F.when(small, scaled)).cast("double") / scale).otherwise(value)

@@ -3,17 +3,19 @@
 Transactions come with ``user_id``, ``ts`` (TIMESTAMP) and ``amount``. No step
 brings all rows of a busy user together: rows are first reduced, map side, to
 one row per user and *pane* (a short stretch of time), so what reaches a user's
-group is bounded by the time span over the pane and not by the user's traffic;
-where each row needs an answer, a busy user's rows are grouped by pane. Rows
-without a time are in no window.
+group is bounded by the time span over the pane and not by the user's traffic.
+Rows without a time are in no window. A sum or mean over an amount that is not
+finite, or beyond 10^21, is null.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskstream.functions.features import from_micros, half_up, micros
+from riskstream.functions.features import from_micros, half_up, micros, unsummable
 
 HOUR = 3600
 SECOND = 1_000_000  # in microseconds
@@ -34,7 +36,9 @@ def _pane(time: Column, length: int) -> Column:
 
 
 def _total(amount: Column) -> Column:
-    return half_up(from_micros(F.sum(micros(amount))), 2)
+    """The sum; null if an amount is not finite or too large to be summed exactly."""
+    total = half_up(from_micros(F.sum(micros(amount))), 2)
+    return F.when(F.count(F.when(unsummable(amount), 1)) == 0, total)
 
 
 def tumbling(transactions: DataFrame, seconds: float = 6 * HOUR) -> DataFrame:
@@ -65,31 +69,28 @@ def with_profile(transactions: DataFrame, seconds: float = 6 * HOUR) -> DataFram
     )
 
 
-# Up to this many overlapping windows per row, copying rows before the map-side
-# reduction costs less than a second shuffle.
-FEW_WINDOWS = 4
-
-
 def sliding(
     transactions: DataFrame, seconds: float = 6 * HOUR, slide: float = 2 * HOUR
 ) -> DataFrame:
     """Count per user and overlapping window; batch or stream.
 
-    A window is a run of slide-long panes. When many windows overlap, a batch
-    counts its rows once per pane and copies only the counts to the windows.
+    A window is a run of panes as long as what divides both the window and the slide.
+    A batch counts its rows once per pane and copies only the counts to the windows.
     """
     length, step = round(seconds * SECOND), round(slide * SECOND)
-    if transactions.isStreaming or length % step or length // step <= FEW_WINDOWS:
+    if transactions.isStreaming:
         return (
             transactions.groupBy(F.window("ts", _clock(seconds), _clock(slide)), "user_id")
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("window.start").alias("window_start"), "user_id", "n")
         )
     timed = transactions.where(F.col("ts").isNotNull())
-    panes = timed.groupBy("user_id", _pane(F.unix_micros("ts"), step).alias("pane")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    starts = F.sequence(F.col("pane") - F.lit(length - step), F.col("pane"), F.lit(step))
+    pane = _pane(F.unix_micros("ts"), gcd(length, step))
+    panes = timed.groupBy("user_id", pane.alias("pane")).agg(F.count(F.lit(1)).alias("n"))
+    # The last window that begins by the pane, and those before it that still hold it.
+    last = _pane(F.col("pane"), step)
+    first = last - F.floor((F.lit(length - 1) - (F.col("pane") - last)) / step) * step
+    starts = F.when(first <= last, F.sequence(first, last, F.lit(step)))
     return (
         panes.select("user_id", F.explode(starts).alias("start"), "n")
         .groupBy("user_id", "start")
@@ -128,95 +129,84 @@ def sessions(transactions: DataFrame, gap: float = 6 * HOUR) -> DataFrame:
     )
 
 
-# Users with more rows than this are split by time. At most one user in
-# ``rows / BUSY_ROWS`` can be: 250,000 of 10^12 rows, a few megabytes of ids.
-BUSY_ROWS = 4_000_000
-SPLITS = 64
+# A running sum is taken in three steps, each over a group that is bounded whatever a user
+# sends: the instants of a second, the seconds of a day, the days of a user.
+DAY = 24 * HOUR
+
+
+def _running(changes: DataFrame, columns: list[str]) -> DataFrame:
+    """Sums of a user's changes up to and at each of their instants ``at``."""
+    second = F.floor(F.col("at") / SECOND)
+    changes = changes.withColumns({"second": second, "day": F.floor(second / DAY)})
+
+    def summed(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
 
+    def before(rows: DataFrame, within: list[str], order: str, last: int) -> DataFrame:
+        past = Window.partitionBy(*within).orderBy(order).rowsBetween(
+            Window.unboundedPreceding, last
+        )
+        sums = {c: F.coalesce(F.sum(c).over(past), F.lit(0).cast("decimal(38,0)")) for c in columns}
+        return rows.withColumns(sums)
+
+    def added(rows: DataFrame, earlier: DataFrame, *keys: str) -> DataFrame:
+        # Rows without a user count as one user.
+        earlier = earlier.select(
+            *[F.col(k).alias(f"{k}_") for k in keys], *[F.col(c).alias(f"{c}_") for c in columns]
+        )
+        same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
+        return rows.join(earlier, same).select(
+            *[c for c in rows.columns if c not in columns],
+            *[(F.col(c) + F.col(f"{c}_")).cast("decimal(38,0)").alias(c) for c in columns],
+        )
 
-def busy_users(transactions: DataFrame, rows: int = BUSY_ROWS) -> DataFrame:
-    """Users with more than ``rows`` rows; counted map side, from one column."""
-    counts = transactions.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > rows).select(F.col("user_id").alias("busy_user"))
+    seconds = summed(changes, "user_id", "day", "second")
+    days = before(summed(seconds, "user_id", "day"), ["user_id"], "day", -1)
+    seconds = added(before(seconds, ["user_id", "day"], "second", -1), days, "user_id", "day")
+    instants = before(changes, ["user_id", "second"], "at", Window.currentRow)
+    return added(instants, seconds, "user_id", "second").select("user_id", "at", *columns)
 
 
 def trailing(
     transactions: DataFrame,
     seconds: float = 6 * HOUR,
     keep: tuple[str, ...] = ("transaction_id", "user_id", "ts"),
-    busy_rows: int = BUSY_ROWS,
-    splits: int = SPLITS,
 ) -> DataFrame:
     """Per transaction, count and mean amount of its user over ``[ts - d, ts]``.
 
-    What entered by ``ts`` minus what entered before ``ts - d``: two frames that
-    only ever grow, so the work is linear in the rows, where a sliding frame
-    would add up each frame anew. A user of at most ``busy_rows`` rows is one
-    group. A busier one is a group per pane (a ``splits``-th of the window): the
-    pane begins with what the window already holds, from the totals of the panes
-    before it, reduced map side, and each row is sent on to the pane it leaves in.
+    Rows of one user and instant are one change, and one the other way at the first
+    instant past their window; the running sum of a user's changes is what the window
+    holds. Work is linear in the rows, for every user alike, and no group grows with what
+    a user sends. A row without a time is in no window and isn't shuffled.
     """
-    length = round(seconds * SECOND)
-    if length % splits:
-        raise ValueError("splits must divide the window into whole microseconds")
-    short = length // splits
-
-    busy = F.broadcast(busy_users(transactions, busy_rows).withColumn("busy", F.lit(True)))
-    # Rows without a user count as one user, who may be the busiest.
-    is_busy = F.col("user_id").eqNullSafe(F.col("busy_user"))
+    past = round(seconds * SECOND) + 1  # a row still counts at the very end of its window
+    amount = F.col("amount")
     extra = [] if "user_id" in keep else ["user_id"]
-    rows = (
-        transactions.withColumns({"at": F.unix_micros("ts"), "worth": micros(F.col("amount"))})
-        .join(busy, is_busy, "left")
-        .select(*keep, *extra, "at", "worth", "busy")
+    rows = transactions.withColumn("at", F.unix_micros("ts"))
+    timeless = rows.where("at is null").select(
+        *keep, F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("mean_amount")
     )
-
-    def pane(at: Column) -> Column:
-        return F.when(F.col("busy"), _pane(at, short)).otherwise(0).alias("pane")
-
-    def if_enters(value: Column, otherwise: Column) -> Column:
-        return F.when(F.col("enters"), value).otherwise(otherwise)
-
-    at, worth = F.col("at"), F.col("worth")
-    once, twice = F.array(F.lit(True)), F.array(F.lit(True), F.lit(False))
-    events = rows.withColumn(
-        "enters", F.explode(F.when(F.col("busy"), twice).otherwise(once))
-    ).select(
-        *[if_enters(F.col(c), F.lit(None)).alias(c) for c in keep if c != "user_id"],
-        "user_id",
-        pane(if_enters(at, at + length)),
-        # A row still counts at the very end of its window.
-        if_enters(at, at + (length + 1)).alias("at"),
-        "enters",
-        if_enters(F.lit(1), F.lit(-1)).cast("bigint").alias("n"),
-        if_enters(worth, -worth).alias("worth"),
+    rows = rows.where("at is not null")
+    columns = ["n", "worth", "odd"]
+    entering = rows.groupBy("user_id", "at").agg(
+        F.count(F.lit(1)).cast("decimal(38,0)").alias("n"),
+        F.coalesce(F.sum(micros(amount)), F.lit(0).cast("decimal(38,0)")).alias("worth"),
+        F.count(F.when(unsummable(amount), 1)).cast("decimal(38,0)").alias("odd"),
     )
-    before = Window.partitionBy("user_id").orderBy("pane").rangeBetween(-length, -1)
-    held = (
-        rows.where("busy")
-        .groupBy("user_id", pane(at))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("worth").alias("worth"))
-        .withColumns({"n": F.sum("n").over(before), "worth": F.sum("worth").over(before)})
-        .where(F.col("n").isNotNull())
-        .select(
-            "user_id", "pane", F.col("pane").alias("at"), F.lit(False).alias("enters"), "n", "worth"
-        )
+    leaving = entering.select(
+        "user_id", (F.col("at") + past).alias("at"), *[(-F.col(c)).alias(c) for c in columns]
     )
-    group = Window.partitionBy("user_id", "pane").orderBy("at")
-    so_far = group.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    # Empty within a pane, which is no longer than the window.
-    expired = group.rangeBetween(Window.unboundedPreceding, -(length + 1))
-    inside = {
-        c: F.sum(c).over(so_far) - F.coalesce(F.sum(c).over(expired), F.lit(0))
-        for c in ("n", "worth")
-    }
-    mean = from_micros(worth) / F.nullif(F.col("n"), F.lit(0))
-    return (
-        events.unionByName(held, allowMissingColumns=True)
-        .withColumns(inside)
-        .where("enters")
-        .select(*keep, "n", half_up(mean, 2).alias("mean_amount"))
+    changes = entering.union(leaving).groupBy("user_id", "at").agg(
+        *[F.sum(c).alias(c) for c in columns]
+    )
+    held = _running(changes, columns).toDF("user_id_", "at_", *columns)
+    same = rows["user_id"].eqNullSafe(held["user_id_"]) & (rows["at"] == held["at_"])
+    mean = half_up(from_micros(F.col("worth")) / F.nullif(F.col("n"), F.lit(0)).cast("double"), 2)
+    timed = rows.select(*keep, *extra, "at").join(held, same).select(
+        *keep, F.col("n").cast("bigint").alias("n"),
+        F.when(F.col("odd") == 0, mean).alias("mean_amount"),
     )
+    return timed.union(timeless)
 
 
 def bursts(trailed: DataFrame, at_least: int = 5) -> DataFrame:

@@ -78,7 +78,7 @@ _LABELLED = """labelled AS (
      + stand_in * 0.2e0) AS fraud_prob
     FROM {source}))"""
 
-_MICROS = "CAST(floor(amount * 1e6 + 0.5e0) AS BIGINT)"
+_MICROS = "CAST(round_even(amount * 1e6, 0) AS HUGEINT)"
 
 
 def _cents(value: str) -> str:
@@ -231,6 +231,15 @@ def queries() -> dict[str, str]:
         " RANGE BETWEEN INTERVAL '6 hours' PRECEDING AND CURRENT ROW))"
         f" SELECT event_id, user_id, n, {_cents('mean')} AS mean_amount FROM trailed"
     )
+    # Amounts that are large, too large, or no numbers; totals in millions, rounded.
+    money = (
+        f"WITH {_TX}, odd AS (SELECT event_id, ts, user_id, CASE event_id % 100"
+        " WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN CAST('Infinity' AS DOUBLE)"
+        " WHEN 2 THEN 1e25 ELSE amount * 1099511627776e0 END AS amount FROM tx),"
+        " worth AS (SELECT *, isfinite(amount) AND amount < 1e21 AS fits, CASE WHEN"
+        f" isfinite(amount) AND amount < 1e21 THEN {_MICROS} END AS micros FROM odd)"
+    )
+    millions = "CAST(round(CAST(sum(micros) {0} AS DOUBLE) / 1e6 / {1} 1e6) AS BIGINT)"
     alert_text = (
         "SELECT transaction_id, 'Transaction ID: ' || transaction_id || chr(10)"
         " || 'User ID:        ' || user_id || chr(10)"
@@ -314,6 +323,24 @@ def queries() -> dict[str, str]:
             " - k * INTERVAL '2 hours' AS window_start, user_id, count(*) AS n"
             " FROM tx, (VALUES (0), (1), (2)) AS back(k) GROUP BY 1, 2"
         ),
+        "velocity_uneven": (
+            f"WITH {_TX} SELECT time_bucket(INTERVAL '2 hours', ts, TIMESTAMP '1970-01-01')"
+            " - k * INTERVAL '2 hours' AS window_start, user_id, count(*) AS n"
+            " FROM tx, (VALUES (0), (1), (2)) AS back(k)"
+            " WHERE ts < time_bucket(INTERVAL '2 hours', ts, TIMESTAMP '1970-01-01')"
+            " - k * INTERVAL '2 hours' + INTERVAL '5 hours' GROUP BY 1, 2"
+        ),
+        "velocity_money": (
+            f"{money} SELECT time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01')"
+            " AS window_start, user_id, count(*) AS n, CASE WHEN bool_and(fits) THEN "
+            + millions.format("", "") + " END AS millions FROM worth GROUP BY 1, 2"
+        ),
+        "trailing_money": (
+            f"{money} SELECT event_id, count(*) OVER w AS n, CASE WHEN bool_and(fits) OVER w THEN "
+            + millions.format("OVER w", "count(*) OVER w /")
+            + " END AS millions FROM worth WINDOW w AS (PARTITION BY user_id ORDER BY ts"
+            " RANGE BETWEEN INTERVAL '6 hours' PRECEDING AND CURRENT ROW)"
+        ),
         "velocity_session": (
             f"WITH {_TX}, marked AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w"
             " <= INTERVAL '6 hours' THEN 0 ELSE 1 END AS starts FROM tx"
@@ -327,6 +354,9 @@ def queries() -> dict[str, str]:
         "burst_flag": f"SELECT * FROM ({trailing}) WHERE n >= 5",
         "tx_dedup": (
             f"WITH {_TX} SELECT transaction_id, user_id, amount, 0 AS arrival FROM tx"
+            " WHERE event_id % 10 <> 0 UNION ALL SELECT NULL, user_id, amount, copy FROM tx,"
+            " (VALUES (0), (1), (2)) AS copies(copy)"
+            " WHERE event_id % 10 = 0 AND copy <= event_id % 3"
         ),
         "gen_training": _generated_training(),
         "gen_transactions": _generated_transactions(),

@@ -297,6 +297,41 @@ def velocity_sliding(spark, folder):
     return windows.withColumn("window_start", _wall_clock("window_start"))
 
 
+@_query
+def velocity_uneven(spark, folder):
+    """Windows of five hours every two: panes of one hour."""
+    windows = velocity.sliding(_tx(spark, folder), 5 * velocity.HOUR, 2 * velocity.HOUR)
+    return windows.withColumn("window_start", _wall_clock("window_start"))
+
+
+def _odd_money(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts past what 64 bits hold in millionths, some beyond any sum or no number."""
+    kind = F.col("event_id") % 100
+    amount = (
+        F.when(kind == 0, F.lit(float("nan")))
+        .when(kind == 1, F.lit(float("inf")))
+        .when(kind == 2, F.lit(1e25))
+        .otherwise(F.col("amount") * F.lit(float(1 << 40)))
+    )
+    return _tx(spark, folder).withColumn("amount", amount)
+
+
+def _millions(column: str) -> Column:
+    return F.round(F.col(column) / F.lit(1e6)).cast("bigint").alias("millions")
+
+
+@_query
+def velocity_money(spark, folder):
+    windows = velocity.tumbling(_odd_money(spark, folder))
+    return windows.select(_wall_clock("window_start"), "user_id", "n", _millions("total"))
+
+
+@_query
+def trailing_money(spark, folder):
+    rows = velocity.trailing(_odd_money(spark, folder), keep=("event_id",))
+    return rows.select("event_id", "n", _millions("mean_amount"))
+
+
 @_query
 def velocity_session(spark, folder):
     found = velocity.sessions(_tx(spark, folder))
@@ -317,10 +352,14 @@ def burst_flag(spark, folder):
 
 
 def _redelivered(spark: SparkSession, folder: str) -> DataFrame:
-    """Each transaction one to three times, later copies with a later arrival."""
+    """Each transaction one to three times, later copies with a later arrival.
+
+    Every tenth has lost its id.
+    """
     copy = F.explode(F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int")))
+    named = F.when(F.col("event_id") % 10 != 0, F.col("transaction_id"))
     return _tx(spark, folder).select(
-        "transaction_id", "user_id", "amount", copy.alias("arrival")
+        named.alias("transaction_id"), "user_id", "amount", copy.alias("arrival")
     )
 
 
