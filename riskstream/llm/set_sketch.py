@@ -138,9 +138,14 @@ def keyed_set(text: Column, words: int) -> Column:
     @F.arrow_udf("struct<key1: long, key2: long, items: binary>")
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [shingle_set(v.as_py(), words) for v in batch]
-            items = pa.array((s.tobytes() for s in found), pa.binary())
-            yield pa.StructArray.from_arrays([*_keys(found), items], ["key1", "key2", "items"])
+            parts = []
+            for i in range(0, len(batch), TOGETHER):
+                found = [shingle_set(v.as_py(), words) for v in batch.slice(i, TOGETHER)]
+                items = pa.array((s.tobytes() for s in found), pa.binary())
+                parts.append(
+                    pa.StructArray.from_arrays([*_keys(found), items], ["key1", "key2", "items"])
+                )
+            yield pa.concat_arrays(parts)
 
     return sets(text)
 
@@ -286,14 +291,20 @@ def _across(
         "rank <= wide + 1.000001 and times > 1"
     )
     ranked = scratch.keep(ranked.drop("times", "wide"), "rarest")
-    less = ranked.where("rank <= narrow + 1.000001").drop("rank", "narrow")
+    less = ranked.where("rank <= narrow + 1.000001").drop("narrow")
     less = less.toDF(*(c if c in ("family", "item") else f"{c}_a" for c in less.columns))
-    more = ranked.drop("rank", "narrow")
+    more = ranked.drop("narrow")
     more = more.toDF(*(c if c in ("family", "item") else f"{c}_b" for c in more.columns))
+    most = f"{slack} * (n_shingles_a + n_shingles_b)"
     pairs = (
         less.join(more, ["family", "item"])
         .where("apart_a < apart_b or (apart_a = apart_b and node_a < node_b)")
         .where("root_a <> root_b and not (near_a and near_b)")
+        # What a linked pair's differences share is all but the slack; from these ranks on
+        # it must still fit.
+        .where(f"apart_b - apart_a <= {most}")
+        .where(f"2 * rank_a <= apart_a - apart_b + {most} + 2.000001")
+        .where(f"2 * rank_b <= apart_b - apart_a + {most} + 2.000001")
         .where(
             f"100 * least(n_shingles_a, n_shingles_b)"
             f" >= {percent} * greatest(n_shingles_a, n_shingles_b)"
