@@ -43,7 +43,8 @@ DISCOUNT = 0.75
 SAMPLE = 6000
 TOP = 3  # strongest words that count on their own
 THRESHOLD = 0.7
-MOST_WORDS = 400_000  # words whose evidence a worker remembers
+MOST_WORDS = 400_000  # words a worker remembers, to count them or their evidence
+TOGETHER = 50_000  # words whose letters are worked on at once
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 COUNTS = "order int, slot int, context int, suffix int, started boolean, kind int, n double"
@@ -96,17 +97,26 @@ def _counted(kind: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.zeros(SLOTS) for _ in range(ORDER)]
         parts = [np.zeros((3, SLOTS), np.int32) for _ in range(ORDER)]
-        for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                words: Counter = Counter()
-                for text in batch.column(0).slice(i, 1000).to_pylist():
-                    words.update(words_of(text))
-                times = np.fromiter(words.values(), float, len(words))
-                for table, part, g in zip(tables, parts, _grams(list(words)), strict=True):
+
+        def add(words: Counter) -> None:
+            listed = list(words)
+            for i in range(0, len(listed), TOGETHER):
+                group = listed[i : i + TOGETHER]
+                times = np.fromiter(map(words.__getitem__, group), float, len(group))
+                for table, part, g in zip(tables, parts, _grams(group), strict=True):
                     table += np.bincount(g.slot, times[g.word], SLOTS)
                     # Any of a slot's groups stands for it; the same in every task.
                     for row, value in zip(part, (g.context, g.suffix, g.started), strict=True):
                         np.maximum.at(row, g.slot, value)
+
+        words: Counter = Counter()
+        for batch in batches:
+            for value in batch.column(0):
+                words.update(words_of(value.as_py()))
+                if len(words) > MOST_WORDS:
+                    add(words)
+                    words = Counter()
+        add(words)
         for order, (table, part) in enumerate(zip(tables, parts, strict=True), 1):
             slots = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays(
@@ -235,7 +245,9 @@ def _features(text: Column, tables) -> Column:
 
 def _count_orders(documents: DataFrame, labels: DataFrame, scratch: Scratch) -> list[_Order]:
     docs = documents.select("doc_id", "text")
-    taught = docs.join(labels.where(fold(F.col("doc_id")) == 0), "doc_id")
+    # Sorted and merged at any size: the labels grow with the corpus.
+    fold_of = labels.where(fold(F.col("doc_id")) == 0).hint("merge")
+    taught = docs.join(fold_of, "doc_id")
     taught = scratch.keep(taught.select("text", "toxic"), "taught")
     counts = docs.select("text").mapInArrow(_counted(2), COUNTS)
     for kind, label in ((0, 1), (1, 0)):
