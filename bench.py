@@ -39,7 +39,6 @@ HEADLINE = [
     "velocity_trailing",
     "burst_flag",
     "tx_dedup",
-    "gen_transactions",
     "stream_scored",
 ]
 

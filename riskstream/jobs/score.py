@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from riskstream import session
 from riskstream.config import Policy, StreamConfig
@@ -17,13 +18,20 @@ from riskstream.sources.streams import file_stream, kafka_stream
 from riskstream.streaming import scoring
 from riskstream.streaming.sinks import files, kafka
 
+# Most of one batch unless told: a first start at the earliest offset takes many batches.
+OFFSETS = 100_000
+FILES = 100
+
 
 def main(argv: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     args.add_argument("--source", help="folder of payload lines instead of the topic")
     args.add_argument("--sink", help="folder for messages instead of the topics")
     args.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
-    args.add_argument("--per-trigger", type=int, help="most offsets or files per batch")
+    args.add_argument(
+        "--per-trigger", type=int,
+        help="most offsets (100,000 unless given) or files (100) per batch; the rest follows",
+    )
     args.add_argument("--interval", help="time between batches, such as '30 seconds'")
     args.add_argument("--once", action="store_true", help="stop at the end of the input")
     given = args.parse_args(argv)
@@ -31,12 +39,13 @@ def main(argv: list[str] | None = None) -> None:
     config = StreamConfig.from_env()
     spark = session.builder("riskstream-score").getOrCreate()
     fitted = model.load(config.model_path)
+    shared = partial(session.shared_path, spark)
 
     if given.source:
-        messages = file_stream(spark, given.source, per_trigger=given.per_trigger)
+        messages = file_stream(spark, given.source, per_trigger=given.per_trigger or FILES)
     else:
         messages = kafka_stream(
-            spark, config, config.transaction_topic, given.starting, given.per_trigger
+            spark, config, config.transaction_topic, given.starting, given.per_trigger or OFFSETS
         )
     if given.sink:
         scored_topic = files(f"{given.sink}/{config.scored_topic}", "parquet")
@@ -52,13 +61,13 @@ def main(argv: list[str] | None = None) -> None:
         messages,
         fitted,
         scoring.Outputs(
-            table=config.processed_path,
+            table=shared(config.processed_path),
             scored_topic=scored_topic,
             alerts_topic=alerts_topic,
-            cases=files(config.fraud_path, "json"),
-            dead_letter=files(config.dead_letter_path, "json"),
+            cases=files(shared(config.fraud_path), "json"),
+            dead_letter=files(shared(config.dead_letter_path), "json"),
         ),
-        checkpoint=f"{config.checkpoint_dir}/scoring",
+        checkpoint=shared(f"{config.checkpoint_dir}/scoring"),
         policy=Policy.from_env(),
         trigger=trigger,
     )

@@ -7,11 +7,11 @@ import os
 import uuid
 from functools import cache
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,16 +47,29 @@ def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURE_ORDER, outputCol="features")
 
 
-def pipeline(seed: int = SEED) -> Pipeline:
-    forest = RandomForestClassifier(
+def forest(bins: int = BINS, seed: int = SEED) -> RandomForestClassifier:
+    return RandomForestClassifier(
         labelCol="label",
         featuresCol="features",
         numTrees=TREES,
         maxDepth=DEPTH,
-        maxBins=BINS,
+        maxBins=bins,
         seed=seed,
     )
-    return Pipeline(stages=[indexer(), assembler(), forest])
+
+
+def fit_stages(rows: DataFrame, seed: int = SEED) -> PipelineModel:
+    """Indexer, assembler and forest; a category may have more labels than ``BINS``."""
+    indexed = indexer().fit(rows)
+    labels = max(len(found) for found in indexed.labelsArray)
+    prepared = assembler().transform(indexed.transform(rows))
+    # Two classes are known beforehand; without saying so the fit looks for the largest.
+    two = {"ml_attr": {"type": "nominal", "vals": ["0", "1"], "name": "label"}}
+    prepared = prepared.select(
+        "features", F.col("label").cast("double").alias("label", metadata=two)
+    )
+    fitted = forest(max(BINS, labels + 1), seed).fit(prepared)
+    return PipelineModel(stages=[indexed, assembler(), fitted])
 
 
 def with_split(rows: DataFrame, key: str) -> DataFrame:
@@ -88,7 +101,7 @@ def fit(rows: DataFrame, key: str, seed: int = SEED) -> tuple[PipelineModel, flo
     """Fit on the training side; return the model and its holdout AUC."""
     columns = [*schema.MODEL_INPUTS, "label"]
     split = with_split(rows, key)
-    model = pipeline(seed).fit(split.where("is_train").select(columns))
+    model = fit_stages(split.where("is_train").select(columns), seed)
     holdout = split.where("NOT is_train").select(columns)
     return model, area_under_roc(model.transform(holdout).select("rawPrediction", "label"))
 
@@ -101,15 +114,39 @@ def area_under_roc(predictions: DataFrame, score: str = "rawPrediction") -> floa
     return evaluator.evaluate(predictions)
 
 
+def rank_sum_area(predictions: DataFrame, score: Column) -> float:
+    """The area from ranks: how often a positive outscores a negative, ties half.
+
+    Rows are reduced to one per distinct score before these are put in order.
+    """
+    scores = predictions.groupBy(score.alias("score")).agg(
+        F.sum("label").alias("yes"), F.sum(1 - F.col("label")).alias("no")
+    )
+    below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    outscored = F.coalesce(F.sum("no").over(below), F.lit(0)) + F.col("no") / 2
+    wins, yes, no = (
+        scores.withColumn("wins", F.col("yes") * outscored)
+        .agg(F.sum("wins"), F.sum("yes"), F.sum("no"))
+        .first()
+    )
+    return wins / (yes * no)
+
+
 def category_index(rows: DataFrame) -> DataFrame:
-    """The fitted ordinals as a table: ``field, label, idx``."""
-    fitted = indexer().fit(rows.select(schema.CATEGORY_INPUTS))
-    entries = [
-        (field, label, float(i))
-        for field, found in zip(schema.CATEGORY_INPUTS, fitted.labelsArray)
-        for i, label in enumerate(found)
-    ]
-    return rows.sparkSession.createDataFrame(entries, "field string, label string, idx double")
+    """The ordinals as a table, ``field, label, idx``, as the indexer would fit them."""
+    fields = F.explode(
+        F.array(
+            *[F.struct(F.lit(f).alias("field"), F.col(f).alias("label")) for f in schema.CATEGORY_INPUTS]
+        )
+    )
+    counts = (
+        rows.select(fields.alias("f")).select("f.*").where("label is not null")
+        .groupBy("field", "label").count()
+    )
+    order = Window.partitionBy("field").orderBy(F.desc("count"), "label")
+    return counts.select(
+        "field", "label", (F.row_number().over(order) - 1).cast("double").alias("idx")
+    )
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -41,17 +41,17 @@ _RULES = """((CASE WHEN amount > 5000e0 THEN 0.5e0 ELSE 0e0 END
       + CASE WHEN location = 'FOREIGN_REMOTE' THEN 0.2e0 ELSE 0e0 END)"""
 
 
-def _decided(source: str) -> str:
+def _decided(source: str, weight: float = 0.6, fraud: float = 0.7) -> str:
     """``source`` holds transactions with a ``fraud_probability``."""
     return f"""ruled AS (SELECT *, {_RULES} AS rule_score FROM {source}),
 blended AS (
-  SELECT *, fraud_probability * 0.6e0 + rule_score * 0.4e0 AS final_fraud_score FROM ruled),
+  SELECT *, fraud_probability * {weight!r}e0 + rule_score * {1 - weight!r}e0 AS final_fraud_score FROM ruled),
 scored AS (
   SELECT *,
     CAST(trunc(final_fraud_score * 10e0) AS INTEGER) AS risk_level,
-    CASE WHEN final_fraud_score > 0.7e0 THEN 'FRAUD'
+    CASE WHEN final_fraud_score > {fraud!r}e0 THEN 'FRAUD'
       WHEN final_fraud_score > 0.4e0 THEN 'SUSPICIOUS' ELSE 'NORMAL' END AS prediction,
-    CASE WHEN final_fraud_score > 0.7e0 THEN 'High ML Alert + Risky Rules'
+    CASE WHEN final_fraud_score > {fraud!r}e0 THEN 'High ML Alert + Risky Rules'
       WHEN fraud_probability > 0.8e0 THEN 'Extreme ML Anomaly'
       WHEN rule_score > 0.8e0 THEN 'High Rule Trigger'
       ELSE 'Normal activity' END AS reason
@@ -249,7 +249,18 @@ def queries() -> dict[str, str]:
         " 'Fraud alert for user ' || user_id || ' - Score: ' || CAST(risk_level AS VARCHAR)"
         f" AS warning {fraud}"
     )
-    return {
+    policy = f"WITH {_TX}, {stand_in}, {_decided('stand', 0.7, 0.8)} "
+    fit = (
+        f"WITH {_TX}, {labelled}, split AS (SELECT label, location, {hash_text} < 80 AS train"
+        " FROM labelled), places AS (SELECT location, count(*) AS n FROM split WHERE train"
+        " GROUP BY 1) SELECT count(*) FILTER (WHERE train) AS n_train,"
+        " count(*) FILTER (WHERE NOT train) AS n_holdout,"
+        " CAST(sum(label) FILTER (WHERE train) AS BIGINT) AS positive_train,"
+        " CAST(sum(label) FILTER (WHERE NOT train) AS BIGINT) AS positive_holdout,"
+        " (SELECT string_agg(location, ',' ORDER BY n DESC, location) FROM places) AS locations,"
+        " TRUE AS area_agrees FROM split"
+    )
+    found = {
         "tx_decode": f"WITH {_TX} SELECT {_TRANSACTION} FROM tx",
         "tx_features": (
             f"WITH {_TX} SELECT transaction_id, is_online, tx_timestamp, tx_hour FROM tx"
@@ -364,4 +375,14 @@ def queries() -> dict[str, str]:
         "stream_alerts": f"{by_forest} SELECT transaction_id AS key, {_ALERT} {fraud}",
         "stream_dead_letters": _quarantine(),
         "stream_cases": f"{by_forest} SELECT {_SCORED_JSON} {fraud}",
+        "stream_scored_topic": f"{by_forest} SELECT user_id AS key, {_SCORED_JSON} FROM scored",
+        "stream_alert_text": f"{by_forest} {alert_text}",
+        "scored_policy": (
+            f"{policy} SELECT event_id, final_fraud_score, risk_level, prediction, reason FROM scored"
+        ),
+        "fit_and_judge": fit,
     }
+    found["stream_tumbling"] = found["velocity_tumbling"]
+    found["stream_sessions"] = found["velocity_session"]
+    found["stream_dedup"] = f"SELECT transaction_id, user_id, amount FROM ({found['tx_dedup']})"
+    return found

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream import schema
+from riskstream.config import Policy
 from riskstream.functions import labels
 from riskstream.operators import alerts, datagen, decode, dedup, model, scoring, velocity
 from riskstream.plans import scoring as plans
@@ -168,6 +169,14 @@ def reason(spark, folder):
     return _decided(spark, folder).select("event_id", "prediction", "reason")
 
 
+@_query
+def scored_policy(spark, folder):
+    """Another weight of the model and another threshold."""
+    policy = Policy(ml_weight=0.7, fraud_threshold=0.8)
+    decided = scoring.decide(_with_stand_in(spark, folder), policy)
+    return decided.select("event_id", "final_fraud_score", "risk_level", "prediction", "reason")
+
+
 # Forest and whole chains
 
 
@@ -271,9 +280,26 @@ def auc(spark, folder):
 
 @_query
 def fit_and_judge(spark, folder):
-    """Fit on the whole table's training side; the holdout area of that model."""
-    _, area = model.fit(_labelled(spark, folder), "event_id")
-    return spark.createDataFrame([(area,)], "holdout_auc double")
+    """Fit on the whole table's training side; what another engine can say of the fit.
+
+    The area itself depends on how the forest draws its samples; that it is the area of
+    the model's own holdout scores does not.
+    """
+    rows = _labelled(spark, folder)
+    fitted, area = model.fit(rows, "event_id")
+    split = model.with_split(rows, "event_id")
+    held = fitted.transform(split.where("not is_train").select(*schema.MODEL_INPUTS, "label"))
+    by_ranks = model.rank_sum_area(held, vector_to_array("rawPrediction")[1])
+    train = F.col("is_train")
+    return split.agg(
+        F.count(F.when(train, 1)).alias("n_train"), F.count(F.when(~train, 1)).alias("n_holdout"),
+        F.sum(F.when(train, F.col("label"))).cast("bigint").alias("positive_train"),
+        F.sum(F.when(~train, F.col("label"))).cast("bigint").alias("positive_holdout"),
+    ).select(
+        "*",
+        F.lit(",".join(fitted.stages[0].labelsArray[0])).alias("locations"),
+        F.lit(abs(by_ranks - area) < 1e-9).alias("area_agrees"),
+    )
 
 
 # Velocity
@@ -351,21 +377,21 @@ def burst_flag(spark, folder):
 # Delivery and generators
 
 
-def _redelivered(spark: SparkSession, folder: str) -> DataFrame:
+def _copies(transactions: DataFrame, *more: str) -> DataFrame:
     """Each transaction one to three times, later copies with a later arrival.
 
     Every tenth has lost its id.
     """
     copy = F.explode(F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int")))
     named = F.when(F.col("event_id") % 10 != 0, F.col("transaction_id"))
-    return _tx(spark, folder).select(
-        named.alias("transaction_id"), "user_id", "amount", copy.alias("arrival")
+    return transactions.select(
+        named.alias("transaction_id"), "user_id", "amount", copy.alias("arrival"), *more
     )
 
 
 @_query
 def tx_dedup(spark, folder):
-    return dedup.first_copies(_redelivered(spark, folder), "transaction_id", ["arrival"])
+    return dedup.first_copies(_copies(_tx(spark, folder)), "transaction_id", ["arrival"])
 
 
 def _ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -395,7 +421,10 @@ def _run_scoring(messages: DataFrame, *wanted: str) -> str:
     """Run the scoring stream to the end of its input; return its output root."""
     spark = messages.sparkSession
     root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
-    formats = {"alerts_topic": "parquet", "cases": "json", "dead_letter": "json"}
+    formats = {
+        "scored_topic": "parquet", "alerts_topic": "parquet", "cases": "json",
+        "dead_letter": "json",
+    }
     sinks = {name: files(f"{root}/{name}", formats[name]) for name in wanted}
     query = scoring_stream.start(
         messages,
@@ -424,6 +453,71 @@ def stream_alerts(spark, folder):
     return _fields(sent, schema.ALERT)
 
 
+@_query
+def stream_scored_topic(spark, folder):
+    messages = alerts.transaction_messages(_event_stream(spark, folder))
+    root = _run_scoring(messages, "scored_topic")
+    sent = spark.read.schema(schema.MESSAGE).parquet(f"{root}/scored_topic/run=*/batch_id=*")
+    decoded = _fields(sent, schema.SCORED)
+    return decoded.withColumn("tx_timestamp", _wall_clock("tx_timestamp"))
+
+
+@_query
+def stream_alert_text(spark, folder):
+    """Alert messages, as a stream of files, to readable text."""
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    frauds = plans.frauds(_messages(spark, folder), model.pinned(spark))
+    alerts.alert_messages(frauds).write.parquet(f"{root}/alerts")
+    query = alert_stream.start(
+        spark.readStream.schema(schema.MESSAGE).parquet(f"{root}/alerts"),
+        feed=files(f"{root}/feed", "parquet"), rejected=files(f"{root}/rejected", "json"),
+        checkpoint=f"{root}/checkpoint", name=f"alerts-{uuid.uuid4().hex}",
+        trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    feed = spark.read.parquet(f"{root}/feed/run=*/batch_id=*")
+    return feed.select("transaction_id", "alert_text", "warning")
+
+
+def _run_table(frame: DataFrame, mode: str) -> DataFrame:
+    """Run a stream to the end of its input; what it wrote, or in complete mode holds last."""
+    spark = frame.sparkSession
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part = "all" if mode == "complete" else f"batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(f"{root}/table/{part}")
+
+    query = (
+        frame.writeStream.outputMode(mode).foreachBatch(write)
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(frame.schema).parquet(f"{root}/table/*")
+
+
+@_query
+def stream_tumbling(spark, folder):
+    """In complete mode: closed and open windows alike."""
+    windows = _run_table(velocity.tumbling(_event_stream(spark, folder)), "complete")
+    return windows.withColumn("window_start", _wall_clock("window_start"))
+
+
+@_query
+def stream_sessions(spark, folder):
+    """In complete mode: closed and open sessions alike."""
+    found = _run_table(velocity.sessions(_event_stream(spark, folder)), "complete")
+    return found.withColumn("session_start", _wall_clock("session_start"))
+
+
+@_query
+def stream_dedup(spark, folder):
+    copies = _copies(_event_stream(spark, folder), "ts").withWatermark("ts", "60 days")
+    kept = _run_table(dedup.stream_copies(copies, "transaction_id"), "append")
+    return kept.select("transaction_id", "user_id", "amount")
+
+
 @_query
 def stream_cases(spark, folder):
     messages = alerts.transaction_messages(_event_stream(spark, folder))

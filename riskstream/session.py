@@ -32,24 +32,6 @@ def pin_zone(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# A shuffle starts with a partition per this much input, so that one fits a task;
-# past the limit, block counts cost more than larger, spilling partitions.
-SHUFFLE_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 32_768
-
-
-def size_shuffles(spark: SparkSession, path: str) -> None:
-    """Fit batch shuffles to a table's size; adaptive execution merges small partitions.
-
-    Only ever raises the session's own number, and leaves streaming state alone.
-    """
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    wanted = min(files.getContentSummary(folder).getLength() // SHUFFLE_BYTES, MOST_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
-
-
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="riskstream-")
@@ -67,3 +49,12 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local["):
         return _local_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def shared_path(spark: SparkSession, path: str) -> str:
+    """The path in full; refused where executors would each write to a disk of their own."""
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{path} is on each machine's own disk; name a folder all share")
+    return files.makeQualified(named).toString()

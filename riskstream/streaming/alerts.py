@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream import schema
@@ -33,8 +34,13 @@ def start(
     def handle(batch: DataFrame, batch_id: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         ref = BatchRef(run, batch_id)
-        feed(read_alerts(batch), ref)
-        rejected(rejected_alerts(batch), ref)
+        seen = Observation()
+        inspected = inspect_alerts(batch)
+        counted = inspected.observe(seen, F.count("cause").alias("rejected"))
+        feed(with_alert_text(counted.where("cause IS NULL").select(schema.ALERT_FIELDS)), ref)
+        # Payloads are read again only if some are unusable.
+        letters = dead_letters(inspected)
+        rejected(letters if seen.get["rejected"] else letters.limit(0), ref)
 
     writer = (
         messages.select("value")

@@ -58,19 +58,22 @@ def fan_out(
 
         rejected, found = decoded.get["rejected"], summary.get
         log.info("batch %d: %d records, %d rejected", batch_id, found["records"], rejected)
-        if rejected and outputs.dead_letter:
-            outputs.dead_letter(dead_letters(inspected), batch)
-        if not found["records"]:
-            return
-        stored = spark.read.schema(schema.SCORED).parquet(batch.folder(outputs.table))
-        if outputs.scored_topic:
-            outputs.scored_topic(alerts.scored_messages(stored), batch)
         if found["alerts"]:
             log.warning("batch %d: %d fraud alerts", batch_id, found["alerts"])
-            if outputs.alerts_topic:
-                outputs.alerts_topic(alerts.alert_messages(stored), batch)
-            if outputs.cases:
-                outputs.cases(alerts.fraud_only(stored), batch)
+        stored = spark.read.schema(schema.SCORED).parquet(batch.folder(outputs.table))
+        # Every output is written on every attempt: a replay under another threshold or
+        # model must not leave what an earlier attempt wrote. One without rows reads none.
+        wanted = [
+            (outputs.dead_letter, dead_letters(inspected), rejected),
+            (outputs.scored_topic, alerts.scored_messages(stored), found["records"]),
+            (outputs.alerts_topic, alerts.alert_messages(stored), found["alerts"]),
+            (outputs.cases, alerts.fraud_only(stored), found["alerts"]),
+        ]
+        for sink, frame, rows in wanted:
+            if sink:
+                sink(frame if rows else frame.limit(0), batch)
+        if not found["records"]:
+            return
         if outputs.show:
             alerts.preview(stored, outputs.show).show(outputs.show, truncate=False)
 

@@ -43,16 +43,25 @@ def test_shared_folder(spark, monkeypatch):
     assert session.shared_folder(Elsewhere) == session.shared_folder(Elsewhere)
 
 
-def test_shuffles_grow_with_the_table(spark, monkeypatch, tmp_path):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    table = f"{tmp_path}/t"
-    spark.range(10_000).write.parquet(table)
-    session.size_shuffles(spark, table)
-    assert spark.conf.get(key, None) is None
-    monkeypatch.setattr(session, "SHUFFLE_BYTES", 100)
-    try:
-        session.size_shuffles(spark, table)
-        assert 8 < int(spark.conf.get(key)) <= session.MOST_PARTITIONS
-        assert spark.read.parquet(table).groupBy("id").count().count() == 10_000
-    finally:
-        spark.conf.unset(key)
+def test_paths_must_be_shared(spark):
+    assert session.shared_path(spark, "data/x").startswith("file:/")
+
+    class Elsewhere:
+        class sparkContext:
+            master = "yarn"
+            _jvm, _jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+
+    with pytest.raises(RuntimeError):
+        session.shared_path(Elsewhere, "./data/x")
+
+
+def test_queries_leave_the_session_as_it_was(spark):
+    from riskstream.plans import queries
+
+    def settings():
+        return {r["key"]: r["value"] for r in spark.sql("SET").collect()}
+
+    spark.conf.set("spark.sql.session.timeZone", session.ZONE)
+    before = settings()
+    queries.registry()["velocity_tumbling"](spark, "/root/testdata/sf0.001").collect()
+    assert settings() == before

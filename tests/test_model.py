@@ -125,3 +125,23 @@ def test_scores_do_not_depend_on_partitioning(spark, featured):
     keep = ["event_id", "fraud_probability"]
     assert one.select(keep).exceptAll(many.select(keep)).isEmpty()
     assert one.where((F.col("fraud_probability") < 0) | (F.col("fraud_probability") > 1)).isEmpty()
+
+
+def test_more_labels_than_bins(spark, featured):
+    many = featured.withColumn(
+        "location", F.concat(F.lit("city "), (F.col("event_id") % 40).cast("string"))
+    ).withColumn("label", (F.col("amount") > 5000).cast("int"))
+    fitted, area = model.fit(many, "event_id")
+    assert len(fitted.stages[0].labelsArray[0]) == 40 and area > 0.9
+
+
+def test_category_index_is_the_indexers(spark, featured):
+    fitted = model.indexer().fit(featured.select(schema.CATEGORY_INPUTS))
+    expected = {
+        (field, label, float(i))
+        for field, found in zip(schema.CATEGORY_INPUTS, fitted.labelsArray)
+        for i, label in enumerate(found)
+    }
+    found = model.category_index(featured)
+    assert set(map(tuple, found.collect())) == expected
+    assert "FileScan" in found._jdf.queryExecution().executedPlan().toString()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskstream import schema
-from riskstream.config import StreamConfig
+from riskstream.config import Policy, StreamConfig
 from riskstream.jobs import generate, score, watch_alerts
 from riskstream.operators import alerts, datagen, dedup, model, velocity
 from riskstream.operators.decode import decode_transactions
@@ -170,7 +170,8 @@ def test_batch_of_rejects_only(spark, tmp_path):
         scoring.fan_out(model.pinned(spark), outputs(tmp_path))(bad, 0)
     finally:
         spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
-    assert glob.glob(f"{tmp_path}/alerts-topic/*") == []
+    sent = spark.read.schema(schema.MESSAGE).parquet(f"{tmp_path}/alerts-topic/run=q/batch_id=0")
+    assert sent.count() == 0
     assert spark.read.schema(schema.DEAD_LETTER).json(f"{tmp_path}/dead/run=q/batch_id=0").count() == 1
 
 
@@ -307,3 +308,20 @@ def test_jobs_end_to_end(spark, tmp_path, monkeypatch):
     ]
     assert len(lines) == cases
     assert lines[0]["alert_text"].startswith("Transaction ID: ")
+
+
+def test_replay_under_another_threshold_leaves_nothing_stale(spark, transactions, tmp_path):
+    batch = alerts.transaction_messages(transactions)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
+    try:
+        scoring.fan_out(model.pinned(spark), outputs(tmp_path))(batch, 0)
+        cases = spark.read.schema(schema.SCORED).json(f"{tmp_path}/cases/run=*/batch_id=*")
+        assert cases.count() > 0
+        strict = Policy(fraud_threshold=1.0)
+        scoring.fan_out(model.pinned(spark), outputs(tmp_path), strict)(batch, 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    for name, kind in (("cases", "json"), ("alerts-topic", "parquet"), ("dead", "json")):
+        left = spark.read.schema("value string").format(kind).load(f"{tmp_path}/{name}/run=*/batch_id=*")
+        assert left.count() == 0
+    assert stored(spark, tmp_path).where("prediction = 'FRAUD'").count() == 0
