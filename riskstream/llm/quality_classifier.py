@@ -35,7 +35,6 @@ BUCKETS = 1 << 14
 SAMPLE = 4000
 LEAST = 1  # the grade to be reached
 KEEP = 0.5  # with this probability
-MOST_WORDS = 300_000  # words whose bucket a worker remembers
 
 GRADED = "struct<position: double, expected_grade: double, tail: double>"
 
@@ -45,23 +44,12 @@ _SHARES = len(_KINDS) + 1
 WIDTH = BUCKETS + _SHARES
 
 
-class _Buckets(dict):
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = zlib.crc32(word) % BUCKETS
-        return found
-
-
-_BUCKETS = _Buckets()
-
-
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Places and values of a text's features; the values' squares sum to one and a bit."""
     words = (text or "").lower().encode().split()
     if not words:
         return np.empty(0, np.int64), np.empty(0)
-    if len(_BUCKETS) > MOST_WORDS:
-        _BUCKETS.clear()
-    one = np.fromiter(map(_BUCKETS.__getitem__, words), np.int64, len(words))
+    one = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % BUCKETS
     pairs = (one[:-1] * 31 + one[1:] * 17 + 7) % BUCKETS
     counts = np.bincount(np.concatenate([one, pairs]), minlength=1)
     places = np.flatnonzero(counts)
