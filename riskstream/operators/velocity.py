@@ -136,6 +136,7 @@ DAY = 24 * HOUR
 
 def _running(changes: DataFrame, columns: list[str]) -> DataFrame:
     """Sums of a user's changes up to and at each of their instants ``at``."""
+    kinds = {c: changes.schema[c].dataType for c in columns}
     second = F.floor(F.col("at") / SECOND)
     changes = changes.withColumns({"second": second, "day": F.floor(second / DAY)})
 
@@ -146,7 +147,7 @@ def _running(changes: DataFrame, columns: list[str]) -> DataFrame:
         past = Window.partitionBy(*within).orderBy(order).rowsBetween(
             Window.unboundedPreceding, last
         )
-        sums = {c: F.coalesce(F.sum(c).over(past), F.lit(0).cast("decimal(38,0)")) for c in columns}
+        sums = {c: F.coalesce(F.sum(c).over(past), F.lit(0).cast(kinds[c])) for c in columns}
         return rows.withColumns(sums)
 
     def added(rows: DataFrame, earlier: DataFrame, *keys: str) -> DataFrame:
@@ -157,7 +158,7 @@ def _running(changes: DataFrame, columns: list[str]) -> DataFrame:
         same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
         return rows.join(earlier, same).select(
             *[c for c in rows.columns if c not in columns],
-            *[(F.col(c) + F.col(f"{c}_")).cast("decimal(38,0)").alias(c) for c in columns],
+            *[(F.col(c) + F.col(f"{c}_")).cast(kinds[c]).alias(c) for c in columns],
         )
 
     seconds = summed(changes, "user_id", "day", "second")
@@ -189,9 +190,9 @@ def trailing(
     rows = rows.where("at is not null")
     columns = ["n", "worth", "odd"]
     entering = rows.groupBy("user_id", "at").agg(
-        F.count(F.lit(1)).cast("decimal(38,0)").alias("n"),
+        F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(micros(amount)), F.lit(0).cast("decimal(38,0)")).alias("worth"),
-        F.count(F.when(unsummable(amount), 1)).cast("decimal(38,0)").alias("odd"),
+        F.count(F.when(unsummable(amount), 1)).alias("odd"),
     )
     leaving = entering.select(
         "user_id", (F.col("at") + past).alias("at"), *[(-F.col(c)).alias(c) for c in columns]
@@ -203,7 +204,7 @@ def trailing(
     same = rows["user_id"].eqNullSafe(held["user_id_"]) & (rows["at"] == held["at_"])
     mean = half_up(from_micros(F.col("worth")) / F.nullif(F.col("n"), F.lit(0)).cast("double"), 2)
     timed = rows.select(*keep, *extra, "at").join(held, same).select(
-        *keep, F.col("n").cast("bigint").alias("n"),
+        *keep, "n",
         F.when(F.col("odd") == 0, mean).alias("mean_amount"),
     )
     return timed.union(timeless)
