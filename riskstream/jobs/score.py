@@ -15,7 +15,7 @@ from riskstream import session
 from riskstream.config import Policy, StreamConfig
 from riskstream.operators import model
 from riskstream.sources.streams import file_stream, kafka_stream
-from riskstream.streaming import scoring
+from riskstream.streaming import bursts, scoring
 from riskstream.streaming.sinks import files, kafka
 
 # Most of one batch unless told: a first start at the earliest offset takes many batches.
@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> None:
         help="most offsets (100,000 unless given) or files (100) per batch; the rest follows",
     )
     args.add_argument("--interval", help="time between batches, such as '30 seconds'")
+    args.add_argument("--bursts", help="folder for users' windows of many transactions")
     args.add_argument("--once", action="store_true", help="stop at the end of the input")
     given = args.parse_args(argv)
 
@@ -71,6 +72,11 @@ def main(argv: list[str] | None = None) -> None:
         policy=Policy.from_env(),
         trigger=trigger,
     )
+    if given.bursts:
+        bursts.start(
+            messages, shared(given.bursts), shared(f"{config.checkpoint_dir}/bursts"),
+            trigger=trigger,
+        ).awaitTermination()
     query.awaitTermination()
 
 

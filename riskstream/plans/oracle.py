@@ -382,6 +382,11 @@ def queries() -> dict[str, str]:
         ),
         "fit_and_judge": fit,
     }
+    found["stream_bursts"] = (
+        f"SELECT * FROM ({found['velocity_sliding']}) WHERE n >= 3 AND window_start"
+        " + INTERVAL '6 hours' <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)"
+        " - INTERVAL '1 hour'"
+    )
     found["stream_tumbling"] = found["velocity_tumbling"]
     found["stream_sessions"] = found["velocity_session"]
     found["stream_dedup"] = f"SELECT transaction_id, user_id, amount FROM ({found['tx_dedup']})"

@@ -21,6 +21,7 @@ from riskstream.plans import scoring as plans
 from riskstream.session import pin_zone, shared_folder
 from riskstream.sources import events
 from riskstream.streaming import alerts as alert_stream
+from riskstream.streaming import bursts as burst_stream
 from riskstream.streaming import scoring as scoring_stream
 from riskstream.streaming.sinks import files
 
@@ -511,6 +512,22 @@ def stream_sessions(spark, folder):
     return found.withColumn("session_start", _wall_clock("session_start"))
 
 
+@_query
+def stream_bursts(spark, folder):
+    """Windows of three or more that closed an hour before the last transaction."""
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    query = burst_stream.start(
+        alerts.transaction_messages(_event_stream(spark, folder)),
+        f"{root}/bursts", f"{root}/checkpoint", name=f"bursts-{uuid.uuid4().hex}",
+        trigger={"availableNow": True}, at_least=3,
+    )
+    query.awaitTermination()
+    found = spark.read.schema("window_start timestamp, user_id string, n bigint").parquet(
+        f"{root}/bursts"
+    )
+    return found.withColumn("window_start", _wall_clock("window_start"))
+
+
 @_query
 def stream_dedup(spark, folder):
     copies = _copies(_event_stream(spark, folder), "ts").withWatermark("ts", "60 days")
