@@ -382,6 +382,10 @@ def queries() -> dict[str, str]:
         ),
         "fit_and_judge": fit,
     }
+    found["retrain"] = (
+        "SELECT count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS positive, TRUE AS split_holds,"
+        f" count(*) AS n_alike FROM ({found['relabel']})"
+    )
     found["stream_bursts"] = (
         f"SELECT * FROM ({found['velocity_sliding']}) WHERE n >= 3 AND window_start"
         " + INTERVAL '6 hours' <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)"

@@ -18,8 +18,10 @@ from riskstream.config import Policy
 from riskstream.functions import labels
 from riskstream.operators import alerts, datagen, decode, dedup, model, scoring, velocity
 from riskstream.plans import scoring as plans
+from riskstream.plans import training
 from riskstream.session import pin_zone, shared_folder
 from riskstream.sources import events
+from riskstream.sources.tables import scored_table
 from riskstream.streaming import alerts as alert_stream
 from riskstream.streaming import bursts as burst_stream
 from riskstream.streaming import scoring as scoring_stream
@@ -266,6 +268,31 @@ def relabel(spark, folder):
     return model.relabelled(_scored(spark, folder))
 
 
+@_query
+def retrain(spark, folder):
+    """Stored scores to a new model, saved and loaded: what went in, and whether it scores alike."""
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    scored = _scored(spark, folder).select(schema.SCORED_FIELDS)
+    scored.write.parquet(f"{root}/scored/run=a/batch_id=0")
+    fitted, _ = training.run(spark, f"{root}/scored", f"{root}/model")
+    rows = model.with_split(
+        model.relabelled(scored_table(spark, f"{root}/scored")), "transaction_id"
+    )
+
+    def chance(by, name, *more):
+        found = by.transform(rows.withColumnRenamed("label", "relabelled"))
+        return found.select("transaction_id", vector_to_array("probability")[1].alias(name), *more)
+
+    loaded = chance(model.load(f"{root}/model"), "q")
+    both = chance(fitted, "p", "relabelled", "is_train").join(loaded, "transaction_id")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("relabelled").cast("bigint").alias("positive"),
+        F.avg(F.col("is_train").cast("int")).between(0.7, 0.9).alias("split_holds"),
+        F.count(F.when(F.col("p") == F.col("q"), 1)).alias("n_alike"),
+    )
+
+
 @_query
 def holdout_split(spark, folder):
     split = model.with_split(_tx(spark, folder), "event_id")
