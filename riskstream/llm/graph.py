@@ -30,9 +30,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return handed.union(least.select("high", F.col("least").alias("low"))).distinct()
 
 
-def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def components(
+    edges: DataFrame, scratch: Scratch, name: str, rounds: int | None = None
+) -> DataFrame:
     """(node, root): the least node each linked node can reach; ``edges`` are (a, b).
 
+    With ``rounds``, only a reachable node, the least after so many rounds.
+
     Alternating stars never add edges, so a round moves no more than the input; a
     node of many edges is split by adaptive execution. Rounds grow with the
     logarithm of the longest path.
@@ -42,15 +46,23 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     ).distinct()
     rows = scratch.keep(rows, f"{name}-0")
     done, number = None, 0
-    while not rows.isEmpty():
+    while number != rounds and not rows.isEmpty():
         number += 1
         rows = scratch.keep(_small_star(_large_star(rows)), f"{name}-{number}")
-        seen = rows.select(
-            F.count("*"), F.bit_xor(F.xxhash64("high", "low")), F.bit_xor(F.xxhash64("low"))
-        ).first()
         scratch.drop(f"{name}-{number - 1}")
-        if seen == done:
-            break
-        done = seen
+        if rounds is None:
+            seen = rows.select(
+                F.count("*"), F.bit_xor(F.xxhash64("high", "low")), F.bit_xor(F.xxhash64("low"))
+            ).first()
+            if seen == done:
+                break
+            done = seen
     stars = rows.toDF("node", "root")
+    if rounds is not None:
+        # A node that others point to may point on itself.
+        own = stars.groupBy("node").agg(F.min("root").alias("root"))
+        return own.union(
+            stars.select(F.col("root").alias("node")).distinct()
+            .join(own.select("node"), "node", "left_anti").select("node", "node")
+        )
     return stars.union(stars.select("root", "root").distinct())

@@ -12,8 +12,9 @@ both, and two sets agree in a register about as often as their Jaccard similarit
 3. In a bucket of several classes one, drawn by the bucket, is the centre. A class is
    compared with the centre it meets most often, so a bucket costs no more than its
    size, and most of a large group is one component after that.
-4. Components that share a bucket are a family, which still may hide links. Its commonest
-   centre is its base, and each class is written as what it and the base don't share.
+4. Where a bucket still holds several components there may be links left. Its classes
+   are in the family of the least of these; the family's commonest centre is its base,
+   and each class is written as what it and the base don't share.
    Classes near the base are linked to it. Of a linked pair the two differences share
    one of their rarest items, so pairs come from an exact prefix join on those: what a
    family has in common, which would pair all its members, cancels out.
@@ -246,10 +247,8 @@ def _across(
         ),
         "mixed",
     )
-    families = components(
-        rooted.select(F.col("root").alias("a"), F.col("least").alias("b")), scratch, "families"
-    ).toDF("root", "family")
-    rooted = rooted.join(families, "root")
+    # All that share a bucket share the family of its least root; a class may have several.
+    rooted = rooted.withColumnRenamed("least", "family")
     bases = (
         rooted.groupBy("family", "centre").agg(F.count("*").alias("n"))
         .groupBy("family").agg(F.max(F.struct("n", "centre")).alias("top"))
@@ -286,7 +285,7 @@ def _across(
     items = items.join(common, ["family", "item"], "left").withColumn(
         "times", F.coalesce("times", F.lit(1))
     )
-    rarest = Window.partitionBy("node").orderBy("times", "item")
+    rarest = Window.partitionBy("family", "node").orderBy("times", "item")
     ranked = items.withColumn("rank", F.row_number().over(rarest)).where(
         "rank <= wide + 1.000001 and times > 1"
     )
@@ -376,13 +375,20 @@ def _resolved(docs: DataFrame, words: int, percent: int) -> DataFrame:
     edges = scratch.keep(
         _confirmed(stars.select(*_pair("node", "centre")).distinct(), sets, percent), "stars"
     )
-    roots = scratch.keep(components(edges, scratch, "star-roots"), "roots")
+    roots = scratch.keep(components(edges, scratch, "star-roots", rounds=2), "roots")
     near_base, pairs = _across(members, roots, sets, scratch, percent)
     across = scratch.keep(_confirmed(pairs, sets, percent), "across")
-    roots = components(edges.union(near_base).union(across), scratch, "all-roots")
-
-    ids = classes.join(roots, "node", "left").select(
-        "key1", "key2", "doc_id", "mark", F.coalesce("root", "node").alias("root")
+    # Links of components, of which there are few, instead of links of classes.
+    joined = edges.union(near_base).union(across)
+    for end in "ab":
+        found = roots.select(F.col("node").alias(end), F.col("root").alias("r"))
+        joined = joined.join(found, end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+    tops = components(joined.select("a", "b"), scratch, "tops").toDF("root", "top")
+
+    ids = (
+        classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        .join(tops, "root", "left")
+        .select("key1", "key2", "doc_id", "mark", F.coalesce("top", "root").alias("root"))
     )
     ids = scratch.keep(ids, "ids")
     least = ids.groupBy("root").agg(
