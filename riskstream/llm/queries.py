@@ -39,7 +39,33 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-_SQL: dict[str, str] = {}
+_SQL: dict[str, str] = {
+    # All pairs that share a shingle, then all that links reach.
+    "op6_minhash_near_dedup": """WITH RECURSIVE
+words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text,
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+    lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 80 * (x.n + y.n - k)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON r.other = e.a),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)""",
+}
 
 
 def tokenizer(name: str) -> str:
