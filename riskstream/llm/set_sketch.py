@@ -148,7 +148,8 @@ def keyed_set(text: Column, words: int) -> Column:
                 )
             yield pa.concat_arrays(parts)
 
-    return sets(text)
+    # Else the filter on its digest would become a join key, and it would run on all rows.
+    return sets.asNondeterministic()(text)
 
 
 def estimate(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
