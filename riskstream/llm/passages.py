@@ -15,8 +15,8 @@ without building the tree: about 2n / length for n shingles.
    makes the value's first document a poor match, a closer one is tried as well: the
    first of those that agree in the ``CONTEXT`` shingles from the position on, or up
    to it. Any exact passage has room for one of the two.
-3. Intervals of the same two documents that overlap, over all hashes, make a region;
-   one that at least ``AGREE`` of ``HASHES`` hashes found is a candidate.
+3. Intervals of the same two documents that overlap, over all hashes, make a region,
+   and every region is a candidate.
 4. The region's full shingles confirm it: maximal stretches of shared shingles,
    joined over gaps a changed word leaves, of at least the passage length and with
    the wanted Jaccard similarity.
@@ -43,8 +43,7 @@ from pyspark.sql.window import Window
 
 from riskstream.llm.common import WORD, Scratch, mix, shingles
 
-HASHES = 4
-AGREE = 1  # at similarity 0.8 all four hashes miss a passage 16 times in 10,000
+HASHES = 5  # at similarity 0.8 all five miss a passage 3 times in 10,000
 SHINGLE = 5
 PASSAGE = 50  # words
 # Unmatched shingles inside one passage: what two changed words next to each other leave.
@@ -58,9 +57,12 @@ _HIGH = ~_LOW
 _SEEDS = mix(np.arange(HASHES, dtype=np.uint64) + np.uint64(1))
 _WORD = re.compile(WORD)
 
-WINDOW = (
-    "array<struct<value: long, hash: byte, c: int, l: int, r: int, right: int, left: int>>"
-)
+# A window in three numbers, since rows of many columns fill the disk of a shuffle. place:
+# the position, and how far the window reaches before and after it; sides: hashes of the
+# contexts after and before, 0 where there is none.
+WINDOW = "array<struct<value: long, place: long, sides: long>>"
+REACH = 18  # bits
+LONGEST = 1 << 17  # starts that one window has; a longer one is several
 PASSAGE_TYPE = (
     "array<struct<begin: int, end: int, first_begin: int, first_end: int, similarity: double>>"
 )
@@ -84,7 +86,7 @@ def _contexts(items: np.ndarray, length: int) -> np.ndarray:
         width *= 2
     rest = length - width
     hashes = mix(hashes[: len(hashes) - rest] + np.uint64(5) * hashes[rest:])
-    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
 def compact_windows(sequences: list[np.ndarray], length: int) -> tuple[np.ndarray, ...]:
@@ -103,6 +105,7 @@ def compact_windows(sequences: list[np.ndarray], length: int) -> tuple[np.ndarra
             least = _sliding_least(marked, length)[starts]
             same = (least & _HIGH)[1:] == (least & _HIGH)[:-1]
             same &= owner[starts][1:] == owner[starts][:-1]
+            same &= (starts - first[owner[starts]])[1:] % LONGEST != 0
             begins = np.flatnonzero(np.concatenate([[True], ~same])[: len(starts)])
             ends = np.append(begins[1:], len(starts)) - 1
             c = (least[begins] & _LOW).astype(np.int64)
@@ -152,37 +155,32 @@ def window_values(text: Column, length: int) -> Column:
     return values(text)
 
 
-def _sides(group: list[np.ndarray], owners: np.ndarray, c: np.ndarray) -> list[pa.Array]:
-    """Hashes of the contexts from each position on and up to it, null where one ends."""
+def _sides(group: list[np.ndarray], owners: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Hashes of the contexts from each position on, and up to it, in one number."""
     sizes = np.array([len(s) for s in group])
     first = np.concatenate([[0], np.cumsum(sizes)])[owners]
     items = np.concatenate(group)
-    hashes = _contexts(items, CONTEXT) if len(items) >= CONTEXT else np.zeros(1, np.int32)
+    hashes = _contexts(items, CONTEXT) if len(items) >= CONTEXT else np.zeros(1, np.uint32)
     sides = []
     for start in (c, c - CONTEXT + 1):
         lacking = (start < 0) | (start + CONTEXT > sizes[owners])
         at = np.clip(first + start, 0, len(hashes) - 1)
-        sides.append(pa.array(hashes[at], pa.int32(), mask=lacking))
-    return sides
+        sides.append(np.where(lacking, 0, np.maximum(hashes[at], 1)).astype(np.uint64))
+    return (sides[0] << np.uint64(32) | sides[1]).view(np.int64)
 
 
 def windows(text: Column, length: int) -> Column:
     """A text's compact windows."""
-    kind = pa.struct(
-        [("value", pa.int64()), ("hash", pa.int8())]
-        + [(n, pa.int32()) for n in ("c", "l", "r", "right", "left")]
-    )
+    kind = pa.struct([(n, pa.int64()) for n in ("value", "place", "sides")])
 
     @F.arrow_udf(WINDOW)
     def listed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.array([], pa.list_(kind))]
             for group in _in_groups(batch):
-                owners, *columns = compact_windows(group, length)
-                fields = [
-                    pa.array(column, field.type, safe=False)
-                    for column, field in zip(columns, kind, strict=False)
-                ] + _sides(group, owners, columns[2])
+                owners, values, _, c, left, right = compact_windows(group, length)
+                place = (c << 2 * REACH) | (c - left << REACH) | (right - c)
+                fields = [pa.array(x) for x in (values, place, _sides(group, owners, c))]
                 rows = pa.StructArray.from_arrays(fields, fields=list(kind))
                 parts.append(_listed(kind, owners, len(group), rows))
             yield pa.concat_arrays(parts)
@@ -306,57 +304,62 @@ def repeated_passages(
     found = docs.select("doc_id", F.explode(windows(F.col("text"), length)).alias("w"))
     found = scratch.keep(found.select("doc_id", "w.*").join(shared, "value"), "windows")
 
-    own = ["hash", "c", "l", "r", "right", "left"]
+    scratch.drop("shared")
 
     def over_first(rows: DataFrame, *closer: str) -> DataFrame:
         """Windows beside the least document's window of their group."""
         group = ["value", *closer]
-        firsts = rows.groupBy(group).agg(F.min(F.struct("doc_id", *own)).alias("f"))
+        firsts = rows.groupBy(group).agg(F.min(F.struct("doc_id", "place", "sides")).alias("f"))
         return rows.join(firsts, group).where("doc_id <> f.doc_id").select(
-            "value", "doc_id", *own, "f"
+            "value", "doc_id", "place", "sides", "f"
         )
 
     # Windows that differ from the value's first document on one side try a closer one.
     # All of a closer group differ from it, or none.
     laid = scratch.keep(over_first(found), "laid")
+    scratch.drop("windows")
+    sides = {
+        "right": lambda name: F.shiftright(name, 32),
+        "left": lambda name: F.col(name).bitwiseAND(0xFFFFFFFF),
+    }
     closer = []
-    for side in ("right", "left"):
-        differ = F.coalesce(F.col(side) != F.col(f"f.{side}"), F.col(side).isNotNull())
-        closer.append(over_first(laid.where(differ).drop("f"), side))
+    for side, of in sides.items():
+        differ = laid.where((of("sides") != 0) & (of("sides") != of("f.sides")))
+        closer.append(over_first(differ.withColumn(side, of("sides")).drop("f"), side))
+
+    def position(name: str) -> Column:
+        return F.shiftrightunsigned(name, 2 * REACH)
+
+    def reach(name: str, shift: int) -> Column:
+        return F.shiftrightunsigned(name, shift).bitwiseAND((1 << REACH) - 1)
+
+    before, after = (F.least(reach("place", k), reach("f.place", k)) for k in (REACH, 0))
     laid = (
         laid.union(closer[0])
         .union(closer[1])
         .select(
-            "doc_id", F.col("f.doc_id").alias("first"), "hash", "c", F.col("f.c").alias("fc"),
-            F.least(F.col("c") - F.col("l"), F.col("f.c") - F.col("f.l")).alias("before"),
-            F.least(F.col("r") - F.col("c"), F.col("f.r") - F.col("f.c")).alias("after"),
-        )
-        .select(
-            "doc_id", "first", "hash",
-            *[
-                (F.col(at) + sign * F.col(reach)).alias(name)
-                for name, at, sign, reach in (
-                    ("begin", "c", -1, "before"), ("end", "c", 1, "after"),
-                    ("first_begin", "fc", -1, "before"), ("first_end", "fc", 1, "after"),
-                )
-            ],
+            "doc_id", F.col("f.doc_id").alias("first"),
+            (position("place") - before).cast("int").alias("begin"),
+            (position("place") + after).cast("int").alias("end"),
+            (position("f.place") - before).cast("int").alias("first_begin"),
+            (position("f.place") + after).cast("int").alias("first_end"),
         )
     )
     # Regions: intervals of two documents that overlap.
-    of_two = Window.partitionBy("doc_id", "first").orderBy("begin", "end", "hash")
-    reach = F.max("end").over(of_two.rowsBetween(Window.unboundedPreceding, -1))
-    numbered = laid.withColumn("new", (F.col("begin") > F.coalesce(reach, F.lit(-1))).cast("int"))
+    of_two = Window.partitionBy("doc_id", "first").orderBy("begin", "end")
+    reached = F.max("end").over(of_two.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = laid.withColumn(
+        "new", (F.col("begin") > F.coalesce(reached, F.lit(-1))).cast("int")
+    )
     numbered = numbered.withColumn("region", F.sum("new").over(of_two))
     bounds = {"begin": F.min, "end": F.max, "first_begin": F.min, "first_end": F.max}
     regions = (
         numbered.groupBy("doc_id", "first", "region")
-        .agg(
-            F.countDistinct("hash").alias("hashes"), *[f(c).alias(c) for c, f in bounds.items()]
-        )
-        .where(F.col("hashes") >= AGREE)
+        .agg(*[f(c).alias(c) for c, f in bounds.items()])
         .select(F.monotonically_increasing_id().alias("id"), "*")
     )
     regions = scratch.keep(regions, "regions")
+    scratch.drop("laid")
     wanted = regions.select("id", F.lit(False).alias("of_first"), "doc_id", "begin", "end").union(
         regions.select("id", F.lit(True), "first", "first_begin", "first_end")
     )

@@ -446,6 +446,43 @@ def test_passages_odd_rows(spark, odd):
     assert passages.without_repeats(odd.limit(0)).count() == 0
 
 
+def test_hashes_seldom_all_miss_a_near_passage():
+    draw = np.random.default_rng(5)
+    missed, rounds = 0, 20_000
+    for _ in range(rounds):
+        # 90 of 112 shingles shared: similarity 0.8.
+        one = draw.integers(0, 2**63, 101).astype(np.uint64)
+        two = np.concatenate([one[:90], draw.integers(0, 2**63, 11).astype(np.uint64)])
+        missed += all(
+            passages.mix(one ^ seed).min() != passages.mix(two ^ seed).min()
+            for seed in passages._SEEDS
+        )
+    assert missed <= 8e-4 * rounds  # four hashes miss twice as many
+
+
+def test_windows_hold_their_place_and_contexts(spark):
+    words = [f"w{i % 300}" for i in range(700)]
+    docs = spark.createDataFrame([(" ".join(words),)], "text string")
+    rows = docs.select(F.explode(passages.windows(F.col("text"), 46)).alias("w")).select("w.*")
+    sequence = passages.shingles(" ".join(words), passages.SHINGLE)
+    _, values, _, c, left, right = passages.compact_windows([sequence], 46)
+    low = (1 << passages.REACH) - 1
+    found = rows.collect()
+    assert [r.value for r in found] == values.tolist()
+    assert [r.place >> 2 * passages.REACH for r in found] == c.tolist()
+    assert [(r.place >> passages.REACH) & low for r in found] == (c - left).tolist()
+    assert [r.place & low for r in found] == (right - c).tolist()
+    after, before = defaultdict(set), defaultdict(set)
+    for r, at in zip(found, c.tolist()):
+        lacking = at + passages.CONTEXT > len(sequence), at < passages.CONTEXT - 1
+        assert (r.sides >> 32 == 0, r.sides & 0xFFFFFFFF == 0) == lacking
+        if not lacking[0]:
+            after[at % 300].add(r.sides >> 32)
+        if not lacking[1]:
+            before[at % 300].add(r.sides & 0xFFFFFFFF)
+    assert all(len(x) == 1 for x in [*after.values(), *before.values()])
+
+
 def test_cut():
     text = "a b  c\nd e"
     assert passages.cut(text, [(1, 3)]) == "a d e"
