@@ -12,9 +12,10 @@ without building the tree: about 2n / length for n shingles.
 2. Every other window of a shared value is laid over the first document's, at the
    positions that have the value. Both stretches give an interval of either document
    in which the two share this min-hash. Where a common line or a family of variants
-   makes the value's first document a poor match, a closer one is tried as well: the
+   makes the value's first window a poor match, a closer one is tried as well: the
    first of those that agree in the ``CONTEXT`` shingles from the position on, or up
-   to it. Any exact passage has room for one of the two.
+   to it, which may lie elsewhere in the same first document. Any exact passage has
+   room for one of the two.
 3. Intervals of the same two documents that overlap, over all hashes, make a region,
    and every region is a candidate.
 4. The region's full shingles confirm it: maximal stretches of shared shingles,
@@ -307,25 +308,29 @@ def repeated_passages(
     scratch.drop("shared")
 
     def over_first(rows: DataFrame, *closer: str) -> DataFrame:
-        """Windows beside the least document's window of their group."""
+        """Windows beside the least document's first window of their group."""
         group = ["value", *closer]
         firsts = rows.groupBy(group).agg(F.min(F.struct("doc_id", "place", "sides")).alias("f"))
-        return rows.join(firsts, group).where("doc_id <> f.doc_id").select(
-            "value", "doc_id", "place", "sides", "f"
-        )
+        return rows.join(firsts, group).select("value", "doc_id", "place", "sides", "f")
 
-    # Windows that differ from the value's first document on one side try a closer one.
-    # All of a closer group differ from it, or none.
-    laid = scratch.keep(over_first(found), "laid")
-    scratch.drop("windows")
     sides = {
         "right": lambda name: F.shiftright(name, 32),
         "left": lambda name: F.col(name).bitwiseAND(0xFFFFFFFF),
     }
-    closer = []
+    # Windows that differ from the value's first window on one side try a closer one. So
+    # do the first document's own, which may have the value at several places: all of a
+    # closer group differ from the first window, or none.
+    differs = {
+        side: (of("sides") != 0) & (of("sides") != of("f.sides")) for side, of in sides.items()
+    }
+    other = F.col("doc_id") != F.col("f.doc_id")
+    tried = over_first(found).where(other | differs["right"] | differs["left"])
+    tried = scratch.keep(tried, "laid")
+    scratch.drop("windows")
+    laid = tried.where(other)
     for side, of in sides.items():
-        differ = laid.where((of("sides") != 0) & (of("sides") != of("f.sides")))
-        closer.append(over_first(differ.withColumn(side, of("sides")).drop("f"), side))
+        rows = tried.where(differs[side]).withColumn(side, of("sides")).drop("f")
+        laid = laid.union(over_first(rows, side).where(other))
 
     def position(name: str) -> Column:
         return F.shiftrightunsigned(name, 2 * REACH)
@@ -334,16 +339,12 @@ def repeated_passages(
         return F.shiftrightunsigned(name, shift).bitwiseAND((1 << REACH) - 1)
 
     before, after = (F.least(reach("place", k), reach("f.place", k)) for k in (REACH, 0))
-    laid = (
-        laid.union(closer[0])
-        .union(closer[1])
-        .select(
-            "doc_id", F.col("f.doc_id").alias("first"),
-            (position("place") - before).cast("int").alias("begin"),
-            (position("place") + after).cast("int").alias("end"),
-            (position("f.place") - before).cast("int").alias("first_begin"),
-            (position("f.place") + after).cast("int").alias("first_end"),
-        )
+    laid = laid.select(
+        "doc_id", F.col("f.doc_id").alias("first"),
+        (position("place") - before).cast("int").alias("begin"),
+        (position("place") + after).cast("int").alias("end"),
+        (position("f.place") - before).cast("int").alias("first_begin"),
+        (position("f.place") + after).cast("int").alias("first_end"),
     )
     # Regions: intervals of two documents that overlap.
     of_two = Window.partitionBy("doc_id", "first").orderBy("begin", "end")

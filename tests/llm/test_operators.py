@@ -446,6 +446,25 @@ def test_passages_odd_rows(spark, odd):
     assert passages.without_repeats(odd.limit(0)).count() == 0
 
 
+def test_passage_of_lines_that_its_first_document_has_before(spark):
+    draw = random.Random(3)
+
+    def filler():
+        return [f"w{draw.randrange(10**9)}" for _ in range(60)]
+
+    rows = {}
+    for k in range(20):
+        one, two = ([f"l{k}-{i}-{j}" for j in range(30)] for i in range(2))
+        rows[2 * k] = filler() + two + filler() + one + filler() + one + two + filler()
+        rows[2 * k + 1] = filler() + one + two + filler()
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], "doc_id long, text string")
+    found = {r.doc_id: r for r in passages.repeated_passages(docs).collect()}
+    assert sorted(found) == [2 * k + 1 for k in range(20)]
+    for i, r in found.items():
+        assert (r.begin, r.end, r.first_doc_id, r.similarity) == (60, 120, i - 1, 1.0)
+        assert (r.first_begin, r.first_end) == (240, 300)
+
+
 def test_hashes_seldom_all_miss_a_near_passage():
     draw = np.random.default_rng(5)
     missed, rounds = 0, 20_000
