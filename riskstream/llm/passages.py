@@ -10,17 +10,16 @@ without building the tree: about 2n / length for n shingles.
 1. Values that windows of two documents share are kept; the least id is the value's
    first document.
 2. Every other window of a shared value is laid over the first document's, at the
-   positions that have the value. Both stretches give an interval of either document
-   in which the two share this min-hash. Where a common line or a family of variants
+   positions that have the value: an interval of either document. Where a common line or a family of variants
    makes the value's first window a poor match, a closer one is tried as well: the
    first of those that agree in the ``CONTEXT`` shingles from the position on, or up
    to it, which may lie elsewhere in the same first document. Any exact passage has
    room for one of the two.
 3. Intervals of the same two documents that overlap, over all hashes, make a region,
    and every region is a candidate.
-4. The region's full shingles confirm it: maximal stretches of shared shingles,
-   joined over gaps a changed word leaves, of at least the passage length and with
-   the wanted Jaccard similarity.
+4. The region's full shingles confirm it: the longest stretches of shared shingles
+   and what changed words, insertions and omissions leave between them, of at least
+   the passage length and with the wanted Jaccard similarity.
 
 Work and output are linear in the windows: a passage of thousands of documents is
 compared with three documents at most.
@@ -47,8 +46,7 @@ from riskstream.llm.common import WORD, Scratch, mix, shingles
 HASHES = 5  # at similarity 0.8 all five miss a passage 3 times in 10,000
 SHINGLE = 5
 PASSAGE = 50  # words
-# Unmatched shingles inside one passage: what two changed words next to each other leave.
-GAP = 6
+SEARCHED = 64  # runs up to which all stretches that may do are tried
 # Shingles whose equality on one side of a position makes a closer group.
 CONTEXT = (PASSAGE - SHINGLE + 1) // 2
 TOGETHER = 1 << 17  # shingles worked on at once
@@ -200,58 +198,126 @@ def _slice(text: pa.Array, begin: pa.Array, end: pa.Array) -> pa.Array:
     return pa.array(found, pa.binary())
 
 
-def _stretches(matched: np.ndarray, gap: int) -> list[tuple[int, int]]:
-    """Stretches (begin, end inclusive) of matched positions, over gaps up to ``gap``."""
+def _places(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether ``two`` has each shingle of ``one``, and where."""
+    order = np.argsort(two, kind="stable")
+    low = np.searchsorted(two, one, sorter=order)
+    high = np.searchsorted(two, one, side="right", sorter=order)
+    times, place = high - low, order[np.minimum(low, len(two) - 1)]
+    several, single = np.flatnonzero(times > 1), np.flatnonzero(times == 1)
+    if not len(several):
+        return times > 0, place
+    # Of several places the one on the diagonal of the nearest shingle that has one, or on
+    # that of most of the shingles that have the fewest.
+    if len(single):
+        at = np.searchsorted(single, several)
+        before, after = single[np.maximum(at - 1, 0)], single[np.minimum(at, len(single) - 1)]
+        nearest = np.where(several - before <= after - several, before, after)
+        shifts = place[nearest] - nearest
+    else:
+        few = several[np.unique(one[several], return_index=True)[1]]
+        few = few[times[few] == times[few].min()]
+        ways = np.concatenate([order[low[i] : high[i]] - i for i in few])
+        ways, counts = np.unique(ways, return_counts=True)
+        shifts = np.full(len(several), ways[counts.argmax()])
+    for i, shift in zip(several.tolist(), shifts.tolist(), strict=True):
+        places = order[low[i] : high[i]]
+        k = int(np.searchsorted(places, i + shift))
+        near = places[max(k - 1, 0) : k + 1]
+        place[i] = near[np.abs(near - i - shift).argmin()]
+    return times > 0, place
+
+
+def _runs(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Bounds in ``one`` and in ``two`` of the unbroken runs of shared shingles."""
+    matched, place = _places(one, two)
     at = np.flatnonzero(matched)
     if not len(at):
-        return []
-    breaks = np.flatnonzero(np.diff(at) > gap + 1)
-    return list(
-        zip(at[np.concatenate([[0], breaks + 1])].tolist(),
-            at[np.append(breaks, len(at) - 1)].tolist(), strict=True)
-    )
+        return (at,) * 4
+    new = np.flatnonzero((np.diff(at) != 1) | (np.diff(place[at]) != 1))
+    begin, end = at[np.concatenate([[0], new + 1])], at[np.append(new, len(at) - 1)]
+    low, high = place[begin], place[end]
+    # Fewer shingles than one word has are chance unless they lie between their neighbours.
+    long = np.flatnonzero(end - begin + 1 >= SHINGLE)
+    if len(long):
+        number = np.arange(len(begin))
+        k = np.searchsorted(long, number)
+        is_long = end - begin + 1 >= SHINGLE
+        after = np.where(k < len(long), low[long[np.minimum(k, len(long) - 1)]], len(two))
+        before = np.where(k > 0, high[long[np.maximum(k - 1, 0)]], -1)
+        kept = is_long | ((low > before) & (high < after))
+        begin, end, low, high = begin[kept], end[kept], low[kept], high[kept]
+    return begin, end, low, high
 
 
 def matches(one: np.ndarray, two: np.ndarray, length: int, percent: int) -> list[tuple]:
-    """Passages of ``one`` that ``two`` has: shingle bounds in both, and similarity."""
-    order = np.argsort(two, kind="stable")
-    low = np.searchsorted(two, one, sorter=order)
-    high = np.searchsorted(two, one, side="right", sorter=order)
-    matched, place = high > low, order[np.minimum(low, len(two) - 1)]
-    # Of several places of a shingle, the nearest to the diagonal of those with one.
-    single = np.flatnonzero(high - low == 1)
-    shift = int(np.median(place[single] - single)) if len(single) else 0
-    for i in np.flatnonzero(high - low > 1):
-        places = order[low[i] : high[i]]
-        place[i] = places[np.abs(places - i - shift).argmin()]
+    """Passages of ``one`` that ``two`` has: shingle bounds in both, and similarity.
 
-    def judged(begin: int, end: int) -> tuple | None:
-        if end - begin + 1 < length:
-            return None
-        inside = place[begin : end + 1][matched[begin : end + 1]]
-        # Where the passage lies in the other text: the diagonal most shingles agree on.
-        shift = int(np.median(inside - np.flatnonzero(matched[begin : end + 1])))
-        low, high = max(shift, 0), min(shift + end - begin, len(two) - 1)
-        near = inside[(inside >= low - 2 * GAP) & (inside <= high + 2 * GAP)]
-        if not len(near):
-            return None
-        low, high = int(near.min()), int(near.max())
-        ours, theirs = np.unique(one[begin : end + 1]), np.unique(two[low : high + 1])
+    Of runs next to each other, a stretch may do if each shared shingle counts for it
+    and each other one in it against it by their weights in the similarity. The longest
+    that does on the full sets is a passage; what lies before and after is searched on.
+    """
+    begin, end, low, high = _runs(one, two)
+    gains = (100 - percent) * (end - begin + 1)
+    skipped, jumped = begin[1:] - end[:-1] - 1, low[1:] - high[:-1] - 1
+    least = -(-length * percent // 100)  # shared shingles that a passage has
+
+    def judged(i: int, j: int) -> tuple | None:
+        """The stretch from run ``i`` to run ``j``."""
+        b, e = int(begin[i]), int(end[j])
+        l, h = int(low[i : j + 1].min()), int(high[i : j + 1].max())
+        # A passage may begin or end with changed words.
+        lacking = length - (e - b + 1)
+        if lacking > 0:
+            if len(one) < length:
+                return None
+            left = min(b, max(lacking // 2, lacking - (len(one) - 1 - e)))
+            b, e = b - left, e + lacking - left
+            l, h = max(l - left, 0), min(h + lacking - left, len(two) - 1)
+        ours, theirs = np.unique(one[b : e + 1]), np.unique(two[l : h + 1])
         shared = len(np.intersect1d(ours, theirs, assume_unique=True))
         union = len(ours) + len(theirs) - shared
         if 100 * shared < percent * union:
             return None
-        return begin, end, low, high, shared / union
-
-    found = []
-    for begin, end in _stretches(matched, GAP):
-        whole = judged(begin, end)
-        if whole:
-            found.append(whole)
-        else:  # too different over its gaps: its unbroken parts
-            parts = _stretches(matched[begin : end + 1], 0)
-            found += filter(None, (judged(begin + b, begin + e) for b, e in parts))
-    return found
+        return b, e, l, h, shared / union
+
+    def stretches(i: int, j: int, against: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each run the first from which a stretch up to it may do; longest ahead."""
+        total = np.cumsum(gains[i : j + 1]) - np.concatenate([[0], np.cumsum(against[i:j])])
+        lowest = np.minimum.accumulate(total - gains[i : j + 1])
+        first = i + np.searchsorted(-lowest, -total)
+        last = np.arange(i, j + 1)
+        sizes = end[last] - begin[first] + 1
+        order = np.argsort(-sizes, kind="stable")
+        order = order[sizes[order] >= least]
+        return first[order], last[order]
+
+    def tried(i: int, j: int) -> Iterator[tuple[int, int]]:
+        # Parts that change places count against none if the whole does all the same.
+        first, last = stretches(i, j, percent * skipped)
+        yield from list(zip(first.tolist(), last.tolist(), strict=True))[:1]
+        first, last = stretches(i, j, percent * (skipped + np.abs(jumped)))
+        if j - i >= SEARCHED:  # the longest from each first; its parts come after a split
+            longest = np.sort(np.unique(first, return_index=True)[1])
+            first, last = first[longest], last[longest]
+        yield from zip(first.tolist(), last.tolist(), strict=True)
+
+    found, todo = [], [(0, len(begin) - 1)]
+    while todo:
+        i, j = todo.pop()
+        if i > j or end[j] - begin[i] + 1 < least:
+            continue
+        for first, last in tried(i, j):
+            passage = judged(first, last)
+            if passage:
+                found.append(passage)
+                todo += [(i, first - 1), (last + 1, j)]
+                break
+        else:
+            if i < j:
+                widest = i + int((skipped + np.abs(jumped))[i:j].argmax())
+                todo += [(i, widest), (widest + 1, j)]
+    return sorted(found)
 
 
 def _confirmed(one: Column, two: Column, length: int, percent: int, size: int) -> Column:
@@ -338,13 +404,17 @@ def repeated_passages(
     def reach(name: str, shift: int) -> Column:
         return F.shiftrightunsigned(name, shift).bitwiseAND((1 << REACH) - 1)
 
-    before, after = (F.least(reach("place", k), reach("f.place", k)) for k in (REACH, 0))
+    # Either window as far as it goes: words that only one of the two has may lie in it.
     laid = laid.select(
         "doc_id", F.col("f.doc_id").alias("first"),
-        (position("place") - before).cast("int").alias("begin"),
-        (position("place") + after).cast("int").alias("end"),
-        (position("f.place") - before).cast("int").alias("first_begin"),
-        (position("f.place") + after).cast("int").alias("first_end"),
+        *[
+            bound.cast("int").alias(f"{prefix}{side}")
+            for prefix, name in (("", "place"), ("first_", "f.place"))
+            for side, bound in (
+                ("begin", position(name) - reach(name, REACH)),
+                ("end", position(name) + reach(name, 0)),
+            )
+        ],
     )
     # Regions: intervals of two documents that overlap.
     of_two = Window.partitionBy("doc_id", "first").orderBy("begin", "end")

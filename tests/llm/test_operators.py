@@ -465,6 +465,89 @@ def test_passage_of_lines_that_its_first_document_has_before(spark):
         assert (r.first_begin, r.first_end) == (240, 300)
 
 
+def jaccard(one, two):
+    one, two = set(one.tolist()), set(two.tolist())
+    return len(one & two) / len(one | two)
+
+
+def edited(draw, words, edits, size):
+    """Words with ``edits`` changes, each of up to ``size`` words next to each other."""
+    words = list(words)
+    for _ in range(edits):
+        at, n = draw.randrange(len(words)), draw.randrange(1, size + 1)
+        kind = draw.choice(["change", "insert", "leave"])
+        new = [] if kind == "leave" else [f"e{draw.randrange(10**9)}" for _ in range(n)]
+        words[at : at if kind == "insert" else at + n] = new
+    return words
+
+
+def test_matches_equal_brute_force():
+    draw, length = random.Random(4), 12
+    some = 0
+    for _ in range(120):
+        base = [f"b{draw.randrange(10**9)}" for _ in range(draw.randrange(16, 34))]
+        ends = [[f"f{draw.randrange(10**9)}" for _ in range(draw.randrange(6))] for _ in range(2)]
+        one = passages.shingles(" ".join(ends[0] + edited(draw, base, draw.randrange(3), 2) + ends[1]), 3)
+        two = passages.shingles(" ".join(base), 3)
+        best = 0
+        for b in range(len(one)):
+            for e in range(b + length, len(one) + 1):
+                if e - b > best and any(
+                    jaccard(one[b:e], two[l:h]) >= 0.8
+                    for l in range(len(two))
+                    for h in range(l + length - 1, min(l + 2 * (e - b), len(two)) + 1)
+                    if 0.8 <= (h - l) / (e - b) <= 1.25
+                ):
+                    best = e - b
+        found = passages.matches(one, two, length, 80)
+        for b, e, l, h, similarity in found:
+            assert e - b + 1 >= length
+            assert similarity == jaccard(one[b : e + 1], two[l : h + 1]) >= 0.8
+        some += best > 0
+        # Changed words at its ends may make a passage longer by a quarter.
+        assert bool(best) == bool(found)
+        if best:
+            assert max(e - b + 1 for b, e, *_ in found) >= 0.7 * best
+    assert 40 < some < 120
+
+
+def test_three_words_next_to_each_other_may_change():
+    draw = random.Random(9)
+    base = [f"b{i}" for i in range(95)]
+    changed = base[:46] + ["x", "y", "z"] + base[49:]
+    inserted = base[:47] + [f"i{i}" for i in range(9)] + base[47:]
+    for words in (changed, inserted):
+        one = [f"o{draw.randrange(10**9)}" for _ in range(70)] + words
+        one, two = (passages.shingles(" ".join(x), passages.SHINGLE) for x in (one, base))
+        [(b, e, l, h, similarity)] = passages.matches(one, two, 46, 80)
+        assert (b, e, l, h) == (70, len(one) - 1, 0, 90) and similarity >= 0.8
+
+
+def test_edited_passages_are_found(spark):
+    draw = random.Random(21)
+    rows, wanted = {}, {}
+
+    def filler():
+        return [f"w{draw.randrange(10**9)}" for _ in range(60)]
+
+    for k in range(150):
+        base = [f"p{draw.randrange(10**9)}" for _ in range(draw.randrange(60, 200))]
+        copy = edited(draw, base, draw.randrange(1, 5), 4)
+        rows[2 * k], rows[2 * k + 1] = filler() + base + filler(), filler() + copy + filler()
+        sets = [passages.shingles(" ".join(x), passages.SHINGLE) for x in (base, copy)]
+        if jaccard(*sets) >= 0.8 and len(sets[1]) >= 46:
+            wanted[2 * k + 1] = {i for i, w in enumerate(rows[2 * k + 1]) if w in set(base)}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], "doc_id long, text string")
+    found = defaultdict(set)
+    for r in passages.repeated_passages(docs).collect():
+        assert r.similarity >= 0.8 and r.first_doc_id == r.doc_id - 1
+        found[r.doc_id].update(range(r.begin, r.end))
+    assert len(wanted) > 60
+    shares = [len(words & found[i]) / len(words) for i, words in wanted.items()]
+    assert sum(share == 0 for share in shares) <= 1  # all five hashes may miss one
+    assert np.mean(shares) > 0.97
+
+
 def test_hashes_seldom_all_miss_a_near_passage():
     draw = np.random.default_rng(5)
     missed, rounds = 0, 20_000
