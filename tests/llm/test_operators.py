@@ -626,6 +626,76 @@ def test_toxicity_odd_rows(spark, odd, no_labels):
     assert toxicity.toxicity(odd.limit(0), model).count() == 0
 
 
+def kneser_ney(texts, classes):
+    """Evidence of letter groups by their definition, from texts and toxic or ordinary ones."""
+    counts = [defaultdict(float) for _ in range(3)]
+    for count, listed in zip(counts, [*classes, texts]):
+        for text in listed:
+            for word in toxicity.words_of(text):
+                word = toxicity.START + word + toxicity.END
+                for end in range(2, len(word) + 1):
+                    for n in range(1, min(end, toxicity.ORDER) + 1):
+                        count[word[end - n : end]] += 1
+    letters = sum(len(g) == 1 for g in counts[2])
+    evidence, below = {}, {"": 1 / letters}
+
+    def interpolated(count, listed, lower):
+        total, kinds = defaultdict(float), defaultdict(int)
+        for g in listed:
+            total[g[:-1]] += count[g]
+            kinds[g[:-1]] += count[g] > 0
+        return {
+            g: (max(count[g] - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * kinds[g[:-1]] * lower[g])
+            / total[g[:-1]] if total[g[:-1]] else lower[g]
+            for g in listed
+        }
+
+    for n in range(1, toxicity.ORDER + 1):
+        listed = [g for g in counts[2] if len(g) == n]
+        lower = {g: below[g[1:]] for g in listed}
+        toxic, ordinary = (interpolated(c, listed, lower) for c in counts[:2])
+        for g in listed:
+            if n == toxicity.ORDER or g[0] == toxicity.START:
+                evidence[g] = np.log(max(toxic[g], 1e-12)) - np.log(max(ordinary[g], 1e-12))
+        continued = defaultdict(float)
+        for g in counts[2]:
+            if len(g) == n + 1:
+                continued[g[1:]] += 1
+        count = {g: counts[2][g] if g[0] == toxicity.START else continued[g] for g in listed}
+        below = interpolated(count, listed, lower)
+    return evidence
+
+
+def test_evidence_equals_brute_force_beyond_any_table(spark, tmp_path):
+    # More letter groups than any fixed table would hold: letters of many scripts.
+    draw = random.Random(2)
+    rows = [
+        (i, " ".join("".join(chr(draw.randrange(0x4E00, 0x9F00)) for _ in range(8)) for _ in range(60)))
+        for i in range(900)
+    ]
+    rows += [(900 + i, "plain words of ordinary people" if i % 2 else "vile WORDS of vilest people") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = {i: i % 2 == 0 for i, _ in rows if i >= 900 or i % 5 == 0}
+    frame = spark.createDataFrame([(i, 0, int(t)) for i, t in labels.items()], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs, frame)
+    found = dict(model.evidence.collect())
+    taught = [[t for i, t in rows if zlib.crc32(str(i).encode()) % 3 == 0 and labels.get(i) == c] for c in (True, False)]
+    expected = kneser_ney([t for _, t in rows], taught)
+    assert sum(len(g) == toxicity.ORDER for g in expected) > 200_000
+    assert found.keys() == expected.keys()
+    assert max(abs(found[g] - e) for g, e in expected.items()) < 1e-4
+    # The features are those of the words' evidence.
+    text = rows[-1][1]
+    totals = []
+    for word in toxicity.words_of(text):
+        word = toxicity.START + word + toxicity.END
+        totals.append(sum(expected[word[max(0, e - toxicity.ORDER) : e]] for e in range(2, len(word) + 1)))
+    x = {r.doc_id: r.x for r in toxicity._features(docs, model.evidence, Scratch(spark, "test")).collect()}
+    assert len(x) == len(rows)
+    assert x[rows[-1][0]][1] == pytest.approx(max(totals), abs=1e-4)
+    assert x[rows[-1][0]][0] == pytest.approx(sum(totals) / (len("".join(text.split())) + len(totals)), abs=1e-4)
+
+
 # Licences
 
 
