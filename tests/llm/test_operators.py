@@ -735,6 +735,34 @@ def test_licence_query_finds_the_statements(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_statements_within_longer_lines(spark):
+    draw = random.Random(8)
+
+    def prose(n):
+        return " ".join(draw.choice(["the", "under", "of", f"w{draw.randrange(9999)}"]) for _ in range(n))
+
+    rows, wanted = [], {}
+    for name, listed in licences.TEMPLATES.items():
+        for text in listed:
+            words = text.split()
+            for kind in range(3):
+                stated = text if kind else "\n * ".join(" ".join(words[i : i + 4]) for i in range(0, len(words), 4))
+                before, after = (prose(40), prose(40)) if kind < 2 else (f"Copyright 2020 {prose(3)} Corp.", "")
+                path = f"d{len(rows)}/f"
+                rows.append((path, f"{before} {stated} {after}"))
+                wanted[path] = name
+    rows += [(f"plain{i}/f", prose(200)) for i in range(200)]
+    rows += [("id/x", "// SPDX-License-Identifier: MIT"), ("id/y", "SPDX-License-Identifier: ISC")]
+    rows += [("bsd/x", "Copyright 2020 Acme. All rights reserved.\n" + licences.TEMPLATES["BSD-3-Clause"][0])]
+    files = spark.createDataFrame(rows, "path string, text string")
+    found = {r.path: r for r in licences.licences(files).collect()}
+    assert {p: found[p].licence for p in wanted} == wanted
+    assert all(found[p].origin == "header" for p in wanted)
+    assert not any(found[f"plain{i}/f"].licence for i in range(200))
+    assert found["id/x"].licence == "MIT" and found["id/x"].similarity == pytest.approx(1)
+    assert found["id/y"].origin != "header" and found["bsd/x"].licence == "BSD-3-Clause"
+
+
 # Nearest neighbours
 
 
