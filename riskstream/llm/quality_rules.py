@@ -9,8 +9,9 @@ Plain counts come first, and fail a document that is too short or repeats itself
 The field is fitted to document labels only: a good document's lines are content. A
 poor document's lines start as boilerplate and are relabelled by the fitted field in
 turn, as long as one line stays boilerplate, since good lines occur in poor documents
-too. The fit takes at most ``SAMPLE`` documents of each label, none longer than
-``SAMPLE_CHARS``, those whose hashed ids are least, so it is the same on any cluster.
+too. The fit takes at most ``SAMPLE`` documents of each label, and the first
+``SAMPLE_CHARS`` of longer ones; those whose hashed ids are least, so it is the same on
+any cluster.
 
 Results by case: a null or empty text has no words and fails; without labels of both
 kinds nothing is learnt and only the plain counts decide; a row without an id is judged
@@ -254,14 +255,19 @@ def _features(text: Column) -> Column:
 def learn(
     documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS
 ) -> Field | None:
-    """Fit the field to at most ``sample`` documents of each quality label."""
+    """Fit the field to at most ``sample`` documents of each quality label.
+
+    Of a document of more than ``chars`` characters it learns the lines within the first.
+    """
     labels = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = labels.where("q = 0").orderBy(*order).limit(sample).union(
         labels.where("q = 1").orderBy(*order).limit(sample)
     )
     # At most 2 * sample rows of two numbers.
-    texts = documents.select("doc_id", "text").where(F.length("text") <= chars)
+    begins = F.regexp_replace(F.substring("text", 1, chars), r"\n[^\n]*$", "")
+    text = F.when(F.length("text") <= chars, F.col("text")).otherwise(begins)
+    texts = documents.select("doc_id", text.alias("text")).where("text is not null")
     rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     found = rows.select("doc_id", "q", _features(F.col("text")).alias("x")).collect()
     found.sort(key=lambda row: row.doc_id)

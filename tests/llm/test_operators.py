@@ -374,6 +374,19 @@ def test_near_duplicates_odd_rows(spark, odd):
     assert ids.count(None) == 2  # the empty one, and one of the two alike
 
 
+def test_field_is_fitted_to_long_documents(spark):
+    good = "This is a line of the prose that people write and others read with pleasure.\n"
+    poor = "$$ 123 | 456 >>\n"
+    rows = [(i, (good if i % 2 else poor) * 900) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)], "doc_id long, quality int, toxic int")
+    assert min(len(t) for _, t in rows) > quality_rules.SAMPLE_CHARS
+    field = quality_rules.learn(docs, labels)
+    assert field is not None
+    shares = {r.doc_id: r.content_share for r in quality_rules.quality_rules(docs, field).collect()}
+    assert all((shares[i] > 0.5) == bool(i % 2) for i in shares)
+
+
 # Passages
 
 
