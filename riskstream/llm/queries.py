@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.llm import (
+    bpe,
     licences,
     mixing,
     packing,
@@ -154,3 +155,8 @@ def op10_nearest_neighbours(spark, folder):
     return vector_index.nearest(
         table(spark, folder, "embeddings"), asked=F.col("vec_id") % 20 == 0
     )
+
+
+@_query
+def op13_bpe_round_trip(spark, folder):
+    return bpe.round_trip(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
