@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from riskstream.session import shared_folder
 
@@ -55,6 +60,26 @@ class Scratch:
         path.getFileSystem(conf).delete(path, True)
 
 
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of a task's batches, one at a time."""
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
+def record_batches(
+    rows: Iterable[tuple], schema: StructType, size: int = 1000
+) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of at most ``size``."""
+    fields = list(to_arrow_schema(schema))
+    rows = iter(rows)
+    while some := list(islice(rows, size)):
+        columns = zip(*some, strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)],
+            names=[f.name for f in fields],
+        )
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A fixed scrambling of 64-bit numbers (the SplitMix64 finaliser)."""
     x = values.astype(np.uint64, copy=True)

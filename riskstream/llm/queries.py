@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskstream.llm import (
     bpe,
+    conversation_repair,
     licences,
     mixing,
     packing,
@@ -157,6 +158,12 @@ def op10_nearest_neighbours(spark, folder):
     )
 
 
+@_query
+def op11_conversation_repair(spark, folder):
+    rows = conversation_repair.damaged(table(spark, folder, "conversations"))
+    return conversation_repair.repair_conversations(rows, Scratch(spark, "repair"))
+
+
 @_query
 def op13_bpe_round_trip(spark, folder):
     return bpe.round_trip(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
