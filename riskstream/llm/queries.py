@@ -14,6 +14,7 @@ from riskstream.llm import (
     mixing,
     packing,
     passages,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     set_sketch,
@@ -164,6 +165,13 @@ def op11_conversation_repair(spark, folder):
     return conversation_repair.repair_conversations(rows, Scratch(spark, "repair"))
 
 
+@_query
+def op12_prefix_trie(spark, folder):
+    scratch = Scratch(spark, "trie")
+    turns, members = prefix_trie.rebuilt(table(spark, folder, "conversations"), scratch)
+    return prefix_trie.prefix_trie(turns, members, scratch)
+
+
 @_query
 def op13_bpe_round_trip(spark, folder):
     return bpe.round_trip(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
