@@ -29,6 +29,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
@@ -39,11 +40,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Memory of a worker: rows of the byte table, and letters of the words remembered.
+# Memory of a worker: rows of the byte table, pairs of tokens, letters of remembered words.
 MOST_ROWS = 200_000
-MOST_LETTERS = 5_000_000
+MOST_PAIRS = 500_000
+MOST_LETTERS = 8_000_000
 LONGEST = 64  # longer words are not remembered
 PART = 100_000  # words encoded at once
+WHOLE = 1_000_000  # letters of a text whose words are listed at once
 
 # How the file's byte-level splitter cuts a text (a fixed value), and the characters whose
 # classes do not depend on the Unicode version: texts with others are cut by the library.
@@ -149,17 +152,26 @@ class Tokenizer:
         self.special = special
         found = sorted(special, key=len, reverse=True)
         self.cutter = regex.compile("|".join(map(regex.escape, found))) if found else None
-        # Beginnings of labels: (node, byte) -> node; and the token that a node completes.
-        self.nodes: dict[tuple[int, int], int] = {}
-        self.complete: dict[int, int] = {}
+        # Beginnings of labels, by node and byte; and the token that a node completes.
+        self.nodes: dict[int, int] = {}
+        complete = {}
         for i in set(ids.values()):
             node = 0
             for b in self.labels[i]:
-                node = self.nodes.setdefault((node, b), len(self.nodes) + 1)
-            self.complete[node] = i
+                node = self.nodes.setdefault(node << 8 | b, len(self.nodes) + 1)
+            complete[node] = i
+        self.complete = [complete.get(node, -1) for node in range(len(self.nodes) + 1)]
         self.sizes = list(map(len, self.labels))
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        # The same for many ids at once: labels end to end, and decimals with their comma.
+        self.lengths = np.array(self.sizes, np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.joined = np.frombuffer(b"".join(self.labels), np.uint8)
+        width = len(str(size)) + 1
+        listed = "".join(f"{i},".ljust(width, "\0") for i in range(size)).encode()
+        self.decimals = np.frombuffer(listed, np.uint8).reshape(size, width)
+        # Words remembered last, and those before them; ids as native 32-bit numbers.
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.letters = 0
         self._forget()
 
@@ -168,18 +180,28 @@ class Tokenizer:
         self.rows = [start]
         self.numbers = {start: 0}
         self.table: dict[int, int] = {}  # by row and byte
+        self.pairs: dict[int, bool] = {}  # whether a token may follow another
+
+    def _follows(self, last: int, token: int) -> bool:
+        pair = last << 24 | token
+        known = self.pairs.get(pair)
+        if known is None:
+            known = self.pairs[pair] = self.automaton.follows(last, token)
+        return known
 
     def _transition(self, row: int, byte: int) -> int:
         """The next row, and the token that ends with this byte."""
-        token, live = None, []
-        for node, last in self.rows[row]:
-            after = self.nodes.get((node, byte))
-            if after is None:
-                continue
-            live.append((after, last))
-            ended = self.complete.get(after)
-            if token is None and ended is not None and self.automaton.follows(last, ended):
-                token = ended
+        token, live = -1, []
+        nodes, complete = self.nodes, self.complete
+        for place in self.rows[row]:
+            node, last = place
+            after = nodes.get(node << 8 | byte)
+            if after is not None:
+                live.append((after, last))
+                if token < 0:
+                    ended = complete[after]
+                    if ended >= 0 and self._follows(last, ended):
+                        token = ended
         live.append((0, token))
         key = tuple(live)
         number = self.numbers.get(key)
@@ -189,9 +211,9 @@ class Tokenizer:
         move = self.table[row << 8 | byte] = number << 24 | token
         return move
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         """The ids of a word."""
-        if len(self.rows) > MOST_ROWS:
+        if len(self.rows) > MOST_ROWS or len(self.pairs) > MOST_PAIRS:
             self._forget()
         table, row, ends = self.table, 0, []
         raw = word.encode()
@@ -199,16 +221,17 @@ class Tokenizer:
             move = table.get(row << 8 | byte) or self._transition(row, byte)
             row = move >> 24
             ends.append(move & _TOKEN)
-        ids, at = [], len(raw)
+        ids, at = array("I"), len(raw)
         while at:
             token = ends[at - 1]
             ids.append(token)
             at -= self.sizes[token]
-        return tuple(reversed(ids))
+        ids.reverse()
+        return ids.tobytes()
 
-    def _ids(self, word: str) -> tuple[int, ...]:
-        """The ids of a word that is not among those remembered last."""
-        known = self.older.get(word) or self._word(word)
+    def _ids(self, word: str) -> bytes:
+        """The ids of a word, remembered or not."""
+        known = self.words.get(word) or self.older.get(word) or self._word(word)
         if len(word) <= LONGEST:
             self.words[word] = known
             self.letters += len(word) + 8
@@ -220,6 +243,8 @@ class Tokenizer:
         if UNSETTLED.search(text):
             spans = self.library.pre_tokenizer.pre_tokenize_str(text)
             return (text[start:stop] for _, (start, stop) in spans)
+        if len(text) <= WHOLE:
+            return iter(SPLIT.findall(text))
         return (found.group() for found in SPLIT.finditer(text))
 
     def _pieces(self, text: str) -> Iterator[tuple[str, int | None]]:
@@ -230,35 +255,42 @@ class Tokenizer:
             at = found.end()
         yield text[at:], None
 
-    def parts(self, text: str | None) -> Iterator[list[int]]:
+    def parts(self, text: str | None) -> Iterator[np.ndarray]:
         """The ids of a text, some words at a time."""
         for piece, special in self._pieces(text or ""):
             words = self._split(piece)
             while some := list(islice(words, PART)):
-                yield [i for word in some for i in self.words.get(word) or self._ids(word)]
+                known = list(map(self.words.get, some))
+                if None in known:
+                    known = [ids or self._ids(w) for ids, w in zip(known, some, strict=True)]
+                yield np.frombuffer(b"".join(known), np.uint32)
             if special is not None:
-                yield [special]
+                yield np.array([special], np.uint32)
 
-    def encode(self, text: str | None) -> list[int]:
-        return [i for part in self.parts(text) for i in part]
+    def encode(self, text: str | None) -> np.ndarray:
+        return np.concatenate([np.empty(0, np.uint32), *self.parts(text)])
 
-    def decode(self, ids: list[int]) -> str:
+    def spelt(self, ids: np.ndarray) -> bytes:
         """The labels of the ids' arcs, joined; an id without an arc has none."""
-        labels = self.labels
-        known = (labels[i] for i in ids if 0 <= i < len(labels))
-        return b"".join(known).decode("utf-8", "replace")
+        ids = ids[(ids >= 0) & (ids < len(self.labels))]
+        lengths = self.lengths[ids]
+        begins = np.cumsum(lengths) - lengths
+        at = np.arange(int(lengths.sum())) + np.repeat(self.starts[ids] - begins, lengths)
+        return self.joined[at].tobytes()
+
+    def decode(self, ids) -> str:
+        return self.spelt(np.asarray(ids, np.int64)).decode("utf-8", "replace")
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, and digests of them in decimal and of what they decode to."""
         n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
         reader = codecs.getincrementaldecoder("utf-8")("replace")
-        labels = self.labels
         for part in self.parts(text):
-            listed = ",".join(map(str, part))
-            ids.update((f",{listed}" if n and part else listed).encode())
+            digits = self.decimals[part].ravel()
+            listed = digits[digits != 0].tobytes()[:-1]
+            ids.update(b"," + listed if n else listed)
             n += len(part)
-            raw = b"".join(map(labels.__getitem__, part))
-            decoded.update(reader.decode(raw).encode())
+            decoded.update(reader.decode(self.spelt(part)).encode())
         decoded.update(reader.decode(b"", True).encode())
         return n, ids.hexdigest(), decoded.hexdigest()
 
@@ -275,7 +307,7 @@ def encoded(text: Column, tokenizer: str) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = compiled(tokenizer)
         for batch in batches:
-            found = [np.array(own.encode(text.as_py()), np.int32) for text in batch]
+            found = [own.encode(text.as_py()).astype(np.int32) for text in batch]
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
             yield pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, np.int32), *found]))
 
