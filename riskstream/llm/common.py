@@ -80,6 +80,26 @@ def record_batches(
         )
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on for the tasks of other stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
+def giving_back(batches: Iterator) -> Iterator:
+    """What a task's function yields; at its end the worker's freed memory is given back."""
+    try:
+        yield from batches
+    finally:
+        give_back()
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A fixed scrambling of 64-bit numbers (the SplitMix64 finaliser)."""
     x = values.astype(np.uint64, copy=True)

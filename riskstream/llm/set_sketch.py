@@ -31,6 +31,7 @@ an id; extra columns are ignored; an empty table gives no row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +40,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskstream.llm.common import Scratch, mix
+from riskstream.llm.common import Scratch, giving_back, mix
 from riskstream.llm.graph import components
 
-REGISTERS = 512
+REGISTER_BITS = 9
+REGISTERS = 1 << REGISTER_BITS
 BASE, RATE, TOP = 1.1, 20.0, 255
 BAND = 8
 BANDS = REGISTERS // BAND
-TOGETHER = 256  # documents sketched at once
+TOGETHER = 1 << 14  # shingles sketched at once; larger sets are sketched in parts
 
 SKETCH = "struct<n_shingles: long, key1: long, key2: long, registers: binary>"
 
@@ -69,8 +71,8 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(joined)
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of registers for each set."""
+def _levels(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of registers for each of a few sets."""
     places = np.repeat(np.arange(len(sets)) * REGISTERS, [len(s) for s in sets])
     items = np.concatenate([*sets, np.empty(0, np.uint64)])
     least = np.full(len(sets) * REGISTERS, np.inf)
@@ -83,7 +85,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
         )
         noise = mix(items[:, None] ^ mix(steps)[None, :])
         uniform = ((noise & np.uint64((1 << 53) - 1)).astype(float) + 1) * 2.0**-53
-        where = places[:, None] + (noise >> np.uint64(55)).astype(np.int64)
+        where = places[:, None] + (noise >> np.uint64(64 - REGISTER_BITS)).astype(np.int64)
         times = at[:, None] + np.cumsum(-np.log(uniform), axis=1) / (RATE * REGISTERS)
         np.minimum.at(least, where.ravel(), times.ravel())
         limit = least.reshape(-1, REGISTERS).max(axis=1)
@@ -94,6 +96,22 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(levels, 0, TOP).astype(np.uint8).reshape(-1, REGISTERS)
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of registers for each set; those of a large one are merged from its parts."""
+    rows, group, total = [np.empty((0, REGISTERS), np.uint8)], [], 0
+    for items in [*sets, None]:
+        if group and (items is None or total + len(items) > TOGETHER):
+            rows.append(_levels(group))
+            group, total = [], 0
+        if items is not None and len(items) > TOGETHER:
+            parts = (_levels([items[i : i + TOGETHER]]) for i in range(0, len(items), TOGETHER))
+            rows.append(reduce(np.maximum, parts))
+        elif items is not None:
+            group.append(items)
+            total += len(items)
+    return np.concatenate(rows)
+
+
 def _keys(sets: list[np.ndarray]) -> list[pa.Array]:
     """Halves of a 128-bit digest of each set; an empty set has none."""
     import xxhash
@@ -108,27 +126,45 @@ def _keys(sets: list[np.ndarray]) -> list[pa.Array]:
     ]
 
 
+def _in_groups(batch: pa.Array, words: int) -> Iterator[list[np.ndarray]]:
+    """The shingle sets of a batch of texts, as many at once as have ``TOGETHER`` shingles."""
+    group, total = [], 0
+    for value in batch:
+        group.append(shingle_set(value.as_py(), words))
+        total += len(group[-1])
+        if total >= TOGETHER:
+            yield group
+            group, total = [], 0
+    if group:
+        yield group
+
+
 def sketch(text: Column, words: int) -> Column:
     """Set size, digest of the set, and registers of a text column."""
 
-    @F.arrow_udf(SKETCH)
-    def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    fields = {"n_shingles": pa.int64(), "key1": pa.int64(), "key2": pa.int64(),
+              "registers": pa.binary()}
+
+    def parts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = []
-            for i in range(0, len(batch), TOGETHER):
-                sets = [shingle_set(v.as_py(), words) for v in batch.slice(i, TOGETHER)]
+            found = [
+                pa.StructArray.from_arrays(
+                    [pa.array([], kind) for kind in fields.values()], names=list(fields)
+                )
+            ]
+            for sets in _in_groups(batch, words):
                 registers = [
                     row.tobytes() if len(s) else None
                     for s, row in zip(sets, sketches(sets), strict=True)
                 ]
-                parts.append(
-                    pa.StructArray.from_arrays(
-                        [pa.array(map(len, sets), pa.int64()), *_keys(sets),
-                         pa.array(registers, pa.binary())],
-                        names=["n_shingles", "key1", "key2", "registers"],
-                    )
-                )
-            yield pa.concat_arrays(parts)
+                columns = [pa.array(map(len, sets), pa.int64()), *_keys(sets),
+                           pa.array(registers, pa.binary())]
+                found.append(pa.StructArray.from_arrays(columns, names=list(fields)))
+            yield pa.concat_arrays(found)
+
+    @F.arrow_udf(SKETCH)
+    def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return giving_back(parts(batches))
 
     return sketched(text)
 
@@ -136,17 +172,20 @@ def sketch(text: Column, words: int) -> Column:
 def keyed_set(text: Column, words: int) -> Column:
     """The set itself, as sorted 64-bit numbers, and its digest."""
 
-    @F.arrow_udf("struct<key1: long, key2: long, items: binary>")
-    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    names = ["key1", "key2", "items"]
+
+    def parts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = []
-            for i in range(0, len(batch), TOGETHER):
-                found = [shingle_set(v.as_py(), words) for v in batch.slice(i, TOGETHER)]
+            empty = [pa.array([], kind) for kind in (pa.int64(), pa.int64(), pa.binary())]
+            listed = [pa.StructArray.from_arrays(empty, names)]
+            for found in _in_groups(batch, words):
                 items = pa.array((s.tobytes() for s in found), pa.binary())
-                parts.append(
-                    pa.StructArray.from_arrays([*_keys(found), items], ["key1", "key2", "items"])
-                )
-            yield pa.concat_arrays(parts)
+                listed.append(pa.StructArray.from_arrays([*_keys(found), items], names))
+            yield pa.concat_arrays(listed)
+
+    @F.arrow_udf("struct<key1: long, key2: long, items: binary>")
+    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return giving_back(parts(batches))
 
     # Else the filter on its digest would become a join key, and it would run on all rows.
     return sets.asNondeterministic()(text)

@@ -324,7 +324,7 @@ def brute_components(rows, words, percent):
     return {i: (len(sets[i]), top(i)) for i in ids}
 
 
-def edited(draw, words, share):
+def respelt(draw, words, share):
     return " ".join(w if draw.random() > share else f"n{draw.randrange(10**6)}" for w in words)
 
 
@@ -335,7 +335,7 @@ def test_components_equal_all_pairs(spark):
     for family in range(3):
         base = [f"b{family}-{k}" for k in range(120)]
         start = 1000 * (family + 1)
-        rows += [(start + k, edited(draw, base, draw.choice((0.01, 0.04, 0.08)))) for k in range(120)]
+        rows += [(start + k, respelt(draw, base, draw.choice((0.01, 0.04, 0.08)))) for k in range(120)]
     rows += [(9000, "Mixed CASE words"), (9001, "mixed case WORDS"), (9002, ""), (9003, None), (9004, "É a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     expected = brute_components(rows, 2, 80)
