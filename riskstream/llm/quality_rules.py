@@ -9,9 +9,10 @@ Plain counts come first, and fail a document that is too short or repeats itself
 The field is fitted to document labels only: a good document's lines are content. A
 poor document's lines start as boilerplate and are relabelled by the fitted field in
 turn, as long as one line stays boilerplate, since good lines occur in poor documents
-too. The fit takes at most ``SAMPLE`` documents of each label, and the first
-``SAMPLE_CHARS`` of longer ones; those whose hashed ids are least, so it is the same on
-any cluster.
+too. The fit takes at most ``SAMPLE`` documents of each label, those whose hashed ids are
+least, so it is the same on any cluster. A document teaches by chunks of ``CHUNK`` lines,
+each a sequence; of one with more than ``CHUNKS`` it takes as many, evenly spaced from
+its first to its last.
 
 Results by case: a null or empty text has no words and fails; without labels of both
 kinds nothing is learnt and only the plain counts decide; a row without an id is judged
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.llm.common import WHITE, shingles
+from riskstream.llm.common import WHITE, giving_back, shingles
 
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 20
@@ -38,7 +39,8 @@ REPEAT = 8  # words of a window
 CONTENT_SHARE = 0.5
 
 SAMPLE = 400
-SAMPLE_CHARS = 10_000
+CHUNK = 256
+CHUNKS = 8
 ROUNDS = 3
 
 VERDICT = (
@@ -149,7 +151,8 @@ def _gradient(field: Field, x: np.ndarray, y: np.ndarray, mask: np.ndarray):
         backward[:, i] = np.where(mask[:, i + 1, None], step, backward[:, i + 1])
     total = np.logaddexp.reduce(forward[:, -1], axis=1)[:, None]
     expected = np.exp(forward[..., 1] + backward[..., 1] - total) * mask
-    weights = np.einsum("dlf,dl->f", x, y * mask - expected)
+    off = (y * mask - expected).ravel().astype(x.dtype)
+    weights = off @ x.reshape(-1, x.shape[2])
     both = (mask[:, 1:] & mask[:, :-1])[..., None, None]
     pair = np.exp(
         forward[:, :-1, :, None] + field.moves + (odds + backward)[:, 1:, None, :]
@@ -162,38 +165,83 @@ def _gradient(field: Field, x: np.ndarray, y: np.ndarray, mask: np.ndarray):
     return weights / mask.sum(), moves / mask.sum()
 
 
-def _ascend(field: Field, x, y, mask, steps: int, rate: float, shrink: float) -> Field:
+class _Sequences(NamedTuple):
+    """Sequences of like length, padded to the longest of them."""
+
+    x: np.ndarray
+    y: np.ndarray
+    mask: np.ndarray
+    owners: np.ndarray  # the document of each
+
+
+def _padded(documents: list[tuple[list[np.ndarray], bool]]) -> list[_Sequences]:
+    """All sequences by the power of two that holds their length, so at most half is padding."""
+    kinds: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for owner, (chunks, _) in enumerate(documents):
+        for rows in chunks:
+            kinds.setdefault(len(rows).bit_length(), []).append((owner, rows))
+    groups = []
+    for _, held in sorted(kinds.items()):
+        longest = max(len(rows) for _, rows in held)
+        x = np.zeros((len(held), longest, len(FEATURES)), np.float32)
+        mask = np.zeros((len(held), longest), bool)
+        for i, (_, rows) in enumerate(held):
+            x[i, : len(rows)], mask[i, : len(rows)] = rows, True
+        owners = np.array([owner for owner, _ in held])
+        poor = np.array([documents[owner][1] for owner in owners])
+        groups.append(_Sequences(x, (mask & poor[:, None]).astype(float), mask, owners))
+    return groups
+
+
+def _slope(field: Field, groups: list[_Sequences]) -> np.ndarray:
+    total = sum(int(group.mask.sum()) for group in groups)
+    slope = np.zeros(len(field.weights) + 4)
+    for x, y, mask, _ in groups:
+        parts = [part.ravel() for part in _gradient(field, x, y, mask)]
+        slope += np.concatenate(parts) * (mask.sum() / total)
+    return slope
+
+
+def _ascend(
+    field: Field, groups: list[_Sequences], steps: int, rate: float, shrink: float
+) -> Field:
     """Adam on the penalised likelihood."""
     state = np.concatenate([field.weights, field.moves.ravel()])
     first, second = np.zeros_like(state), np.zeros_like(state)
     n = len(field.weights)
     for t in range(1, steps + 1):
         at = Field(state[:n], state[n:].reshape(2, 2))
-        slope = np.concatenate([g.ravel() for g in _gradient(at, x, y, mask)]) - shrink * state
+        slope = _slope(at, groups) - shrink * state
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         state = state + rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
     return Field(state[:n], state[n:].reshape(2, 2))
 
 
-def fit(documents: list[tuple[np.ndarray, bool]]) -> Field | None:
-    """A field from (line features, whether the document is poor) pairs."""
-    documents = [(x, poor) for x, poor in documents if len(x)]
-    if len({poor for _, poor in documents}) < 2:
+def fit(documents: list[tuple[list[np.ndarray], bool]]) -> Field | None:
+    """A field from (line features of each sequence, whether the document is poor) pairs."""
+    documents = [([x for x in chunks if len(x)], poor) for chunks, poor in documents]
+    if len({poor for chunks, poor in documents if chunks}) < 2:
         return None
-    lines = max(len(x) for x, _ in documents)
-    x = np.zeros((len(documents), lines, len(FEATURES)))
-    mask = np.zeros((len(documents), lines), bool)
-    poor = np.array([p for _, p in documents])
-    for i, (rows, _) in enumerate(documents):
-        x[i, : len(rows)], mask[i, : len(rows)] = rows, True
-    y = (mask & poor[:, None]).astype(float)
+    groups = _padded(documents)
+    poor = [poor for _, poor in documents]
     field = Field(np.zeros(len(FEATURES)), np.zeros((2, 2)))
     for _ in range(ROUNDS):
-        field = _ascend(field, x, y, mask, steps=60, rate=0.2, shrink=1e-4)
-        for i in np.flatnonzero(poor):
-            labels = viterbi(field, documents[i][0])
-            if labels.any():
-                y[i, : len(labels)] = labels
+        field = _ascend(field, groups, steps=60, rate=0.2, shrink=1e-4)
+        labels = [
+            {i: viterbi(field, x[i, mask[i]]) for i, owner in enumerate(owners) if poor[owner]}
+            for x, _, mask, owners in groups
+        ]
+        # A poor document keeps its labels while none of its lines would be boilerplate.
+        boiler = {
+            int(group.owners[i])
+            for group, own in zip(groups, labels, strict=True)
+            for i, found in own.items()
+            if found.any()
+        }
+        for group, own in zip(groups, labels, strict=True):
+            for i, found in own.items():
+                if int(group.owners[i]) in boiler:
+                    group.y[i, : len(found)] = found
     return field
 
 
@@ -230,8 +278,7 @@ def verdict(text: Column, field: Field | None) -> Column:
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
              "base_failed", "content_share", "kept"]
 
-    @F.arrow_udf(VERDICT)
-    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def verdicts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             columns = list(zip(*(judge(v.as_py(), field) for v in batch), strict=True))
             columns = columns or [()] * len(kinds)
@@ -239,40 +286,48 @@ def verdict(text: Column, field: Field | None) -> Column:
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
             )
 
+    @F.arrow_udf(VERDICT)
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return giving_back(verdicts(batches))
+
     return judged(text)
 
 
+def taught(text: str, size: int = CHUNK, most: int = CHUNKS) -> list[np.ndarray]:
+    """Line features of a text's chunks, or of ``most`` of them spaced over all of it."""
+    lines = line_features(text)[0].astype(np.float32)
+    starts = range(0, len(lines), size)
+    if len(starts) > most:
+        places = np.linspace(0, len(starts) - 1, most).round().astype(int)
+        starts = [starts[i] for i in places]
+    return [lines[i : i + size] for i in starts]
+
+
 def _features(text: Column) -> Column:
-    @F.arrow_udf("array<array<double>>")
+    @F.arrow_udf("array<binary>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.list_(pa.float64()))
         for batch in batches:
-            yield pa.array([line_features(v.as_py())[0].tolist() for v in batch], kind)
+            found = [[chunk.tobytes() for chunk in taught(v.as_py())] for v in batch]
+            yield pa.array(found, pa.list_(pa.binary()))
 
     return features(text)
 
 
-def learn(
-    documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS
-) -> Field | None:
-    """Fit the field to at most ``sample`` documents of each quality label.
-
-    Of a document of more than ``chars`` characters it learns the lines within the first.
-    """
+def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field | None:
+    """Fit the field to at most ``sample`` documents of each quality label."""
     labels = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = labels.where("q = 0").orderBy(*order).limit(sample).union(
         labels.where("q = 1").orderBy(*order).limit(sample)
     )
-    # At most 2 * sample rows of two numbers.
-    begins = F.regexp_replace(F.substring("text", 1, chars), r"\n[^\n]*$", "")
-    text = F.when(F.length("text") <= chars, F.col("text")).otherwise(begins)
-    texts = documents.select("doc_id", text.alias("text")).where("text is not null")
+    # At most 2 * sample rows of two numbers; then as many of CHUNKS * CHUNK lines each.
+    texts = documents.select("doc_id", "text").where("text is not null")
     rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     found = rows.select("doc_id", "q", _features(F.col("text")).alias("x")).collect()
     found.sort(key=lambda row: row.doc_id)
+    shape = (-1, len(FEATURES))
     return fit(
-        [(np.array(r.x, float).reshape(-1, len(FEATURES)), r.q == 0) for r in found]
+        [([np.frombuffer(x, np.float32).reshape(shape) for x in r.x], r.q == 0) for r in found]
     )
 
 

@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 16
 # Memory of a worker: what is compiled or remembered is dropped beyond these sizes.
 MOST_STATES = 400_000
-MOST_PAIRS = 1_000_000
-MOST_SEGMENTS = 1_000_000
+MOST_PAIRS = 500_000
+MOST_SEGMENTS = 500_000
+SHORT = 24  # characters of a segment that is remembered
 
 SPACE = "▁"
 _SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -66,7 +67,9 @@ class _Emitted(dict):
         self.transducer = transducer
 
     def __missing__(self, segment: str) -> int:
-        emitted = self[segment] = self.transducer.run(_START, segment)[1]
+        emitted = self.transducer.run(_START, segment)[1]
+        if len(segment) <= SHORT:
+            self[segment] = emitted
         return emitted
 
 

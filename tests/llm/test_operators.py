@@ -374,19 +374,46 @@ def test_near_duplicates_odd_rows(spark, odd):
     assert ids.count(None) == 2  # the empty one, and one of the two alike
 
 
+GOOD_LINE = "This is a line of the prose that people write and others read with pleasure.\n"
+POOR_LINE = "$$ 123 | 456 >>\n"
+
+
 def test_field_is_fitted_to_long_documents(spark):
-    good = "This is a line of the prose that people write and others read with pleasure.\n"
-    poor = "$$ 123 | 456 >>\n"
-    rows = [(i, (good if i % 2 else poor) * 900) for i in range(12)]
+    rows = [(i, (GOOD_LINE if i % 2 else POOR_LINE) * 900) for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)], "doc_id long, quality int, toxic int")
-    assert min(len(t) for _, t in rows) > quality_rules.SAMPLE_CHARS
     field = quality_rules.learn(docs, labels)
     assert field is not None
     shares = {r.doc_id: r.content_share for r in quality_rules.quality_rules(docs, field).collect()}
     assert all((shares[i] > 0.5) == bool(i % 2) for i in shares)
 
 
+def test_field_learns_from_the_ends_of_long_documents(spark):
+    """The only boilerplate stands after thousands of good lines."""
+    rows = [(i, GOOD_LINE * 3000 + ("" if i % 2 else POOR_LINE * 200)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)], "doc_id long, quality int, toxic int")
+    field = quality_rules.learn(docs, labels)
+    features, _ = quality_rules.line_features(GOOD_LINE * 50 + POOR_LINE * 50)
+    assert quality_rules.viterbi(field, features).tolist() == [0] * 50 + [1] * 50
+
+
+def test_chunks_are_spread_over_the_whole_text():
+    text = "".join(f"{'word ' * (i + 1)}\n" for i in range(50))
+    chunks = quality_rules.taught(text, 3, 4)
+    lines = quality_rules.line_features(text)[0].astype(np.float32)
+    assert [len(c) for c in chunks] == [3, 3, 3, 2]
+    assert (chunks[0] == lines[:3]).all() and (chunks[-1] == lines[-2:]).all()
+    assert np.concatenate(quality_rules.taught(text, 3, 99)).shape == lines.shape
+
+
+def test_padding_is_at_most_half():
+    chunks = [np.ones((n, len(quality_rules.FEATURES)), np.float32) for n in (1, 2, 3, 200, 256, 255)]
+    groups = quality_rules._padded([(chunks, True)])
+    assert sum(g.mask.size for g in groups) <= 2 * sum(map(len, chunks))
+    assert sum(int(g.mask.sum()) for g in groups) == sum(map(len, chunks))
+
+
 # Passages
 
 
