@@ -112,17 +112,51 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """64-bit hashes of a text's word shingles, in order."""
-    import xxhash
+_SPACE = np.zeros(256, bool)
+_SPACE[list(WHITE.encode())] = True
+_LONG = 4096  # bytes; longer words are hashed one by one
+_POWERS = np.cumprod(np.full(_LONG, 0x9E3779B97F4A7C15, np.uint64))
+_STEP = 0xD1B54A32D192ED03
+
 
-    # bytes.split() splits at just the six ASCII white-space characters.
-    words = (text or "").encode().split()
-    n = len(words) - size + 1
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a UTF-8 text, in order.
+
+    A word's bytes are the coefficients of a polynomial modulo 2^64, which is then mixed.
+    """
+    codes = np.frombuffer(data, np.uint8)
+    inked = ~_SPACE[codes]
+    edges = np.flatnonzero(np.diff(inked, prepend=False, append=False))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    offsets = np.cumsum(lengths) - lengths
+    used = codes[inked].astype(np.uint64) + np.uint64(1)
+    within = np.arange(len(used)) - np.repeat(offsets, lengths)
+    long = np.flatnonzero(lengths > _LONG)
+    if len(long):
+        within %= _LONG
+    hashes = np.add.reduceat(_POWERS[within] * used, offsets)
+    if len(long):
+        import xxhash
+
+        for i in long.tolist():
+            word = data[starts[i] : starts[i] + lengths[i]]
+            hashes[i] = xxhash.xxh64_intdigest(word)
+    return mix(hashes)
+
+
+def joined_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of each ``size`` words in a row."""
+    n = len(hashes) - size + 1
     if n < 1:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     joined = np.zeros(n, np.uint64)
     for i in range(size):
-        joined = mix(joined ^ hashes[i : n + i])
-    return joined
+        joined += hashes[i : n + i] * np.uint64(pow(_STEP, i + 1, 1 << 64))
+    return mix(joined)
+
+
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """64-bit hashes of a text's word shingles, in order."""
+    return joined_hashes(word_hashes((text or "").encode()), size)

@@ -25,8 +25,10 @@ Work and output are linear in the windows: a passage of thousands of documents i
 compared with three documents at most.
 
 Results by case: null and short texts have no passages; rows without an id take no
-part; rows that repeat an id are one document; extra columns are ignored; an empty
-table gives no row; a passage repeated only within one document is not reported.
+part; rows that repeat an id and its text are one document; of unlike texts under one id,
+that of least hash is the document, and the others are documents that come after all of
+other ids; extra columns are ignored; an empty table gives no row; a passage repeated only
+within one document is not reported.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskstream.llm.common import WORD, Scratch, mix, shingles
+from riskstream.llm.common import WORD, Scratch, giving_back, mix, shingles
 
 HASHES = 5  # at similarity 0.8 all five miss a passage 3 times in 10,000
 SHINGLE = 5
@@ -60,8 +62,9 @@ _WORD = re.compile(WORD)
 # the position, and how far the window reaches before and after it; sides: hashes of the
 # contexts after and before, 0 where there is none.
 WINDOW = "array<struct<value: long, place: long, sides: long>>"
-REACH = 18  # bits
-LONGEST = 1 << 17  # starts that one window has; a longer one is several
+REACH = 16  # bits; 31 are left for the position
+LONGEST = 1 << 15  # starts that one window has; a longer one is several
+PART = 1 << 24  # shingles of a text whose windows are found at once
 PASSAGE_TYPE = (
     "array<struct<begin: int, end: int, first_begin: int, first_end: int, similarity: double>>"
 )
@@ -88,8 +91,26 @@ def _contexts(items: np.ndarray, length: int) -> np.ndarray:
     return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
-def compact_windows(sequences: list[np.ndarray], length: int) -> tuple[np.ndarray, ...]:
-    """Sequence, value, hash, position, left and right end of each compact window."""
+def compact_windows(
+    sequences: list[np.ndarray], length: int, most: int = PART
+) -> tuple[np.ndarray, ...]:
+    """Sequence, value, hash, position, left and right end of each compact window.
+
+    A sequence of more than ``most`` items is worked on in parts, which overlap so that
+    each stretch of ``length`` lies in one.
+    """
+    if max(map(len, sequences), default=0) <= most:
+        return _compact_windows(sequences, length)
+    found = []
+    for i, sequence in enumerate(sequences):
+        for start in range(0, max(len(sequence) - length + 1, 1), most):
+            part = sequence[start : start + most + length - 1]
+            _, value, hashed, *places = _compact_windows([part], length)
+            found.append((np.full(len(value), i), value, hashed, *(p + start for p in places)))
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
+def _compact_windows(sequences: list[np.ndarray], length: int) -> tuple[np.ndarray, ...]:
     sizes = np.array([len(s) for s in sequences])
     items = np.concatenate([*sequences, np.empty(0, np.uint64)])
     owner = np.repeat(np.arange(len(sequences)), sizes)
@@ -140,17 +161,20 @@ def _listed(kind: pa.DataType, owners: np.ndarray, count: int, values: pa.Array)
 def window_values(text: Column, length: int) -> Column:
     """Min-hash values of a text's compact windows."""
 
-    @F.arrow_udf("array<long>")
-    def values(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.array([], pa.list_(pa.int64()))]
             for group in _in_groups(batch):
-                owners, found, *_ = compact_windows(group, length)
+                owners, listed, *_ = compact_windows(group, length)
                 parts.append(
-                    _listed(pa.int64(), owners, len(group), pa.array(found, pa.int64()))
+                    _listed(pa.int64(), owners, len(group), pa.array(listed, pa.int64()))
                 )
             yield pa.concat_arrays(parts)
 
+    @F.arrow_udf("array<long>")
+    def values(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return giving_back(found(batches))
+
     return values(text)
 
 
@@ -172,8 +196,7 @@ def windows(text: Column, length: int) -> Column:
     """A text's compact windows."""
     kind = pa.struct([(n, pa.int64()) for n in ("value", "place", "sides")])
 
-    @F.arrow_udf(WINDOW)
-    def listed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.array([], pa.list_(kind))]
             for group in _in_groups(batch):
@@ -184,6 +207,10 @@ def windows(text: Column, length: int) -> Column:
                 parts.append(_listed(kind, owners, len(group), rows))
             yield pa.concat_arrays(parts)
 
+    @F.arrow_udf(WINDOW)
+    def listed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return giving_back(found(batches))
+
     return listed(text)
 
 
@@ -346,6 +373,40 @@ def _confirmed(one: Column, two: Column, length: int, percent: int, size: int) -
     return confirmed(one, two)
 
 
+# Documents from this number on stand for the further texts of an id that has several.
+_FURTHER = 1 << 62
+
+
+def _numbered(
+    documents: DataFrame, key: str, text: str, scratch: Scratch
+) -> tuple[DataFrame, DataFrame | None]:
+    """Documents under numbers of their own, and the further texts of repeated ids."""
+    docs = documents.select(
+        F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")
+    ).where("doc_id is not null and text is not null")
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"))
+    unlike = marked.groupBy("doc_id").agg(
+        F.min("mark").alias("least"), F.max("mark").alias("most")
+    ).where("least < most")
+    unlike = scratch.keep(unlike.select("doc_id", "least"), "unlike")
+    if unlike.isEmpty():
+        return docs, None
+    several = docs.withColumn("mark", F.xxhash64("text")).join(unlike, "doc_id")
+    further = several.where("mark <> least").dropDuplicates(["doc_id", "mark"])
+    further = scratch.keep(
+        further.select(
+            "doc_id", "mark", "text",
+            (F.monotonically_increasing_id() + _FURTHER).alias("number"),
+        ),
+        "further",
+    )
+    first = docs.join(unlike, "doc_id", "left").where(
+        "least is null or xxhash64(text) = least"
+    ).select("doc_id", "text")
+    texts = further.select(F.col("number").alias("doc_id"), "text")
+    return first.unionByName(texts), further.drop("text")
+
+
 def repeated_passages(
     documents: DataFrame, words: int = PASSAGE, percent: int = 80,
     key: str = "doc_id", text: str = "text",
@@ -355,11 +416,20 @@ def repeated_passages(
     Words ``begin`` up to ``end`` of the document are nearly those of the first
     document, which has the lesser id.
     """
-    length = words - SHINGLE + 1
     scratch = Scratch(documents.sparkSession, "passages")
-    docs = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where(
-        F.col(key).isNotNull() & F.col(text).isNotNull()
-    )
+    docs, further = _numbered(documents, key, text, scratch)
+    found = _repeated(docs, words, percent, scratch)
+    if further is None:
+        return found
+    columns = found.columns
+    for name in ("doc_id", "first_doc_id"):
+        named = further.select(F.col("number").alias(name), F.col("doc_id").alias("own"))
+        found = found.join(named, name, "left").withColumn(name, F.coalesce("own", name)).drop("own")
+    return found.select(columns)
+
+
+def _repeated(docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    length = words - SHINGLE + 1
     shared = (
         docs.select("doc_id", F.explode(window_values(F.col("text"), length)).alias("value"))
         .groupBy("value")
@@ -484,18 +554,25 @@ def without_repeats(
     All columns stay; ``n_chars``, if there, follows the text. A document of which
     nothing but white space is left goes; one without a repeated passage is untouched.
     """
-    found = repeated_passages(documents, words, percent, key, text)
+    scratch = Scratch(documents.sparkSession, "passages")
+    docs, further = _numbered(documents, key, text, scratch)
+    found = _repeated(docs, words, percent, scratch)
     # A document's spans are no more than it has words.
     spans = found.groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_list(F.struct("begin", "end")).alias("__spans")
     )
-    rows = documents.join(spans, F.col(key) == F.col("__id"), "left")
+    rows = documents.withColumn("__own", F.col(key).cast("long"))
+    if further is not None:
+        other = further.toDF("__doc", "__mark", "__number")
+        same = (F.col("__own") == F.col("__doc")) & (F.xxhash64(text) == F.col("__mark"))
+        rows = rows.join(other, same, "left").withColumn("__own", F.coalesce("__number", "__own"))
+    rows = rows.join(spans, F.col("__own") == F.col("__id"), "left")
     rows = rows.withColumn("__text", _cut(F.col(text), F.col("__spans")))
     repeats = F.col("__spans").isNotNull()
     rows = rows.where(~repeats | F.col("__text").rlike(WORD))
     columns = []
     for name in documents.columns:
-        value = documents[name]
+        value = F.col(name)
         if name == text:
             value = F.col("__text")
         elif name == "n_chars":

@@ -7,8 +7,8 @@ both, and two sets agree in a register about as often as their Jaccard similarit
 
 1. Documents of the same set are one class, and go on as one node.
 2. Bands of ``BAND`` registers put a class in ``BANDS`` buckets. At similarity 0.8 a
-   pair misses every bucket with probability 3e-6; unrelated sets, which agree in a
-   register with probability 0.023, meet with probability 5e-12.
+   pair misses every bucket with probability 5e-9; unrelated sets, which agree in a
+   register with probability 0.023, meet with probability 8e-12.
 3. In a bucket of several classes one, drawn by the bucket, is the centre. A class is
    compared with the centre it meets most often, so a bucket costs no more than its
    size, and most of a large group is one component after that.
@@ -40,11 +40,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskstream.llm.common import Scratch, giving_back, mix
+from riskstream.llm.common import Scratch, giving_back, joined_hashes, mix, word_hashes
 from riskstream.llm.graph import components
 
-REGISTER_BITS = 9
-REGISTERS = 1 << REGISTER_BITS
+REGISTERS = 768
 BASE, RATE, TOP = 1.1, 20.0, 255
 BAND = 8
 BANDS = REGISTERS // BAND
@@ -57,18 +56,12 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles; A-Z are lower-cased."""
     import xxhash
 
-    # bytes.split() splits at just the six ASCII white-space characters.
-    found = (text or "").encode().lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    if len(found) < words:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(found), len(found))], np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
-    n = len(found) - words + 1
-    joined = np.zeros(n, np.uint64)
-    for i in range(words):
-        joined = mix(joined ^ hashes[i : n + i])
-    return np.unique(joined)
+    lowered = (text or "").encode().lower()
+    hashes = word_hashes(lowered)
+    if 0 < len(hashes) < words:
+        whole = b" ".join(lowered.split())
+        return np.array([xxhash.xxh64_intdigest(whole, len(hashes))], np.uint64)
+    return np.unique(joined_hashes(hashes, words))
 
 
 def _levels(sets: list[np.ndarray]) -> np.ndarray:
@@ -84,8 +77,10 @@ def _levels(sets: list[np.ndarray]) -> np.ndarray:
             0xD1B54A32D192ED03
         )
         noise = mix(items[:, None] ^ mix(steps)[None, :])
-        uniform = ((noise & np.uint64((1 << 53) - 1)).astype(float) + 1) * 2.0**-53
-        where = places[:, None] + (noise >> np.uint64(64 - REGISTER_BITS)).astype(np.int64)
+        # The low 40 bits say when a point comes, the high 24 at which register.
+        uniform = ((noise & np.uint64((1 << 40) - 1)).astype(float) + 1) * 2.0**-40
+        register = (noise >> np.uint64(40)) * np.uint64(REGISTERS) >> np.uint64(24)
+        where = places[:, None] + register.astype(np.int64)
         times = at[:, None] + np.cumsum(-np.log(uniform), axis=1) / (RATE * REGISTERS)
         np.minimum.at(least, where.ravel(), times.ravel())
         limit = least.reshape(-1, REGISTERS).max(axis=1)

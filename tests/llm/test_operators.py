@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskstream.llm import (
+    common,
     licences,
     mixing,
     packing,
@@ -632,6 +633,53 @@ def test_cut():
     assert passages.cut(text, [(0, 2), (1, 3), (4, 5)]) == "d "
 
 
+def test_unlike_texts_under_one_id(spark):
+    """The text of least hash is the document; others come after all ids, each by itself."""
+    draw = random.Random(8)
+    passage = " ".join(f"p{draw.randrange(10**6)}" for _ in range(70))
+    rest = " ".join(f"r{draw.randrange(10**6)}" for _ in range(60))
+    rows = [(1, passage), (2, f"x y {passage} z"), (2, "short one"), (2, "short one"),
+            (3, f"{rest} a"), (3, f"{rest} b"), (9, f"c {rest}"), (9, f"c {rest}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.first_doc_id) for r in passages.repeated_passages(docs).collect()}
+    assert found == {(2, 1), (3, 3), (9, 3)}
+    left = sorted((r.doc_id, r.text) for r in passages.without_repeats(docs).collect())
+    kept = [text for doc, text in left if doc == 3]
+    assert [t for d, t in left if d == 1] == [passage]
+    assert sorted(t for d, t in left if d == 2) == ["short one", "short one", "x y z"]
+    assert sorted(map(len, kept)) == [1, len(rest) + 2]  # one is cut, but for its last word
+    assert [t for d, t in left if d == 9] == ["c ", "c "]
+
+
+def test_windows_of_parts_cover_those_of_the_whole():
+    draw = np.random.default_rng(3)
+    items = draw.integers(0, 1 << 62, 400).astype(np.uint64)
+    whole = passages.compact_windows([items], 20)
+    parts = passages.compact_windows([items[:5], items], 20, most=64)
+    assert set(parts[0].tolist()) == {1}
+    # Every stretch has the same least value at the same position, in one window or another.
+    for found in (whole, parts):
+        tops = {}
+        for value, hashed, c, left, right in zip(*(x.tolist() for x in found[1:]), strict=True):
+            for start in range(max(left, c - 19), min(c, right - 19) + 1):
+                tops[hashed, start] = (value, c)
+        assert len(tops) == passages.HASHES * (400 - 19)
+        first = first if found is parts else tops
+    assert tops == first
+
+
+def test_word_hashes_tell_words_apart():
+    draw = random.Random(2)
+    for _ in range(300):
+        text = "".join(draw.choice("ab \n\té\x0b\x85") for _ in range(draw.randrange(30)))
+        words = text.encode().split()
+        hashes = common.word_hashes(text.encode()).tolist()
+        assert len(hashes) == len(words) and len(set(hashes)) == len(set(words))
+        assert [words.index(w) for w in words] == [hashes.index(h) for h in hashes]
+    long = ["x" * 5000, "x" * 4097, "x" * 4096 + "y" * 904, "y" * 904 + "x" * 4096]
+    assert len(set(common.word_hashes(" ".join(long).encode()).tolist())) == 4
+
+
 # Toxicity
 
 
