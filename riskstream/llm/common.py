@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 from itertools import islice
@@ -16,7 +17,15 @@ from riskstream.session import shared_folder
 
 # A word: what stands between these six white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# While a table is written: its shuffle files go at its end, since nothing reads them again
+# and else they stay until the driver's garbage is collected; and Python workers are fed by
+# small batches, since rows may hold whole texts and a batch stands in memory on both sides.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -41,16 +50,18 @@ class Scratch:
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         """Write a frame and return the written table.
 
-        The shuffle files of the write go at its end: nothing reads them again, and
-        otherwise they stay until the driver's garbage happens to be collected.
+        The write runs under ``_WRITING``, and the session has its own settings again
+        after it; meanwhile no other query should run in the same session.
         """
         conf = self.spark.conf
-        before = conf.get(_CLEANUP)
-        conf.set(_CLEANUP, "true")
+        before = {key: conf.get(key) for key in _WRITING}
+        for key, value in _WRITING.items():
+            conf.set(key, value)
         try:
             frame.write.mode("overwrite").parquet(self.path(name))
         finally:
-            conf.set(_CLEANUP, before)
+            for key, value in before.items():
+                conf.set(key, value)
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
@@ -82,10 +93,6 @@ def record_batches(
 
 def give_back() -> None:
     """Return freed memory to the system: a worker lives on for the tasks of other stages."""
-    import ctypes
-    import gc
-
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
     if trim:
@@ -93,9 +100,11 @@ def give_back() -> None:
 
 
 def giving_back(batches: Iterator) -> Iterator:
-    """What a task's function yields; at its end the worker's freed memory is given back."""
+    """What a task's function yields; the worker's freed memory is given back now and then."""
     try:
-        yield from batches
+        for batch in batches:
+            yield batch
+            give_back()
     finally:
         give_back()
 

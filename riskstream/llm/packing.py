@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.llm.common import Scratch
+from riskstream.llm.common import Scratch, giving_back
 
 CAPACITY = 2048
 END = 0  # the id that ends each document
@@ -105,8 +105,7 @@ def token_pieces(text: Column, tokenizer: str, capacity: int, keep_ids: bool) ->
     """The pieces of a text column under the tokenizer file ``tokenizer``."""
     end = struct.pack("<I", END)
 
-    @F.arrow_udf(PIECE)
-    def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def cut_all(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(tokenizer)
         kind = pa.list_(
             pa.struct(
@@ -127,6 +126,10 @@ def token_pieces(text: Column, tokenizer: str, capacity: int, keep_ids: bool) ->
                 pa.array(starts), pa.StructArray.from_arrays(parts, fields=list(kind.value_type))
             )
 
+    @F.arrow_udf(PIECE)
+    def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return giving_back(cut_all(batches))
+
     return pieces(text)
 
 

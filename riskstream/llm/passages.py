@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskstream.llm.common import WORD, Scratch, giving_back, mix, shingles
+from riskstream.llm.common import WORD, Scratch, give_back, giving_back, mix, shingles
 
 HASHES = 5  # at similarity 0.8 all five miss a passage 3 times in 10,000
 SHINGLE = 5
@@ -218,11 +218,15 @@ def windows(text: Column, length: int) -> Column:
 def _slice(text: pa.Array, begin: pa.Array, end: pa.Array) -> pa.Array:
     """Shingles begin to end, inclusive; rows of one text come one after another."""
     found, last, sequence = [], None, None
-    for t, b, e in zip(text.to_pylist(), begin.to_pylist(), end.to_pylist(), strict=True):
+    for t, b, e in zip(text, begin.to_pylist(), end.to_pylist(), strict=True):
+        t = t.as_py()
         if sequence is None or t != last:
             last, sequence = t, shingles(t, SHINGLE)
         found.append(sequence[b : e + 1].tobytes())
-    return pa.array(found, pa.binary())
+    listed = pa.array(found, pa.binary())
+    del found, last, sequence
+    give_back()
+    return listed
 
 
 def _places(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -368,6 +372,7 @@ def _confirmed(one: Column, two: Column, length: int, percent: int, size: int) -
                     for begin, end, low, high, similarity in found
                 ]
             )
+        give_back()
         return pa.array(rows, kind)
 
     return confirmed(one, two)
@@ -536,13 +541,16 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 @F.arrow_udf(T.StringType())
 def _cut(text: pa.Array, spans: pa.Array) -> pa.Array:
-    return pa.array(
-        [
-            t if s is None or t is None else cut(t, [(x["begin"], x["end"]) for x in s])
-            for t, s in zip(text.to_pylist(), spans.to_pylist(), strict=True)
-        ],
-        pa.string(),
-    )
+    found = []
+    for t, s in zip(text, spans, strict=True):
+        listed = s.as_py()
+        if listed and t.is_valid:
+            t = pa.scalar(cut(t.as_py(), [(x["begin"], x["end"]) for x in listed]))
+        found.append(t)
+    kept = pa.array(found, pa.string())
+    del found
+    give_back()
+    return kept
 
 
 def without_repeats(

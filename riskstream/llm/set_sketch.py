@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskstream.llm.common import Scratch, giving_back, joined_hashes, mix, word_hashes
+from riskstream.llm.common import Scratch, give_back, giving_back, joined_hashes, mix, word_hashes
 from riskstream.llm.graph import components
 
 REGISTERS = 768
@@ -238,6 +238,7 @@ def _linked(percent: int):
                     shared = int((large[at] == small).sum())
                 union = len(one) + len(two) - shared
                 found.append(bool(near) and 100 * shared >= percent * union)
+        give_back()
         return pa.array(found, pa.bool_())
 
     return linked("registers_a", "registers_b", "items_a", "items_b")
@@ -265,7 +266,10 @@ def _difference(items: pa.Array, base: pa.Array) -> pa.Array:
         ).view(np.int64)
         for a, b in zip(items, base, strict=True)
     ]
-    return pa.array(found, pa.list_(pa.int64()))
+    listed = pa.array(found, pa.list_(pa.int64()))
+    del found
+    give_back()
+    return listed
 
 
 def _across(
