@@ -58,7 +58,13 @@ def with_profile(transactions: DataFrame, seconds: float = 6 * HOUR) -> DataFram
     is shuffled once more to its window's start, which lets adaptive execution
     split the rows of a window too busy for one task; a window function, or a
     join straight onto the grouping, would rule that out. No user, no profile.
+
+    A stream gives a transaction when its window has closed, and one without a user when
+    no profile can come for it any more: both sides are held no longer than a window
+    and the watermark's delay.
     """
+    if transactions.isStreaming:
+        return _stream_profile(transactions, seconds)
     profile = tumbling(transactions, seconds).withColumnsRenamed(
         {"n": "user_n", "total": "user_total"}
     )
@@ -69,6 +75,32 @@ def with_profile(transactions: DataFrame, seconds: float = 6 * HOUR) -> DataFram
     )
 
 
+def _stream_profile(transactions: DataFrame, seconds: float) -> DataFrame:
+    length = round(seconds * SECOND)
+    windows = (
+        transactions.groupBy(
+            F.window("ts", f"{length} microseconds").alias("w"), F.col("user_id").alias("user_id_")
+        )
+        .agg(F.count(F.lit(1)).alias("user_n"), _total(F.col("amount")).alias("user_total"))
+        .select(
+            "user_id_", "user_n", "user_total", F.col("w.start").alias("start"),
+            F.window_time("w").alias("closes"),
+        )
+    )
+    start = _instant(_pane(F.unix_micros("ts"), length))
+    placed = transactions.where(F.col("ts").isNotNull()).withColumn("window_start", start)
+    same = (F.col("user_id") == F.col("user_id_")) & (F.col("window_start") == F.col("start"))
+    span = F.expr(f"INTERVAL '{length / SECOND:.6f}' SECOND")
+    near = (F.col("closes") >= F.col("ts")) & (F.col("closes") <= F.col("ts") + span)
+    joined = placed.join(windows, same & near, "left").select(
+        *transactions.columns, "user_n", "user_total"
+    )
+    none = transactions.where(F.col("ts").isNull()).withColumns(
+        {"user_n": F.lit(None).cast("bigint"), "user_total": F.lit(None).cast("double")}
+    )
+    return joined.union(none)
+
+
 def sliding(
     transactions: DataFrame, seconds: float = 6 * HOUR, slide: float = 2 * HOUR
 ) -> DataFrame:
@@ -179,7 +211,12 @@ def trailing(
     instant past their window; the running sum of a user's changes is what the window
     holds. Work is linear in the rows, for every user alike, and no group grows with what
     a user sends. A row without a time is in no window and isn't shuffled.
+
+    A stream, which has no order to run a sum in, adds up panes instead; see
+    ``_stream_trailing``.
     """
+    if transactions.isStreaming:
+        return _stream_trailing(transactions, seconds, keep)
     past = round(seconds * SECOND) + 1  # a row still counts at the very end of its window
     amount = F.col("amount")
     extra = [] if "user_id" in keep else ["user_id"]
@@ -210,6 +247,67 @@ def trailing(
     return timed.union(timeless)
 
 
+# Panes of a trailing window in a stream.
+PANES = 12
+
+
+def _held() -> list[Column]:
+    amount = F.col("amount")
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(micros(amount)), F.lit(0).cast("decimal(38,0)")).alias("worth"),
+        F.count(F.when(unsummable(amount), 1)).alias("odd"),
+    ]
+
+
+def _stream_trailing(
+    transactions: DataFrame, seconds: float, keep: tuple[str, ...]
+) -> DataFrame:
+    """Trailing counts and means in a stream, in append mode.
+
+    A transaction's window is cut at panes, each a row with a key of its own. The whole
+    panes between its ends meet the users' sums by pane; the pane at either end meets
+    the sums by instant, of those instants that the window holds. So a busy user's rows
+    are spread over panes, and what one meets is bounded by panes and by the instants
+    of two panes. All the parts are added up again when no late row can
+    change them: the joins and sums hold rows for the window and the watermark's delay.
+    The watermark must be set; ``keep`` must tell transactions apart.
+    """
+    window = round(seconds * SECOND)
+    length = -(-window // PANES)
+    span = F.expr(f"INTERVAL '{window / SECOND:.6f}' SECOND")
+    at = F.unix_micros("ts")
+    # Rows without a user count as one user.
+    user = F.coalesce(F.concat(F.lit("u"), F.col("user_id").cast("string")), F.lit("none"))
+    timed = transactions.where(F.col("ts").isNotNull()).withColumn("user", user)
+    kept = list(dict.fromkeys([*keep, "ts"]))
+    first, last = F.floor((at - window) / length), F.floor(at / length)
+    cut = timed.select(
+        *kept, "user", first.alias("first"), last.alias("last"),
+        F.explode(F.sequence(first, last)).alias("pane"),
+    )
+    ends = F.col("pane").isin(F.col("first"), F.col("last"))
+    sent = timed.select(F.col("user").alias("of"), F.col("ts").alias("then"), "amount")
+    instants = sent.groupBy("of", "then").agg(*_held())
+    panes = sent.groupBy("of", F.window("then", f"{length} microseconds").alias("w")).agg(*_held())
+    panes = panes.select("of", F.window_time("w").alias("then"), "n", "worth", "odd")
+
+    def met(cuts: DataFrame, sums: DataFrame) -> DataFrame:
+        sums = sums.withColumn("in", F.floor(F.unix_micros("then") / length))
+        same = (F.col("user") == F.col("of")) & (F.col("pane") == F.col("in"))
+        within = (F.col("then") <= F.col("ts")) & (F.col("then") >= F.col("ts") - span)
+        return cuts.join(sums, same & within).select(*kept, "n", "worth", "odd")
+
+    parts = met(cut.where(ends), instants).union(met(cut.where(~ends), panes))
+    held = parts.groupBy(*kept).agg(*[F.sum(c).alias(c) for c in ("n", "worth", "odd")])
+    mean = half_up(from_micros(F.col("worth")) / F.col("n").cast("double"), 2)
+    found = held.select(*keep, "n", F.when(F.col("odd") == 0, mean).alias("mean_amount"))
+    timeless = transactions.where(F.col("ts").isNull()).select(
+        *keep, F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("mean_amount")
+    )
+    return found.union(timeless)
+
+
 def bursts(trailed: DataFrame, at_least: int = 5) -> DataFrame:
     """Transactions, or windows, whose count reaches ``at_least``."""
     return trailed.where(F.col("n") >= at_least)

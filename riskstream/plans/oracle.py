@@ -391,6 +391,23 @@ def queries() -> dict[str, str]:
         " + INTERVAL '6 hours' <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)"
         " - INTERVAL '1 hour'"
     )
+    # What an hour's delay has closed; a trailing window is kept for its own length as well.
+    seen = "(SELECT date_trunc('milliseconds', max(ts)) FROM events)"
+    found["stream_trailing"] = (
+        f"SELECT t.* FROM ({trailing}) AS t JOIN events USING (event_id)"
+        f" WHERE events.ts + INTERVAL '7 hours' <= {seen}"
+    )
+    named = "CASE WHEN event_id % 10 <> 0 THEN user_id END"
+    start = "time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01')"
+    found["stream_profile"] = (
+        f"WITH {_TX} SELECT event_id, {named} AS user_id,"
+        " CASE WHEN event_id % 10 <> 0 THEN count(*) OVER w END AS user_n,"
+        f" CASE WHEN event_id % 10 <> 0 THEN "
+        + _cents(f"CAST(sum({_MICROS}) OVER w AS DOUBLE) / 1e6")
+        + f" END AS user_total FROM tx WHERE CASE WHEN event_id % 10 <> 0 THEN {start}"
+        f" + INTERVAL '7 hours' <= {seen} ELSE ts + INTERVAL '7 hours' <= {seen} END"
+        f" WINDOW w AS (PARTITION BY {named}, {start})"
+    )
     found["stream_tumbling"] = found["velocity_tumbling"]
     found["stream_sessions"] = found["velocity_session"]
     found["stream_dedup"] = f"SELECT transaction_id, user_id, amount FROM ({found['tx_dedup']})"

@@ -555,6 +555,25 @@ def stream_bursts(spark, folder):
     return found.withColumn("window_start", _wall_clock("window_start"))
 
 
+@_query
+def stream_trailing(spark, folder):
+    """Beside each transaction its user's last six hours, as far as they are closed."""
+    rows = _event_stream(spark, folder).withWatermark("ts", "1 hour")
+    return _run_table(velocity.trailing(rows, keep=("event_id", "user_id")), "append")
+
+
+@_query
+def stream_profile(spark, folder):
+    """Beside each transaction its window's profile; every tenth has no user."""
+    rows = _event_stream(spark, folder).withWatermark("ts", "1 hour")
+    user = F.when(F.col("event_id") % 10 != 0, F.col("user_id"))
+    profiled = velocity.with_profile(rows.withColumn("user_id", user))
+    found = _run_table(
+        profiled.select("event_id", "user_id", "user_n", "user_total"), "append"
+    )
+    return found
+
+
 @_query
 def stream_dedup(spark, folder):
     copies = _copies(_event_stream(spark, folder), "ts").withWatermark("ts", "60 days")
