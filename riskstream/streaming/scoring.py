@@ -17,13 +17,17 @@ from riskstream.operators import alerts
 from riskstream.operators.decode import dead_letters, inspect_transactions, usable
 from riskstream.operators.scoring import score
 from riskstream.streaming.sinks import BatchRef, Sink, files
+from riskstream.streaming.stored import StoredIds
 
 log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class Outputs:
-    """``table`` is the root of the stored scores; the others are optional."""
+    """``table`` is the root of the stored scores; the others are optional.
+
+    With ``ids`` a redelivered transaction is stored, sent and counted once.
+    """
 
     table: str
     scored_topic: Sink | None = None
@@ -31,6 +35,7 @@ class Outputs:
     cases: Sink | None = None
     dead_letter: Sink | None = None
     show: int = 5
+    ids: StoredIds | None = None
 
 
 def fan_out(
@@ -53,7 +58,11 @@ def fan_out(
         decoded, summary = Observation(), Observation()
         inspected = inspect_transactions(messages)
         counted = inspected.observe(decoded, F.count("cause").alias("rejected"))
-        scored = score(usable(counted), model, policy)
+        if outputs.ids:
+            fresh = outputs.ids.unseen(usable(inspected), usable(counted), batch)
+        else:
+            fresh = usable(counted)
+        scored = score(fresh, model, policy)
         store(scored.observe(summary, *alerts.summary_columns()), batch)
 
         rejected, found = decoded.get["rejected"], summary.get
@@ -61,6 +70,8 @@ def fan_out(
         if found["alerts"]:
             log.warning("batch %d: %d fraud alerts", batch_id, found["alerts"])
         stored = spark.read.schema(schema.SCORED).parquet(batch.folder(outputs.table))
+        if outputs.ids:
+            outputs.ids.add(stored, batch)
         # Every output is written on every attempt: a replay under another threshold or
         # model must not leave what an earlier attempt wrote. One without rows reads none.
         wanted = [
