@@ -408,6 +408,16 @@ def queries() -> dict[str, str]:
         f" + INTERVAL '7 hours' <= {seen} ELSE ts + INTERVAL '7 hours' <= {seen} END"
         f" WINDOW w AS (PARTITION BY {named}, {start})"
     )
+    found["stream_stored_once"] = found["stream_scored"]
+    arrives = "ts + CASE WHEN event_id % 40 = 0 THEN INTERVAL '2 days' ELSE INTERVAL '0 days' END"
+    found["stream_late"] = (
+        f"WITH {_TX}, arrived AS (SELECT event_id, user_id, ts, least(floor((epoch({arrives})"
+        " - epoch(TIMESTAMP '2024-01-01')) / 432000), 5) AS part FROM tx),"
+        " latest AS (SELECT part, max(ts) AS latest FROM arrived GROUP BY part)"
+        f" SELECT event_id, user_id FROM arrived AS a WHERE {start} + INTERVAL '6 hours'"
+        " <= (SELECT date_trunc('milliseconds', max(latest)) FROM latest"
+        " WHERE latest.part <= a.part - 2) - INTERVAL '1 hour'"
+    )
     found["stream_tumbling"] = found["velocity_tumbling"]
     found["stream_sessions"] = found["velocity_session"]
     found["stream_dedup"] = f"SELECT transaction_id, user_id, amount FROM ({found['tx_dedup']})"

@@ -24,8 +24,10 @@ from riskstream.sources import events
 from riskstream.sources.tables import scored_table
 from riskstream.streaming import alerts as alert_stream
 from riskstream.streaming import bursts as burst_stream
+from riskstream.streaming import late as late_stream
 from riskstream.streaming import scoring as scoring_stream
 from riskstream.streaming.sinks import files
+from riskstream.streaming.stored import StoredIds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -445,7 +447,7 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return events.as_transactions(reader.parquet(f"{folder}/events.parque[t]"))
 
 
-def _run_scoring(messages: DataFrame, *wanted: str) -> str:
+def _run_scoring(messages: DataFrame, *wanted: str, once: bool = False) -> str:
     """Run the scoring stream to the end of its input; return its output root."""
     spark = messages.sparkSession
     root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
@@ -457,7 +459,10 @@ def _run_scoring(messages: DataFrame, *wanted: str) -> str:
     query = scoring_stream.start(
         messages,
         model.pinned(spark),
-        scoring_stream.Outputs(table=f"{root}/table", **sinks, show=0),
+        scoring_stream.Outputs(
+            table=f"{root}/table", **sinks, show=0,
+            ids=StoredIds(f"{root}/ids") if once else None,
+        ),
         checkpoint=f"{root}/checkpoint",
         name=f"scoring-{uuid.uuid4().hex}",
         trigger={"availableNow": True},
@@ -473,6 +478,54 @@ def stream_scored(spark, folder):
     return stored.withColumn("tx_timestamp", _wall_clock("tx_timestamp"))
 
 
+@_query
+def stream_stored_once(spark, folder):
+    """Every transaction delivered in a file of its own day and all again in a last one."""
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    sent = alerts.transaction_messages(_tx(spark, folder)).select("key", "value")
+    for part in (sent.where("hash(key) % 2 = 0"), sent.where("hash(key) % 2 <> 0"), sent):
+        part.write.mode("append").parquet(f"{root}/messages")
+    stream = spark.readStream.schema(schema.MESSAGE).option("maxFilesPerTrigger", 2)
+    table = _run_scoring(stream.parquet(f"{root}/messages"), once=True)
+    stored = spark.read.schema(schema.SCORED).parquet(f"{table}/table/run=*/batch_id=*")
+    return stored.withColumn("tx_timestamp", _wall_clock("tx_timestamp"))
+
+
+# Days of event time that arrive as one file.
+_ARRIVAL_DAYS = 5
+
+
+def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of one file for each five days; every 40th event comes two days late."""
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    rows = _tx(spark, folder).select("event_id", "user_id", "ts", "amount")
+    comes = F.unix_seconds("ts") + F.when(F.col("event_id") % 40 == 0, 2 * 86_400).otherwise(0)
+    first = F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))
+    part = F.least(F.floor((comes - first) / (_ARRIVAL_DAYS * 86_400)), F.lit(5))
+    for number in range(6):
+        own = rows.where(part == number).coalesce(1)
+        own.write.mode("append").parquet(f"{root}/rows")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return stream.parquet(f"{root}/rows")
+
+
+def _run_windows(spark: SparkSession, folder: str) -> str:
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    query = late_stream.start(
+        _arrivals(spark, folder), f"{root}/windows", f"{root}/checkpoint",
+        name=f"windows-{uuid.uuid4().hex}", trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    return f"{root}/windows"
+
+
+@_query
+def stream_late(spark, folder):
+    """The rows that came after their window had closed."""
+    late = late_stream.late_rows(spark, _run_windows(spark, folder))
+    return late.select("event_id", "user_id")
+
+
 @_query
 def stream_alerts(spark, folder):
     messages = alerts.transaction_messages(_event_stream(spark, folder))
