@@ -1,20 +1,22 @@
 """Nearest neighbours by inner product: a small-world graph for each shard.
 
-Equal vectors are one node with its least ids. Nodes are dealt to shards by hash, and a
-shard becomes a hierarchical navigable small-world graph: flat arrays of neighbours, one
-for each layer, stored as a row of a table. Nodes are inserted in batches, each batch
-searching the graph of those before it, and keep neighbours that are nearer to them
-than to a neighbour already kept. Vectors of unlike lengths get one coordinate more in
-the graph, which makes all as long as the longest, so that the nearest by distance are
-the nearest by inner product.
-
-Every block of queries meets every shard of its dimension once; each shard gives its
-best nodes by the exact product in double precision, and the lists are merged.
+Equal vectors are one node with its least ids. Nodes are dealt to shards by length, in
+steps of a factor of about 1.4, and by hash within a step. A shard becomes a hierarchical
+navigable small-world graph: flat arrays of neighbours, one for each layer, stored as a
+row of a table. Nodes are inserted in batches, each batch searching the graph of those
+before it, and keep neighbours that are nearer to them than to a neighbour already kept.
+In the graph vectors are scaled, and get one coordinate more, which makes all as long as
+the longest of the shard, so that the nearest by distance are the nearest by inner
+product; among lengths as like as a shard's it does not outweigh the others.
+
+Queries are sorted under every shard of their dimension and streamed past its graph, which
+is read once. Each shard gives its best nodes by the exact product in double precision,
+and the lists are merged.
 
 Results by case: a vector that is null, empty, zero or holds a null or a number that is
 not finite takes no part, nor does one without an id; of several vectors of one id the
 least counts; vectors of different dimensions never meet; equal scores go to the lesser
-id; with fewer candidates than asked for, all are returned; extra columns are ignored;
+id, and a product that overflows to no number comes last; with fewer candidates than asked for, all are returned; extra columns are ignored;
 an empty table gives no row.
 """
 
@@ -31,21 +33,29 @@ from pyspark.sql.window import Window
 from riskstream.llm.common import Scratch, mix
 
 SHARD = 8192  # nodes of one graph
-BLOCK = 4096  # queries that meet a shard at once
 BASE_LINKS, LINKS = 32, 16  # neighbours in the base layer and above
 BUILD_WIDTH, SEARCH_WIDTH = 64, 160  # candidates kept while inserting and searching
 AT_ONCE = 8  # candidates expanded in one step
 BATCH = 512
 SPARE = 8  # candidates beyond its places among which a node chooses anew
 
+STEPS = 1 << 20  # shards that one step of length may have
+
 INDEX = (
-    "dim int, shard int, nodes binary, vectors binary, layers array<binary>, entry binary"
+    "dim int, shard long, nodes binary, vectors binary, layers array<binary>, entry binary"
 )
 FOUND = "query long, node long, score double"
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector over its largest component, so that no square overflows or vanishes."""
+    return vectors / np.abs(vectors).max(axis=1, keepdims=True, initial=5e-324)
+
+
 def _lengthened(vectors: np.ndarray) -> np.ndarray:
-    """One coordinate more, so that all have the length of the longest."""
+    """Vectors over the largest component of all, and one coordinate more, so that all have
+    the length of the longest."""
+    vectors = vectors / np.abs(vectors).max(initial=5e-324)
     squares = (vectors**2).sum(axis=1)
     rest = np.sqrt(np.maximum(squares.max(initial=0) - squares, 0))
     return np.column_stack([vectors, rest]).astype(np.float32)
@@ -226,32 +236,45 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _searcher(best: int, width: int):
-    def search(queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(index):
-            return pd.DataFrame({"query": [], "node": [], "score": []})
-        row = index.iloc[0]
-        nodes = np.frombuffer(row["nodes"], np.int64)
-        vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(nodes), -1)
-        layers = [
-            np.frombuffer(layer, np.int32).reshape(len(nodes), -1) for layer in row["layers"]
-        ]
-        graph = Graph(_lengthened(vectors), layers, np.frombuffer(row["entry"], np.int64))
+class _Shard:
+    """A shard's graph, read from its row of the index."""
+
+    def __init__(self, row) -> None:
+        self.nodes = np.frombuffer(row.nodes, np.int64)
+        self.vectors = np.frombuffer(row.vectors, np.float64).reshape(len(self.nodes), -1)
+        layers = [np.frombuffer(x, np.int32).reshape(len(self.nodes), -1) for x in row.layers]
+        entry = np.frombuffer(row.entry, np.int64)
+        self.graph = Graph(_lengthened(self.vectors), layers, entry)
+
+    def best(self, queries: pd.DataFrame, best: int, width: int) -> pd.DataFrame:
         asked = np.stack(queries["embedding"].to_numpy()).astype(np.float64)
-        flat = np.column_stack([asked, np.zeros(len(asked))]).astype(np.float32)
-        found = graph.search(flat, max(width, 2 * best))
-        scores = np.einsum("qkd,qd->qk", vectors[np.maximum(found, 0)], asked)
-        scores[found < 0] = -np.inf
-        ids = nodes[np.maximum(found, 0)]
-        order = np.lexsort((ids, -scores), axis=1)[:, :best]
-        ids, scores = (np.take_along_axis(a, order, axis=1) for a in (ids, scores))
-        rows = pd.DataFrame(
-            {
-                "query": np.repeat(queries["node"].to_numpy(np.int64), ids.shape[1]),
-                "node": ids.ravel(), "score": scores.ravel(),
-            }
-        )
-        return rows[np.isfinite(rows["score"])]
+        flat = np.column_stack([_scaled(asked), np.zeros(len(asked))]).astype(np.float32)
+        found = self.graph.search(flat, max(width, 2 * best))
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = np.einsum("qkd,qd->qk", self.vectors[np.maximum(found, 0)], asked)
+        ranked = np.where(np.isnan(scores), -np.inf, scores)
+        ids = self.nodes[np.maximum(found, 0)]
+        order = np.lexsort((ids, -ranked, found < 0), axis=1)[:, :best]
+        found, ids, scores = (np.take_along_axis(a, order, axis=1) for a in (found, ids, scores))
+        query = np.repeat(queries["node"].to_numpy(np.int64), ids.shape[1])
+        rows = pd.DataFrame({"query": query, "node": ids.ravel(), "score": scores.ravel()})
+        return rows[found.ravel() >= 0]
+
+
+def _searcher(best: int, width: int):
+    """Queries past their shard's graph, whose row comes before them."""
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = shard = None
+        for batch in batches:
+            for key, rows in batch.groupby(["dim", "shard"], sort=False):
+                index = rows[rows["nodes"].notna()]
+                if len(index):
+                    at, shard = key, _Shard(index.iloc[0])
+                queries = rows[rows["nodes"].isna()]
+                if at == key and len(queries):
+                    for i in range(0, len(queries), BATCH):
+                        yield shard.best(queries.iloc[i : i + BATCH], best, width)
 
     return search
 
@@ -289,10 +312,20 @@ def nearest(
         F.min("vec_id").alias("node"), F.sort_array(F.collect_list("vec_id")).alias("ids")
     )
     nodes = scratch.keep(nodes, "nodes")
-    shards = max(1, -(-nodes.count() // shard))
-    dealt = nodes.select(
-        "node", "embedding", F.size("embedding").alias("dim"),
-        F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"),
+    largest = F.array_max(F.transform("embedding", F.abs))
+    scaled = F.aggregate(
+        "embedding", F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest)
+    )
+    # Half steps of the binary logarithm of the length.
+    step = F.floor(2 * F.log2(largest) + F.log2(scaled)).cast("long")
+    sized = nodes.select(
+        "node", "embedding", F.size("embedding").alias("dim"), step.alias("step")
+    )
+    # One row for each step of length that occurs, some thousands at most in a dimension.
+    steps = sized.groupBy("dim", "step").agg(F.ceil(F.count("*") / shard).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    dealt = sized.join(steps, ["dim", "step"]).select(
+        "node", "embedding", "dim", (F.col("step") * STEPS + part).alias("shard")
     )
     index = scratch.keep(dealt.groupBy("dim", "shard").applyInPandas(_build, INDEX), "index")
 
@@ -302,24 +335,31 @@ def nearest(
         ),
         "queries",
     )
-    searched = dealt.drop("shard").join(queries.select("node").distinct(), "node", "left_semi")
-    blocks = max(1, -(-queries.count() // BLOCK))
-    searched = searched.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "node"), F.lit(blocks)))
-    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    asking = searched.select("dim", "block", "node", "embedding", every)
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    meeting = ["dim", "shard", "block"]
-    found = (
-        asking.groupBy(meeting)
-        .cogroup(index.select("*", each.alias("block")).groupBy(meeting))
-        .applyInPandas(_searcher(k + 1, width), FOUND)
+    searched = nodes.join(queries.select("node").distinct(), "node", "left_semi").select(
+        "node", "embedding", F.size("embedding").alias("dim")
+    )
+    # The stated queries against every shard of their dimension.
+    asking = searched.join(index.select("dim", "shard"), "dim")
+    graphs = ("nodes", "vectors", "layers", "entry")
+    both = index.select(
+        "dim", "shard", F.lit(-1).cast("long").alias("node"),
+        F.lit(None).cast("array<double>").alias("embedding"), F.lit(0).alias("kind"), *graphs,
+    ).unionByName(
+        asking.select(
+            "dim", "shard", "node", "embedding", F.lit(1).alias("kind"),
+            *[F.lit(None).cast(index.schema[c].dataType).alias(c) for c in graphs],
+        )
     )
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "node")
+    sorted_ = both.repartition("dim", "shard").sortWithinPartitions("dim", "shard", "kind", "node")
+    found = sorted_.mapInPandas(_searcher(k + 1, width), FOUND)
+    # No number is the largest to Spark; here it comes last.
+    found = found.withColumn("by", F.nanvl("score", F.lit(float("-inf"))))
+    best = Window.partitionBy("query").orderBy(F.desc("by"), "node")
     found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
     listed = found.join(nodes.select("node", "ids"), "node").select(
-        "query", "score", F.explode("ids").alias("vec_id")
+        "query", "score", "by", F.explode("ids").alias("vec_id")
     )
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("by"), "vec_id")
     listed = listed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
     listed = listed.groupBy(F.col("query").alias("node")).agg(
         F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("best")

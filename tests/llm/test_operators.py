@@ -892,3 +892,43 @@ def test_copies_ties_and_unusable_vectors(spark):
     few = vector_index.nearest(table.where("vec_id in (0, 100)"), F.col("vec_id") == 0, k=5)
     assert [(r.vec_id, r.rank) for r in few.collect()] == [(100, 1)]
     assert vector_index.nearest(table.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+@pytest.mark.parametrize("case", ["one long", "one huge", "heavy tails", "eight orders"])
+def test_recall_for_vectors_of_unlike_lengths(spark, case):
+    draw = np.random.default_rng(17)
+    centres = draw.normal(size=(30, 24))
+    vectors = centres[draw.integers(0, 30, 3000)] + 0.4 * draw.normal(size=(3000, 24))
+    lengths = np.ones(3000)
+    if case == "one long":
+        lengths[77] = 1e4
+    elif case == "one huge":
+        vectors[77] *= 1e200 / np.linalg.norm(vectors[77])
+    elif case == "heavy tails":
+        lengths = draw.pareto(0.7, 3000) + 0.01
+    else:
+        lengths = 10.0 ** draw.uniform(-4, 4, 3000)
+    vectors *= lengths[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = brute_nearest(rows, 20)
+    found = defaultdict(dict)
+    for r in vector_index.nearest(table, F.col("vec_id") % 20 == 0, shard=1000).collect():
+        found[r.query_id][r.rank] = r.vec_id
+        assert r.score == pytest.approx(float(vectors[r.query_id] @ vectors[r.vec_id]), rel=1e-9, abs=1e-9)
+    assert all(sorted(found[q]) == list(range(1, 21)) for q in expected)
+    hits = sum(len(set(found[q].values()) & set(expected[q])) for q in expected)
+    assert hits >= 0.95 * 20 * len(expected)
+
+
+def test_products_beyond_double_precision(spark):
+    big, small = 1e200, 5e-324
+    rows = [(0, [big, big]), (1, [big, big / 2]), (2, [big, -big]), (3, [1.0, 1.0]), (4, [small, 0.0]),
+            (20, [small, small])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in vector_index.nearest(table, F.col("vec_id") % 20 == 0, k=9).orderBy("query_id", "rank").collect():
+        found[r.query_id].append(r.vec_id)
+    assert found[0] == [1, 3, 20, 4, 2] and sorted(found[20]) == [0, 1, 2, 3, 4]
+
+
