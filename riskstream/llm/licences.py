@@ -120,9 +120,11 @@ def _listed(spark: SparkSession, rows: list[Column]) -> DataFrame:
 def _weights(words: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
     """Each template word's weight; a stranger's weight."""
     listed = _listed(words.sparkSession, [F.struct(F.lit(w).alias("word")) for w in vocabulary])
-    counted = words.join(F.broadcast(listed), "word").groupBy("word").count().collect()
-    times = {row["word"]: row["count"] for row in counted}
-    total = words.count() + 1
+    marked = words.join(F.broadcast(listed.withColumn("known", F.lit(True))), "word", "left")
+    # One row for each template word, and one for all strangers.
+    own = F.when(F.col("known"), F.col("word")).alias("word")
+    times = {row["word"]: row["count"] for row in marked.groupBy(own).count().collect()}
+    total = sum(times.values()) + 1
     weight = {w: math.log(1 + total / max(1, times.get(w, 0))) for w in vocabulary}
     return weight, math.log(1 + total)
 
@@ -259,13 +261,19 @@ def _ancestors(path: Column) -> Column:
 def licences(
     files: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
     similar: float = SIMILAR, path: str = "path", text: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """(path, licence, similarity, origin, from_path), one row for each row of ``files``.
 
-    origin: header, directory, or none.
+    origin: header, directory, or none. Columns named in ``keep`` come along, in front.
     """
     scratch = Scratch(files.sparkSession, "licences")
-    files = files.select(F.col(path).alias("path"), F.col(text).alias("text"))
+    # A row without a path is known by its text, and lies in no directory.
+    name = F.coalesce(F.col(path), F.concat(F.lit("\0"), F.sha2(F.col(text), 256)))
+    rows = files.select(
+        *keep, F.col(path).alias("given"), name.alias("path"), F.col(text).alias("text")
+    )
+    files = rows.select("path", "text")
     found = scratch.keep(statements(files, templates, similar), "statements")
     order = F.struct(
         (F.col("licence") != RESERVED).alias("more"), "similarity",
@@ -281,14 +289,15 @@ def licences(
     )
 
     is_file = (F.col("stated") >= FILE_SHARE * F.col("words")) | F.col("path").rlike(LICENCE_NAME)
-    by_place = own.where(is_file & F.col("path").isNotNull()).withColumn(
+    placed = ~F.col("path").startswith("\0")
+    by_place = own.where(is_file & placed).withColumn(
         "directory", _parent(F.col("path"))
     )
     top = by_place.groupBy("directory").agg(F.max("similarity").alias("similarity"))
     first = by_place.join(top, ["directory", "similarity"]).groupBy("directory").agg(
         F.min(F.struct("path", "licence", "similarity")).alias("d")
     )
-    paths = files.where("path is not null").select(_parent(F.col("path")).alias("directory"))
+    paths = files.where(placed).select(_parent(F.col("path")).alias("directory"))
     places = paths.distinct().select(
         "directory", F.posexplode(_ancestors(F.col("directory"))).alias("up", "above")
     )
@@ -298,14 +307,14 @@ def licences(
         .select("directory", "near.d")
     )
     rows = (
-        files.select("path", _parent(F.col("path")).alias("directory"))
+        rows.select(*keep, "given", "path", F.when(placed, _parent(F.col("path"))).alias("directory"))
         .join(own.select("path", "licence", "similarity"), "path", "left")
         .join(nearest, "directory", "left")
     )
     stated, inherits = F.col("licence").isNotNull(), F.col("d").isNotNull()
     return rows.select(
-        "path", F.coalesce("licence", "d.licence").alias("licence"),
+        *keep, F.col("given").alias("path"), F.coalesce("licence", "d.licence").alias("licence"),
         F.coalesce("similarity", "d.similarity").alias("similarity"),
         F.when(stated, "header").when(inherits, "directory").otherwise("none").alias("origin"),
-        F.when(stated, F.col("path")).otherwise(F.col("d.path")).alias("from_path"),
+        F.when(stated, F.col("given")).otherwise(F.col("d.path")).alias("from_path"),
     )

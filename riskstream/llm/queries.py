@@ -137,14 +137,13 @@ def op7_toxicity(spark, folder):
 
 @_query
 def op8_licence_scan(spark, folder):
-    """Documents as files of the directories source / language."""
-    name = [F.coalesce(F.col(c).cast("string"), F.lit("_")) for c in ("source", "lang", "doc_id")]
+    """Documents as files of the directories source / language; without an id, by their text."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("_"), F.sha2("text", 256)))
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("_")) for c in ("source", "lang")]
     files = table(spark, folder, "documents").select(
-        F.concat_ws("/", *name).alias("path"), "text"
+        "doc_id", F.concat_ws("/", *place, F.coalesce(name, F.lit("_"))).alias("path"), "text"
     )
-    found = licences.licences(files)
-    doc_id = F.element_at(F.split("path", "/"), -1).try_cast("long")
-    return found.select(doc_id.alias("doc_id"), "*")
+    return licences.licences(files, keep=("doc_id",))
 
 
 @_query
