@@ -3,7 +3,8 @@
     spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2 \
         --py-files riskstream.zip riskstream/jobs/score.py
 
-``--source DIR --sink DIR`` use folders of files in place of topics.
+``--source DIR --sink DIR`` use folders of files in place of topics. All streams of the job
+stop with the first that fails, and the job with its error.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from riskstream import session
 from riskstream.config import Policy, StreamConfig
 from riskstream.operators import model
 from riskstream.sources.streams import file_stream, kafka_stream
-from riskstream.streaming import bursts, scoring
+from riskstream.streaming import bursts, scoring, supervise
 from riskstream.streaming.sinks import files, kafka
+from riskstream.streaming.stored import StoredIds
 
 # Most of one batch unless told: a first start at the earliest offset takes many batches.
 OFFSETS = 100_000
@@ -34,6 +36,9 @@ def main(argv: list[str] | None = None) -> None:
     )
     args.add_argument("--interval", help="time between batches, such as '30 seconds'")
     args.add_argument("--bursts", help="folder for users' windows of many transactions")
+    args.add_argument(
+        "--stored-ids", help="folder for an index of stored ids: redelivered messages add no row"
+    )
     args.add_argument("--once", action="store_true", help="stop at the end of the input")
     given = args.parse_args(argv)
 
@@ -49,8 +54,8 @@ def main(argv: list[str] | None = None) -> None:
             spark, config, config.transaction_topic, given.starting, given.per_trigger or OFFSETS
         )
     if given.sink:
-        scored_topic = files(f"{given.sink}/{config.scored_topic}", "parquet")
-        alerts_topic = files(f"{given.sink}/{config.alerts_topic}", "parquet")
+        scored_topic = files(shared(f"{given.sink}/{config.scored_topic}"), "parquet")
+        alerts_topic = files(shared(f"{given.sink}/{config.alerts_topic}"), "parquet")
     else:
         scored_topic = kafka(config, config.scored_topic)
         alerts_topic = kafka(config, config.alerts_topic)
@@ -58,7 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     trigger = {"availableNow": True} if given.once else None
     if given.interval and not given.once:
         trigger = {"processingTime": given.interval}
-    query = scoring.start(
+    started = [scoring.start(
         messages,
         fitted,
         scoring.Outputs(
@@ -67,17 +72,20 @@ def main(argv: list[str] | None = None) -> None:
             alerts_topic=alerts_topic,
             cases=files(shared(config.fraud_path), "json"),
             dead_letter=files(shared(config.dead_letter_path), "json"),
+            ids=StoredIds(shared(given.stored_ids)) if given.stored_ids else None,
         ),
         checkpoint=shared(f"{config.checkpoint_dir}/scoring"),
         policy=Policy.from_env(),
         trigger=trigger,
-    )
+    )]
     if given.bursts:
-        bursts.start(
-            messages, shared(given.bursts), shared(f"{config.checkpoint_dir}/bursts"),
-            trigger=trigger,
-        ).awaitTermination()
-    query.awaitTermination()
+        started.append(
+            bursts.start(
+                messages, shared(given.bursts), shared(f"{config.checkpoint_dir}/bursts"),
+                trigger=trigger,
+            )
+        )
+    supervise.until_all_end(started)
 
 
 if __name__ == "__main__":

@@ -13,8 +13,11 @@ from riskstream.plans import training
 def main() -> None:
     config = StreamConfig.from_env()
     spark = session.builder("riskstream-train").getOrCreate()
-    _, auc = training.run(spark, config.processed_path, config.model_path)
-    print(f"saved {config.model_path}; holdout area under ROC {auc:.4f}")
+    stored, saved = (
+        session.shared_path(spark, path) for path in (config.processed_path, config.model_path)
+    )
+    _, auc = training.run(spark, stored, saved)
+    print(f"saved {saved}; holdout area under ROC {auc:.4f}")
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from riskstream import session
 from riskstream.config import StreamConfig
@@ -25,15 +26,16 @@ def main(argv: list[str] | None = None) -> None:
 
     config = StreamConfig.from_env()
     spark = session.builder("riskstream-alerts").getOrCreate()
+    shared = partial(session.shared_path, spark)
     if given.source:
         messages = file_stream(spark, given.source, "parquet")
     else:
         messages = kafka_stream(spark, config, config.alerts_topic, given.starting)
     query = alerts.start(
         messages,
-        feed=files(f"{given.out}/feed", "json"),
-        rejected=files(f"{given.out}/rejected", "json"),
-        checkpoint=f"{config.checkpoint_dir}/alerts",
+        feed=files(shared(f"{given.out}/feed"), "json"),
+        rejected=files(shared(f"{given.out}/rejected"), "json"),
+        checkpoint=shared(f"{config.checkpoint_dir}/alerts"),
         trigger={"availableNow": True} if given.once else None,
     )
     query.awaitTermination()

@@ -9,6 +9,7 @@ from riskstream import schema
 from riskstream.functions.decision import FRAUD, SUSPICIOUS
 from riskstream.functions.features import half_up
 
+# The columns of a preview.
 PREVIEW_FIELDS = [
     "transaction_id",
     "user_id",

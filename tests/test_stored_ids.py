@@ -1,4 +1,6 @@
-"""Redelivered transactions are stored, sent and counted once."""
+"""Redelivered transactions are stored, sent and counted once; streams as one job."""
+
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from riskstream import schema
 from riskstream.operators import alerts, model
 from riskstream.plans import scoring as plans
 from riskstream.sources import events
-from riskstream.streaming import scoring, sinks
+from riskstream.streaming import scoring, sinks, supervise
 from riskstream.streaming.stored import StoredIds
 from tests.conftest import TESTDATA
 
@@ -90,3 +92,16 @@ def test_full_filters_lose_nothing(spark, transactions, tmp_path):
     left = ids.unseen(new, new, sinks.BatchRef("q", 1))
     assert left.count() == 30_000 and ids.read_days == ["2024-05-05"]
     assert left.join(old, "transaction_id").isEmpty()
+
+
+def test_a_failed_stream_ends_the_others(spark):
+    def broken(batch, batch_id):
+        raise OSError("no room")
+
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    endless = ticks.writeStream.format("noop").start()
+    failing = ticks.writeStream.foreachBatch(broken).start()
+    began = time.monotonic()
+    with pytest.raises(Exception, match="no room"):
+        supervise.until_all_end([endless, failing])
+    assert time.monotonic() - began < 60 and not endless.isActive
