@@ -312,12 +312,17 @@ def nearest(
         F.min("vec_id").alias("node"), F.sort_array(F.collect_list("vec_id")).alias("ids")
     )
     nodes = scratch.keep(nodes, "nodes")
-    largest = F.array_max(F.transform("embedding", F.abs))
-    scaled = F.aggregate(
-        "embedding", F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest)
-    )
-    # Half steps of the binary logarithm of the length.
-    step = F.floor(2 * F.log2(largest) + F.log2(scaled)).cast("long")
+    # Half steps of the binary logarithm of the length; in an array of one, the largest
+    # component is found once and not for each component.
+    largest = F.array(F.array_max(F.transform("embedding", F.abs)))
+
+    def steps_of(most: Column) -> Column:
+        squares = F.aggregate(
+            "embedding", F.lit(0.0), lambda total, x: total + (x / most) * (x / most)
+        )
+        return 2 * F.log2(most) + F.log2(squares)
+
+    step = F.floor(F.transform(largest, steps_of)[0]).cast("long")
     sized = nodes.select(
         "node", "embedding", F.size("embedding").alias("dim"), step.alias("step")
     )
