@@ -31,6 +31,16 @@ def transaction_messages(transactions: DataFrame) -> DataFrame:
     return _messages(transactions, "user_id", schema.TRANSACTION_FIELDS)
 
 
+def by_user_and_time(rows: DataFrame, time: str) -> DataFrame:
+    """Rows dealt in ranges of user and time, ascending within each partition.
+
+    A user's rows are published in order by each task. A busy user fills several
+    ranges, one time after the other, so no task holds more than its share.
+    """
+    order = ["user_id", time, "transaction_id"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def scored_messages(scored: DataFrame) -> DataFrame:
     return _messages(scored, "user_id", schema.SCORED_FIELDS)
 

@@ -408,6 +408,9 @@ def queries() -> dict[str, str]:
         f" + INTERVAL '7 hours' <= {seen} ELSE ts + INTERVAL '7 hours' <= {seen} END"
         f" WINDOW w AS (PARTITION BY {named}, {start})"
     )
+    found["ordered_messages"] = (
+        f"WITH {_TX} SELECT user_id AS key, count(*) AS n, TRUE AS ascends FROM tx GROUP BY 1"
+    )
     found["stream_stored_once"] = found["stream_scored"]
     arrives = "ts + CASE WHEN event_id % 40 = 0 THEN INTERVAL '2 days' ELSE INTERVAL '0 days' END"
     found["stream_late"] = (

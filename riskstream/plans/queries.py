@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskstream import schema
@@ -99,6 +99,24 @@ def tx_messages(spark, folder):
     return _fields(_messages(spark, folder), schema.TRANSACTION)
 
 
+@_query
+def ordered_messages(spark, folder):
+    """Published by user and time: for each user its messages, and whether they ascend in
+    every file written."""
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    sent = alerts.transaction_messages(alerts.by_user_and_time(_tx(spark, folder), "ts"))
+    sent.write.parquet(f"{root}/messages")
+    read = spark.read.schema(schema.MESSAGE).parquet(f"{root}/messages").select(
+        "key", F.get_json_object("value", "$.timestamp").alias("at"),
+        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("place"),
+    )
+    before = F.lag("at").over(Window.partitionBy("file", "key").orderBy("place"))
+    marked = read.withColumn("ascends", F.coalesce(before <= F.col("at"), F.lit(True)))
+    return marked.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and("ascends").alias("ascends")
+    )
+
+
 @_query
 def scored_messages(spark, folder):
     decoded = _fields(alerts.scored_messages(_decided(spark, folder)), schema.SCORED)

@@ -26,7 +26,8 @@ log = logging.getLogger(__name__)
 class Outputs:
     """``table`` is the root of the stored scores; the others are optional.
 
-    With ``ids`` a redelivered transaction is stored, sent and counted once.
+    With ``ids`` a redelivered transaction is stored, sent and counted once. ``in_order``
+    sorts what goes to the scored topic by user and time, at the cost of a shuffle.
     """
 
     table: str
@@ -36,6 +37,7 @@ class Outputs:
     dead_letter: Sink | None = None
     show: int = 5
     ids: StoredIds | None = None
+    in_order: bool = False
 
 
 def fan_out(
@@ -74,9 +76,10 @@ def fan_out(
             outputs.ids.add(stored, batch)
         # Every output is written on every attempt: a replay under another threshold or
         # model must not leave what an earlier attempt wrote. One without rows reads none.
+        sent = alerts.by_user_and_time(stored, "tx_timestamp") if outputs.in_order else stored
         wanted = [
             (outputs.dead_letter, dead_letters(inspected), rejected),
-            (outputs.scored_topic, alerts.scored_messages(stored), found["records"]),
+            (outputs.scored_topic, alerts.scored_messages(sent), found["records"]),
             (outputs.alerts_topic, alerts.alert_messages(stored), found["alerts"]),
             (outputs.cases, alerts.fraud_only(stored), found["alerts"]),
         ]

@@ -94,6 +94,25 @@ def test_full_filters_lose_nothing(spark, transactions, tmp_path):
     assert left.join(old, "transaction_id").isEmpty()
 
 
+def test_a_busy_user_is_published_in_order_by_several_tasks(spark, transactions, tmp_path):
+    busy = transactions.withColumn(
+        "user_id", F.when(F.col("event_id") % 3 > 0, F.lit("busy")).otherwise(F.col("user_id"))
+    )
+    made = alerts.by_user_and_time(busy, "ts").withColumn("task", F.spark_partition_id())
+    joins_small_parts = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(joins_small_parts, "false")
+    try:
+        parts = made.select("task", "user_id", "ts").toPandas()
+    finally:
+        spark.conf.unset(joins_small_parts)
+    for _, own in parts.groupby(["task", "user_id"]):
+        assert own["ts"].is_monotonic_increasing
+    spans = [(p["ts"].min(), p["ts"].max()) for _, p in parts[parts["user_id"] == "busy"].groupby("task")]
+    assert len(spans) > 1
+    spans.sort()
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
 def test_a_failed_stream_ends_the_others(spark):
     def broken(batch, batch_id):
         raise OSError("no room")
