@@ -161,43 +161,41 @@ def sessions(transactions: DataFrame, gap: float = 6 * HOUR) -> DataFrame:
     )
 
 
-# A running sum is taken in three steps, each over a group that is bounded whatever a user
-# sends: the instants of a second, the seconds of a day, the days of a user.
-DAY = 24 * HOUR
+def _user() -> Column:
+    """The user as a key that is never null: rows without a user count as one user."""
+    return F.coalesce(F.concat(F.lit("u"), F.col("user_id").cast("string")), F.lit("none"))
+
+
+# What a trailing window holds, beside the columns of a transaction.
+HELD = ("held_n", "held_worth", "held_odd")
 
 
 def _running(changes: DataFrame, columns: list[str]) -> DataFrame:
-    """Sums of a user's changes up to and at each of their instants ``at``."""
-    kinds = {c: changes.schema[c].dataType for c in columns}
-    second = F.floor(F.col("at") / SECOND)
-    changes = changes.withColumns({"second": second, "day": F.floor(second / DAY)})
+    """Sums of a user's changes up to and at each of their instants ``at``.
 
-    def summed(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
+    They are taken over the instants of an hour and over the hours of a user, groups that
+    time bounds whatever a user sends. An hour's instants are put in place once: the sum
+    within the hour and the join with the hours before share it.
+    """
 
-    def before(rows: DataFrame, within: list[str], order: str, last: int) -> DataFrame:
+    def summed(within: list[str], order: str, last: int) -> dict[str, Column]:
         past = Window.partitionBy(*within).orderBy(order).rowsBetween(
             Window.unboundedPreceding, last
         )
-        sums = {c: F.coalesce(F.sum(c).over(past), F.lit(0).cast(kinds[c])) for c in columns}
-        return rows.withColumns(sums)
-
-    def added(rows: DataFrame, earlier: DataFrame, *keys: str) -> DataFrame:
-        # Rows without a user count as one user.
-        earlier = earlier.select(
-            *[F.col(k).alias(f"{k}_") for k in keys], *[F.col(c).alias(f"{c}_") for c in columns]
-        )
-        same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
-        return rows.join(earlier, same).select(
-            *[c for c in rows.columns if c not in columns],
-            *[(F.col(c) + F.col(f"{c}_")).cast(kinds[c]).alias(c) for c in columns],
-        )
-
-    seconds = summed(changes, "user_id", "day", "second")
-    days = before(summed(seconds, "user_id", "day"), ["user_id"], "day", -1)
-    seconds = added(before(seconds, ["user_id", "day"], "second", -1), days, "user_id", "day")
-    instants = before(changes, ["user_id", "second"], "at", Window.currentRow)
-    return added(instants, seconds, "user_id", "second").select("user_id", "at", *columns)
+        return {c: F.sum(c).over(past) for c in columns}
+
+    hours = changes.groupBy("user", "hour").agg(*[F.sum(c).alias(c) for c in columns])
+    hours = hours.withColumns(summed(["user"], "hour", -1))
+    hours = hours.select("user", "hour", *[F.col(c).alias(f"{c}_before") for c in columns])
+    instants = changes.withColumns(summed(["user", "hour"], "at", Window.currentRow))
+    sums = [
+        (F.col(c) + F.coalesce(F.col(f"{c}_before"), F.lit(0))).cast(changes.schema[c].dataType)
+        for c in columns
+    ]
+    # Every hour is there; an outer join adds no filter that would tell the two sides apart.
+    return instants.join(hours, ["user", "hour"], "left").select(
+        "user", "at", *[total.alias(c) for total, c in zip(sums, columns, strict=True)]
+    )
 
 
 def trailing(
@@ -207,10 +205,12 @@ def trailing(
 ) -> DataFrame:
     """Per transaction, count and mean amount of its user over ``[ts - d, ts]``.
 
-    Rows of one user and instant are one change, and one the other way at the first
-    instant past their window; the running sum of a user's changes is what the window
-    holds. Work is linear in the rows, for every user alike, and no group grows with what
-    a user sends. A row without a time is in no window and isn't shuffled.
+    A row is a change at its instant, and one the other way at the first instant past its
+    window; a user's changes are added up by instant, map side, and their running sum is
+    what the window holds. Work is linear in the rows, for every user alike, and no group
+    grows with what a user sends: instants are bounded by time, and the rows of one too
+    busy instant are split by adaptive execution. A row without a time is in no window and
+    isn't shuffled.
 
     A stream, which has no order to run a sum in, adds up panes instead; see
     ``_stream_trailing``.
@@ -218,33 +218,36 @@ def trailing(
     if transactions.isStreaming:
         return _stream_trailing(transactions, seconds, keep)
     past = round(seconds * SECOND) + 1  # a row still counts at the very end of its window
-    amount = F.col("amount")
-    extra = [] if "user_id" in keep else ["user_id"]
     rows = transactions.withColumn("at", F.unix_micros("ts"))
     timeless = rows.where("at is null").select(
         *keep, F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("mean_amount")
     )
-    rows = rows.where("at is not null")
+    timed = rows.where("at is not null").select(*keep, "at", _user().alias("user"), "amount")
+    worth = F.coalesce(micros(F.col("amount")), F.lit(0).cast("decimal(38,0)"))
+    odd = unsummable(F.col("amount")).cast("int")
     columns = ["n", "worth", "odd"]
-    entering = rows.groupBy("user_id", "at").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(micros(amount)), F.lit(0).cast("decimal(38,0)")).alias("worth"),
-        F.count(F.when(unsummable(amount), 1)).alias("odd"),
-    )
-    leaving = entering.select(
-        "user_id", (F.col("at") + past).alias("at"), *[(-F.col(c)).alias(c) for c in columns]
-    )
-    changes = entering.union(leaving).groupBy("user_id", "at").agg(
-        *[F.sum(c).alias(c) for c in columns]
+    ways = [(F.col("at"), F.lit(1), worth, odd), (F.col("at") + past, F.lit(-1), -worth, -odd)]
+    changes = (
+        timed.select(
+            "user",
+            F.inline(
+                F.array(*[
+                    F.struct(*[c.alias(name) for c, name in zip(way, ["at", *columns], strict=True)])
+                    for way in ways
+                ])
+            ),
+        )
+        .groupBy("user", F.floor(F.col("at") / (HOUR * SECOND)).alias("hour"), "at")
+        .agg(*[F.sum(c).alias(c) for c in columns])
     )
-    held = _running(changes, columns).toDF("user_id_", "at_", *columns)
-    same = rows["user_id"].eqNullSafe(held["user_id_"]) & (rows["at"] == held["at_"])
-    mean = half_up(from_micros(F.col("worth")) / F.nullif(F.col("n"), F.lit(0)).cast("double"), 2)
-    timed = rows.select(*keep, *extra, "at").join(held, same).select(
-        *keep, "n",
-        F.when(F.col("odd") == 0, mean).alias("mean_amount"),
+    held = _running(changes, columns).toDF("user_", "at_", *HELD)
+    same = (F.col("user") == F.col("user_")) & (F.col("at") == F.col("at_"))
+    n, worth, odd = (F.col(c) for c in HELD)
+    mean = half_up(from_micros(worth) / F.nullif(n, F.lit(0)).cast("double"), 2)
+    found = timed.join(held, same).select(
+        *keep, n.alias("n"), F.when(odd == 0, mean).alias("mean_amount")
     )
-    return timed.union(timeless)
+    return found.union(timeless)
 
 
 # Panes of a trailing window in a stream.
@@ -277,9 +280,7 @@ def _stream_trailing(
     length = -(-window // PANES)
     span = F.expr(f"INTERVAL '{window / SECOND:.6f}' SECOND")
     at = F.unix_micros("ts")
-    # Rows without a user count as one user.
-    user = F.coalesce(F.concat(F.lit("u"), F.col("user_id").cast("string")), F.lit("none"))
-    timed = transactions.where(F.col("ts").isNotNull()).withColumn("user", user)
+    timed = transactions.where(F.col("ts").isNotNull()).withColumn("user", _user())
     kept = list(dict.fromkeys([*keep, "ts"]))
     first, last = F.floor((at - window) / length), F.floor(at / length)
     cut = timed.select(
