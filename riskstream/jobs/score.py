@@ -17,6 +17,7 @@ from riskstream.config import Policy, StreamConfig
 from riskstream.operators import model
 from riskstream.sources.streams import file_stream, kafka_stream
 from riskstream.streaming import bursts, scoring, supervise
+from riskstream.streaming.profiles import Profiles
 from riskstream.streaming.sinks import files, kafka
 from riskstream.streaming.stored import StoredIds
 
@@ -39,6 +40,11 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument(
         "--stored-ids", help="folder for an index of stored ids: redelivered messages add no row"
     )
+    args.add_argument(
+        "--committed", action="store_true",
+        help="readers of stored scores see whole batches; jobs/compact.py rewrites small files",
+    )
+    args.add_argument("--profiles", help="folder for users' profiles, kept up to date")
     args.add_argument("--once", action="store_true", help="stop at the end of the input")
     given = args.parse_args(argv)
 
@@ -73,6 +79,8 @@ def main(argv: list[str] | None = None) -> None:
             cases=files(shared(config.fraud_path), "json"),
             dead_letter=files(shared(config.dead_letter_path), "json"),
             ids=StoredIds(shared(given.stored_ids)) if given.stored_ids else None,
+            committed=given.committed,
+            profiles=Profiles(spark, shared(given.profiles)) if given.profiles else None,
         ),
         checkpoint=shared(f"{config.checkpoint_dir}/scoring"),
         policy=Policy.from_env(),

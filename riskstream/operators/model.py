@@ -114,19 +114,34 @@ def area_under_roc(predictions: DataFrame, score: str = "rawPrediction") -> floa
     return evaluator.evaluate(predictions)
 
 
+# Ranges of scores that are put in order each by itself.
+RANGES = 4096
+
+
 def rank_sum_area(predictions: DataFrame, score: Column) -> float:
     """The area from ranks: how often a positive outscores a negative, ties half.
 
-    Rows are reduced to one per distinct score before these are put in order.
+    Rows are reduced to one per distinct score. These are put in order within ranges of
+    1/4096 of a probability; what lies below a range is a sum over the ranges, of which
+    probabilities have no more than that whatever the rows. No task orders all scores.
     """
     scores = predictions.groupBy(score.alias("score")).agg(
         F.sum("label").alias("yes"), F.sum(1 - F.col("label")).alias("no")
     )
-    below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    scores = scores.withColumn("range", F.floor(F.col("score") * RANGES))
+    ranges = scores.groupBy("range").agg(F.sum("no").alias("no"))
+    lower = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("range", F.coalesce(F.sum("no").over(lower), F.lit(0)).alias("lower"))
+    below = Window.partitionBy("range").orderBy("score").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     outscored = F.coalesce(F.sum("no").over(below), F.lit(0)) + F.col("no") / 2
     wins, yes, no = (
-        scores.withColumn("wins", F.col("yes") * outscored)
-        .agg(F.sum("wins"), F.sum("yes"), F.sum("no"))
+        scores.withColumn("outscored", outscored)
+        .join(ranges, "range")
+        .agg(
+            F.sum(F.col("yes") * (F.col("outscored") + F.col("lower"))), F.sum("yes"), F.sum("no")
+        )
         .first()
     )
     return wins / (yes * no)

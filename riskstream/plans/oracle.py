@@ -411,7 +411,8 @@ def queries() -> dict[str, str]:
     found["ordered_messages"] = (
         f"WITH {_TX} SELECT user_id AS key, count(*) AS n, TRUE AS ascends FROM tx GROUP BY 1"
     )
-    found["stream_stored_once"] = found["stream_scored"]
+    found["stream_stored_once"] = found["stream_committed"] = found["stream_scored"]
+    found["profiles_merged"] = found["velocity_money"]
     arrives = "ts + CASE WHEN event_id % 40 = 0 THEN INTERVAL '2 days' ELSE INTERVAL '0 days' END"
     found["stream_late"] = (
         f"WITH {_TX}, arrived AS (SELECT event_id, user_id, ts, least(floor((epoch({arrives})"

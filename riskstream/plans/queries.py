@@ -26,7 +26,9 @@ from riskstream.streaming import alerts as alert_stream
 from riskstream.streaming import bursts as burst_stream
 from riskstream.streaming import late as late_stream
 from riskstream.streaming import scoring as scoring_stream
-from riskstream.streaming.sinks import files
+from riskstream.streaming.committed import CommittedTable
+from riskstream.streaming.profiles import Profiles
+from riskstream.streaming.sinks import BatchRef, files
 from riskstream.streaming.stored import StoredIds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -465,7 +467,9 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return events.as_transactions(reader.parquet(f"{folder}/events.parque[t]"))
 
 
-def _run_scoring(messages: DataFrame, *wanted: str, once: bool = False) -> str:
+def _run_scoring(
+    messages: DataFrame, *wanted: str, once: bool = False, committed: bool = False
+) -> str:
     """Run the scoring stream to the end of its input; return its output root."""
     spark = messages.sparkSession
     root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
@@ -479,7 +483,7 @@ def _run_scoring(messages: DataFrame, *wanted: str, once: bool = False) -> str:
         model.pinned(spark),
         scoring_stream.Outputs(
             table=f"{root}/table", **sinks, show=0,
-            ids=StoredIds(f"{root}/ids") if once else None,
+            ids=StoredIds(f"{root}/ids") if once else None, committed=committed,
         ),
         checkpoint=f"{root}/checkpoint",
         name=f"scoring-{uuid.uuid4().hex}",
@@ -509,6 +513,35 @@ def stream_stored_once(spark, folder):
     return stored.withColumn("tx_timestamp", _wall_clock("tx_timestamp"))
 
 
+@_query
+def stream_committed(spark, folder):
+    """Scores stored in batches of one file each, committed, then compacted."""
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    sent = alerts.transaction_messages(_tx(spark, folder)).select("key", "value")
+    for part in range(3):
+        some = sent.where(F.pmod(F.hash("key"), F.lit(3)) == part)
+        some.coalesce(1).write.mode("append").parquet(f"{root}/messages")
+    stream = spark.readStream.schema(schema.MESSAGE).option("maxFilesPerTrigger", 1)
+    scored = _run_scoring(stream.parquet(f"{root}/messages"), committed=True)
+    table = CommittedTable(spark, f"{scored}/table", schema.SCORED)
+    table.compact()
+    return table.read().withColumn("tx_timestamp", _wall_clock("tx_timestamp"))
+
+
+@_query
+def profiles_merged(spark, folder):
+    """Profiles from sums of three batches: out of order, one replayed, two compacted."""
+    profiles = Profiles(spark, f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}")
+    rows = _odd_money(spark, folder)
+    for part in (1, 0, 1, 2):
+        some = rows.where(F.pmod(F.hash("event_id"), F.lit(3)) == part)
+        profiles.add(some, BatchRef("profiles", part))
+    profiles.compact()
+    return profiles.read().select(
+        _wall_clock("window_start"), "user_id", "n", _millions("total")
+    )
+
+
 # Days of event time that arrive as one file.
 _ARRIVAL_DAYS = 5
 

@@ -28,6 +28,19 @@ class BatchRef:
 Sink = Callable[[DataFrame, BatchRef], None]
 
 
+@dataclass(frozen=True)
+class Delivery:
+    """What became of a batch: rows scored, and rows that each output took without an error.
+
+    ``failed`` names the output that raised; those after it were not tried.
+    """
+
+    batch: BatchRef
+    scored: int
+    delivered: dict[str, int]
+    failed: str | None = None
+
+
 def files(root: str, file_format: str) -> Sink:
     """Parquet for tables, JSON lines for cases, either for stand-in topics."""
 
