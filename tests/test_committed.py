@@ -111,7 +111,13 @@ def transactions(spark):
     return events.transactions(spark, f"{TESTDATA}/sf0.001")
 
 
-def handled(spark, outputs, frame, batch_id=0):
+def handled(spark, outputs, keep="true", batch_id=0):
+    """Hand a batch to the scoring callback in a session of its own, as a stream does.
+
+    The evaluator of a fit can't be sent to tasks from a session that has observed a frame.
+    """
+    own = spark.newSession()
+    frame = events.transactions(own, f"{TESTDATA}/sf0.001").where(keep)
     handle = scoring.fan_out(model.pinned(spark), outputs)
     spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
     try:
@@ -126,10 +132,9 @@ def test_scores_and_profiles_of_a_committed_table(spark, transactions, tmp_path)
         table=f"{tmp_path}/scored", show=0, committed=True, profiles=profiles,
         alerts_topic=sinks.files(f"{tmp_path}/alerts", "parquet"),
     )
-    half = F.col("event_id") % 2
-    handled(spark, outputs, transactions.where(half == 0), 0)
-    handled(spark, outputs, transactions.where(half == 1), 1)
-    handled(spark, outputs, transactions.where(half == 1), 1)
+    handled(spark, outputs, "event_id % 2 = 0", 0)
+    handled(spark, outputs, "event_id % 2 = 1", 1)
+    handled(spark, outputs, "event_id % 2 = 1", 1)
     expected = plans.scored(alerts.transaction_messages(transactions), model.pinned(spark))
     same(tables.scored_table(spark, outputs.table), expected)
     assert CommittedTable(spark, outputs.table, schema.SCORED).compact() == 1
@@ -138,7 +143,7 @@ def test_scores_and_profiles_of_a_committed_table(spark, transactions, tmp_path)
     same(profiles.read(), velocity.tumbling(transactions))
 
 
-def test_a_failed_output_is_reported(spark, transactions, tmp_path):
+def test_a_failed_output_is_reported(spark, tmp_path):
     def full(frame, batch):
         raise OSError("no room")
 
@@ -149,13 +154,13 @@ def test_a_failed_output_is_reported(spark, transactions, tmp_path):
         alerts_topic=full, cases=sinks.files(f"{tmp_path}/cases", "json"),
     )
     with pytest.raises(OSError, match="no room"):
-        handled(spark, outputs, transactions)
+        handled(spark, outputs)
     (report,) = reports
     assert (report.batch.batch_id, report.scored, report.failed) == (0, 1000, "alerts_topic")
     assert report.delivered == {"scored_topic": 1000}
     handled(spark, scoring.Outputs(
         table=f"{tmp_path}/scored", show=0, report=reports.append,
         cases=sinks.files(f"{tmp_path}/cases", "json"),
-    ), transactions)
+    ))
     assert reports[1].failed is None and reports[1].scored == 1000
     assert reports[1].delivered["cases"] == spark.read.json(f"{tmp_path}/cases/run=*/*").count()
