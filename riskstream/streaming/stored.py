@@ -12,7 +12,6 @@ see it. Rows without an id or a readable time can't be told to be copies: all pa
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,21 +37,20 @@ class StoredIds:
         return [F.pmod(hashed, F.lit(self.bitmaps)).alias("bitmap"), F.array(*places).alias("bits")]
 
     def _of_days(self, spark: SparkSession, kind: str, days: list[str], schema: str, batch):
-        """Entries of some days, but for the batch's own; nothing else is listed."""
-        found = None
-        for day in days:
-            try:
-                part = spark.read.schema(f"{schema}, run string, batch_id bigint").parquet(
-                    f"{self.root}/{kind}/day={day}"
-                )
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                continue
-            part = part.where(~((F.col("run") == batch.run) & (F.col("batch_id") == batch.batch_id)))
-            part = part.withColumn("day", F.lit(day))
-            found = part if found is None else found.unionByName(part)
-        return found
+        """Entries of some days, but for the batch's own; nothing else is listed.
+
+        One scan for all days, so that their small files share tasks.
+        """
+        folders = [f"{self.root}/{kind}/day={day}" for day in days]
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        folders = [folder for folder in folders if files.exists(path(folder))]
+        if not folders:
+            return None
+        found = spark.read.schema(f"{schema}, day string, run string, batch_id bigint").option(
+            "basePath", f"{self.root}/{kind}"
+        ).parquet(*folders)
+        return found.where(~((F.col("run") == batch.run) & (F.col("batch_id") == batch.batch_id)))
 
     @staticmethod
     def _day(timestamp: Column) -> Column:
@@ -86,7 +84,9 @@ class StoredIds:
         same = (F.col("transaction_id") == F.col("known")) & (
             self._day(F.col("timestamp")) == F.col("day")
         )
-        return first.join(known.withColumnRenamed("transaction_id", "known"), same, "left_anti")
+        # Joined by sorting: a broadcast would pass the ids through the driver in every batch.
+        known = known.withColumnRenamed("transaction_id", "known").hint("merge")
+        return first.join(known, same, "left_anti")
 
     def _known(self, spark, asked: DataFrame, days: list[str], batch: BatchRef) -> DataFrame | None:
         self.read_days = []
@@ -101,7 +101,7 @@ class StoredIds:
             bit = F.pmod(place, F.lit(8)).cast("int")
             return F.getbit(F.conv(F.hex(octet), 16, 10).cast("bigint"), bit) == 1
 
-        suspects = placed.join(whole, ["day", "bitmap"]).where(
+        suspects = placed.join(whole.hint("merge"), ["day", "bitmap"]).where(
             is_set(F.col("bits")[0]) & is_set(F.col("bits")[1])
         )
         self.read_days = sorted(r.day for r in suspects.select("day").distinct().collect())
