@@ -17,7 +17,7 @@ from riskstream.streaming.profiles import Profiles
 
 def main(argv: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    args.add_argument("--files", type=int, default=8, help="files that a compaction writes")
+    args.add_argument("--files", type=int, help="files that a compaction writes; by size unless given")
     args.add_argument("--profiles", help="folder of users' profiles to compact as well")
     args.add_argument("--keep", type=float, default=86_400, help="seconds to keep unused files")
     given = args.parse_args(argv)

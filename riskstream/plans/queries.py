@@ -493,6 +493,26 @@ def _run_scoring(
     return root
 
 
+def _stream_of_parts(rows: DataFrame, parts: list[Column]) -> DataFrame:
+    """A stream with a batch for each part of the rows, which arrive one after the other.
+
+    A part has as many files as the rows have partitions, so they grow in number and not in
+    size. A batch takes equally many, so a part of few rows is filled up with empty files.
+    """
+    spark = rows.sparkSession
+    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}/parts"
+    files = rows.rdd.getNumPartitions()
+    empty = spark.createDataFrame([], rows.schema).coalesce(1)
+    for number, part in enumerate(parts):
+        own = f"{root}/{number}"
+        rows.where(part).repartition(files).write.parquet(own)
+        written = spark.read.schema(rows.schema).parquet(own).inputFiles()
+        for _ in range(files - len(written)):
+            empty.write.mode("append").parquet(own)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
+    return stream.parquet(f"{root}/*")
+
+
 @_query
 def stream_scored(spark, folder):
     root = _run_scoring(alerts.transaction_messages(_event_stream(spark, folder)))
@@ -515,14 +535,10 @@ def stream_stored_once(spark, folder):
 
 @_query
 def stream_committed(spark, folder):
-    """Scores stored in batches of one file each, committed, then compacted."""
-    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    """Scores stored in three batches, committed, then compacted."""
     sent = alerts.transaction_messages(_tx(spark, folder)).select("key", "value")
-    for part in range(3):
-        some = sent.where(F.pmod(F.hash("key"), F.lit(3)) == part)
-        some.coalesce(1).write.mode("append").parquet(f"{root}/messages")
-    stream = spark.readStream.schema(schema.MESSAGE).option("maxFilesPerTrigger", 1)
-    scored = _run_scoring(stream.parquet(f"{root}/messages"), committed=True)
+    parts = [F.pmod(F.hash("key"), F.lit(3)) == part for part in range(3)]
+    scored = _run_scoring(_stream_of_parts(sent, parts), committed=True)
     table = CommittedTable(spark, f"{scored}/table", schema.SCORED)
     table.compact()
     return table.read().withColumn("tx_timestamp", _wall_clock("tx_timestamp"))
@@ -542,22 +558,17 @@ def profiles_merged(spark, folder):
     )
 
 
-# Days of event time that arrive as one file.
+# Days of event time that arrive as one batch.
 _ARRIVAL_DAYS = 5
 
 
 def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream of one file for each five days; every 40th event comes two days late."""
-    root = f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+    """A stream of one batch for each five days; every 40th event comes two days late."""
     rows = _tx(spark, folder).select("event_id", "user_id", "ts", "amount")
     comes = F.unix_seconds("ts") + F.when(F.col("event_id") % 40 == 0, 2 * 86_400).otherwise(0)
     first = F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))
     part = F.least(F.floor((comes - first) / (_ARRIVAL_DAYS * 86_400)), F.lit(5))
-    for number in range(6):
-        own = rows.where(part == number).coalesce(1)
-        own.write.mode("append").parquet(f"{root}/rows")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
-    return stream.parquet(f"{root}/rows")
+    return _stream_of_parts(rows, [part == number for number in range(6)])
 
 
 def _run_windows(spark: SparkSession, folder: str) -> str:

@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 from riskstream.streaming.sinks import BatchRef
 
 SNAPSHOT = "snapshot"
+FILE_BYTES = 64 << 20  # of a compacted file, unless their number is given
 
 
 class CommittedTable:
@@ -108,12 +109,18 @@ class CommittedTable:
         snapshot, later = self._state()
         return self._frame([*snapshot["folders"], *[c["folder"] for c in later]])
 
+    def _size(self, folders: list[str]) -> int:
+        paths = [self._path(f"{self.root}/{folder}") for folder in folders]
+        return sum(self._files.getContentSummary(path).getLength() for path in paths)
+
     def compact(
-        self, files: int = 1, merge: Callable[[DataFrame], DataFrame] | None = None
+        self, files: int | None = None, merge: Callable[[DataFrame], DataFrame] | None = None
     ) -> int:
         """Rewrite the batches since the last compaction as ``files`` files; how many there were.
 
-        ``merge`` may reduce their rows, if the table's reader adds up what it reads.
+        Unless given, the number of files follows from the batches' size, and so does that of
+        the tasks which write them. ``merge`` may reduce their rows, if the table's reader
+        adds up what it reads.
         """
         snapshot, later = self._state()
         newest = {c["run"]: c["batch_id"] for c in later}  # in order: the last one stays
@@ -121,7 +128,9 @@ class CommittedTable:
         if not closed:
             return 0
         folder = f"data/compacted-{uuid.uuid4().hex}"
-        rows = self._frame([c["folder"] for c in closed])
+        batches = [c["folder"] for c in closed]
+        files = files or max(1, -(-self._size(batches) // FILE_BYTES))
+        rows = self._frame(batches)
         rows = (merge(rows) if merge else rows).repartition(files)
         rows.write.mode("error").parquet(f"{self.root}/{folder}")
         upto = snapshot["upto"] | {c["run"]: c["batch_id"] for c in closed}

@@ -64,5 +64,5 @@ class Profiles:
             F.when(F.col("odd") == 0, total).alias("total"),
         )
 
-    def compact(self, files: int = 1) -> int:
+    def compact(self, files: int | None = None) -> int:
         return self.table.compact(files, _merged)

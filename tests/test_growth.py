@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from riskstream.streaming import sinks
+from riskstream.plans import queries
+from riskstream.streaming import committed, sinks
 from riskstream.streaming.stored import StoredIds
 
 
@@ -19,3 +20,34 @@ def test_known_ids_are_read_by_one_scan_and_not_broadcast(spark, tmp_path):
     old = {r[0] for r in rows.where("transaction_id < '5'").collect()}
     assert {r.transaction_id for r in left.collect()} == {str(n) for n in range(60)} - old
     assert ids.read_days == days[:3]
+
+
+def test_a_compaction_writes_files_by_size(spark, tmp_path, monkeypatch):
+    table = committed.CommittedTable(spark, f"{tmp_path}/t", "id bigint")
+    for batch in range(3):
+        table.write(spark.range(batch * 1000, batch * 1000 + 1000), sinks.BatchRef("q", batch))
+    monkeypatch.setattr(committed, "FILE_BYTES", 2000, raising=False)
+    assert table.compact() == 2
+    (folder,) = table._state()[0]["folders"]
+    assert len(spark.read.parquet(f"{tmp_path}/t/{folder}").inputFiles()) > 3
+    assert sorted(r.id for r in table.read().collect()) == list(range(3000))
+
+
+def test_each_part_is_a_batch_of_several_files(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 4).selectExpr("id", "nullif(id % 5, 4) as part")
+    parts = [F.col("part") == n for n in (2, 0, 7, 1)]  # the third has no row
+    parts.append(F.col("id") == 3)
+    seen = []
+
+    def look(batch, batch_id):
+        found = batch.select("id", F.input_file_name().alias("file")).collect()
+        seen.append((len({r.file for r in found}), sorted(r.id for r in found)))
+
+    query = (
+        queries._stream_of_parts(rows, parts).writeStream.foreachBatch(look)
+        .option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    whole = [sorted(n for n in range(400) if n % 5 == k) for k in range(3)]
+    assert [ids for _, ids in seen] == [whole[2], whole[0], [], whole[1], [3]]
+    assert [files for files, _ in seen] == [4, 4, 0, 4, 1]
