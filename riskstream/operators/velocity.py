@@ -268,11 +268,12 @@ def _stream_trailing(
 ) -> DataFrame:
     """Trailing counts and means in a stream, in append mode.
 
-    A transaction's window is cut at panes, each a row with a key of its own. The whole
-    panes between its ends meet the users' sums by pane; the pane at either end meets
-    the sums by instant, of those instants that the window holds. So a busy user's rows
-    are spread over panes, and what one meets is bounded by panes and by the instants
-    of two panes. All the parts are added up again when no late row can
+    A transaction's window is cut at panes. The whole panes between its ends meet the
+    users' sums by pane, by a row for each of the one or two blocks of panes they lie in;
+    the pane at either end, a row with a key of its own, meets the sums by instant, of
+    those instants that the window holds. So a busy user's rows are spread over panes and
+    blocks, and what one meets is bounded by panes and by the instants of two panes. All
+    the parts are added up again when no late row can
     change them: the joins and sums hold rows for the window and the watermark's delay.
     The watermark must be set; ``keep`` must tell transactions apart.
     """
@@ -283,23 +284,29 @@ def _stream_trailing(
     timed = transactions.where(F.col("ts").isNotNull()).withColumn("user", _user())
     kept = list(dict.fromkeys([*keep, "ts"]))
     first, last = F.floor((at - window) / length), F.floor(at / length)
-    cut = timed.select(
+    ends = timed.select(
+        *kept, "user", F.explode(F.array_distinct(F.array(first, last))).alias("key")
+    )
+    blocks = [F.floor(pane / PANES) for pane in (first + 1, last - 1)]
+    between = timed.where(last - first > 1).select(
         *kept, "user", first.alias("first"), last.alias("last"),
-        F.explode(F.sequence(first, last)).alias("pane"),
+        F.explode(F.sequence(*blocks)).alias("key"),
     )
-    ends = F.col("pane").isin(F.col("first"), F.col("last"))
     sent = timed.select(F.col("user").alias("of"), F.col("ts").alias("then"), "amount")
     instants = sent.groupBy("of", "then").agg(*_held())
     panes = sent.groupBy("of", F.window("then", f"{length} microseconds").alias("w")).agg(*_held())
     panes = panes.select("of", F.window_time("w").alias("then"), "n", "worth", "odd")
+    pane = F.floor(F.unix_micros("then") / length)
 
-    def met(cuts: DataFrame, sums: DataFrame) -> DataFrame:
-        sums = sums.withColumn("in", F.floor(F.unix_micros("then") / length))
-        same = (F.col("user") == F.col("of")) & (F.col("pane") == F.col("in"))
+    def met(cuts: DataFrame, sums: DataFrame, also: Column = F.lit(True)) -> DataFrame:
+        same = (F.col("user") == F.col("of")) & (F.col("key") == F.col("in"))
         within = (F.col("then") <= F.col("ts")) & (F.col("then") >= F.col("ts") - span)
-        return cuts.join(sums, same & within).select(*kept, "n", "worth", "odd")
+        return cuts.join(sums, same & within & also).select(*kept, "n", "worth", "odd")
 
-    parts = met(cut.where(ends), instants).union(met(cut.where(~ends), panes))
+    whole = (F.col("pane") > F.col("first")) & (F.col("pane") < F.col("last"))
+    parts = met(ends, instants.withColumn("in", pane)).union(
+        met(between, panes.withColumns({"pane": pane, "in": F.floor(pane / PANES)}), whole)
+    )
     held = parts.groupBy(*kept).agg(*[F.sum(c).alias(c) for c in ("n", "worth", "odd")])
     mean = half_up(from_micros(F.col("worth")) / F.col("n").cast("double"), 2)
     found = held.select(*keep, "n", F.when(F.col("odd") == 0, mean).alias("mean_amount"))

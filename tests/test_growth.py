@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from riskstream.operators import velocity
 from riskstream.plans import queries
 from riskstream.streaming import committed, sinks
 from riskstream.streaming.stored import StoredIds
@@ -51,3 +52,22 @@ def test_each_part_is_a_batch_of_several_files(spark, tmp_path):
     whole = [sorted(n for n in range(400) if n % 5 == k) for k in range(3)]
     assert [ids for _, ids in seen] == [whole[2], whole[0], [], whole[1], [3]]
     assert [files for files, _ in seen] == [4, 4, 0, 4, 1]
+
+
+def test_a_streamed_transaction_is_held_in_few_rows(spark, tmp_path):
+    rows = spark.range(200).selectExpr(
+        "id as event_id", "concat('u', id) as user_id",
+        "timestamp'2024-03-01 10:00:00' + make_interval(0, 0, 0, 0, 0, id % 100) as ts",
+        "1.5D as amount",
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    trailed = velocity.trailing(stream.withWatermark("ts", "1 hour"), keep=("event_id",))
+    query = (
+        trailed.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    # Two ends and up to two blocks of its window, its instant and its pane.
+    held = sum(state["numRowsTotal"] for state in query.lastProgress["stateOperators"])
+    assert 200 * 4 < held <= 200 * 6
