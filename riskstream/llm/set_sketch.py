@@ -14,10 +14,13 @@ both, and two sets agree in a register about as often as their Jaccard similarit
    size, and most of a large group is one component after that.
 4. Where a bucket still holds several components there may be links left. Its classes
    are in the family of the least of these; the family's commonest centre is its base,
-   and each class is written as what it and the base don't share.
-   Classes near the base are linked to it. Of a linked pair the two differences share
-   one of their rarest items, so pairs come from an exact prefix join on those: what a
-   family has in common, which would pair all its members, cancels out.
+   and each class is written as what it and the base don't share. Classes near the base
+   are linked to it. Then the class nearest to the family's middle becomes the base, and
+   those near it are linked too.
+   Of a linked pair the two differences share one of their rarest items. So each class is
+   first compared with one that has many of its items, and pairs of what still lies apart
+   come from an exact prefix join on those items: what a family has in common, which would
+   pair all its members, cancels out.
 5. A pair is first estimated from both registers at once by maximum likelihood over
    the known sizes; one more than six deviations below the threshold goes. The rest
    is confirmed on the full sets of 64-bit shingle hashes.
@@ -272,40 +275,106 @@ def _difference(items: pa.Array, base: pa.Array) -> pa.Array:
     return listed
 
 
-def _across(
-    members: DataFrame, roots: DataFrame, sets: DataFrame, scratch: Scratch, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """Links to a family's base, and candidate pairs of nodes that still lie apart."""
-    # |x - y| + |y - x| of linked sets is at most ``slack`` times |x| + |y|.
-    slack = (100 - percent) / (100 + percent)
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _still_apart(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes with their roots, of the families that are in several components."""
+    rooted = _rooted(nodes, roots)
+    several = rooted.groupBy("family").agg(
+        F.min("root").alias("least"), F.max("root").alias("most")
+    )
+    return rooted.join(several.where("least < most").select("family"), "family", "left_semi")
+
+
+def _near(apart: DataFrame, percent: int) -> DataFrame:
+    """How far each node is from its family's base, and whether that is a link."""
+    apart = apart.withColumn("apart", F.size("items"))
+    both = F.col("n_shingles") + F.col("n_base")
+    near = (100 + percent) * F.col("apart") <= (100 - percent) * both
+    return apart.withColumn("near", near)
+
+
+def _base_links(apart: DataFrame) -> DataFrame:
+    return apart.where("near and node <> base").select(*_pair("node", "base"))
+
+
+def _from_common(
+    members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, scratch: Scratch
+) -> DataFrame:
+    """Families of classes that may have links left, and how each differs from their base."""
+    rooted = _rooted(members, roots)
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    # All that share a bucket share the family of its least root; a class may have several.
     rooted = scratch.keep(
         rooted.join(mixed.where("least < most"), "bucket").select(
-            "node", "n_shingles", "centre", "root", "least"
+            "node", "n_shingles", "centre", F.col("least").alias("family")
         ),
         "mixed",
     )
-    # All that share a bucket share the family of its least root; a class may have several.
-    rooted = rooted.withColumnRenamed("least", "family")
     bases = (
         rooted.groupBy("family", "centre").agg(F.count("*").alias("n"))
         .groupBy("family").agg(F.max(F.struct("n", "centre")).alias("top"))
         .select("family", F.col("top.centre").alias("base"))
     )
-    nodes = rooted.select("node", "n_shingles", "root", "family").distinct()
+    nodes = rooted.select("node", "n_shingles", "family").distinct()
     based = bases.join(sets.select(F.col("node").alias("base"), "items"), "base").select(
         "family", "base", F.col("items").alias("base_items"),
         (F.length("items") / 8).cast("long").alias("n_base"),
     )
     apart = nodes.join(sets, "node").join(based, "family").select(
-        "node", "n_shingles", "root", "family", "base", "n_base",
+        "node", "n_shingles", "family", "base", "n_base",
         _difference("items", "base_items").alias("items"),
     )
-    apart = apart.withColumn("apart", F.size("items"))
-    near = F.col("apart") <= slack * (F.col("n_shingles") + F.col("n_base"))
-    apart = scratch.keep(apart.withColumn("near", near), "apart")
+    return scratch.keep(_near(apart, percent), "apart")
+
+
+def _from_middle(
+    apart: DataFrame, roots: DataFrame, percent: int, scratch: Scratch
+) -> DataFrame:
+    """Families still apart, and how each class differs from the one nearest to their middle.
+
+    The middle holds what more than half of the family do. What the former base alone has
+    or lacks is not in it, and no longer makes all others alike.
+    """
+    apart = scratch.keep(_still_apart(apart, roots).drop("root"), "still-apart")
+    sizes = apart.groupBy("family").agg(F.count("*").alias("n"))
+    items = apart.select("family", "node", F.explode("items").alias("item"))
+    usual = (
+        items.groupBy("family", "item").agg(F.count("*").alias("times"))
+        .join(sizes, "family").where("2 * times > n").select("family", "item")
+    )
+    agreed = items.join(usual, ["family", "item"]).groupBy("family", "node").agg(
+        F.count("*").alias("agreed")
+    )
+    # A node's distance from the middle, less that of the former base.
+    middle = (
+        agreed.join(apart.select("family", "node", "apart"), ["family", "node"])
+        .withColumn("further", F.col("apart") - 2 * F.col("agreed"))
+        .where("further < 0")
+        .groupBy("family").agg(F.min(F.struct("further", "node")).alias("first"))
+        .select("family", F.col("first.node").alias("node"))
+    )
+    middle = apart.join(middle, ["family", "node"]).select(
+        "family", F.col("node").alias("middle"), F.col("n_shingles").alias("n_middle"),
+        F.col("items").alias("moved"),
+    )
+    # Of two differences from one base, what only one holds is where their sets differ.
+    moved = F.concat(F.array_except("items", "moved"), F.array_except("moved", "items"))
+    rebased = apart.join(middle, "family", "left").select(
+        "node", "n_shingles", "family",
+        F.coalesce("middle", "base").alias("base"), F.coalesce("n_middle", "n_base").alias("n_base"),
+        F.when(F.col("moved").isNull(), F.col("items")).otherwise(moved).alias("items"),
+    )
+    return scratch.keep(_near(rebased, percent), "from-middle")
 
+
+def _rarest(apart: DataFrame, roots: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Of families still apart, the differences from the base that links have in common."""
+    # |x - y| + |y - x| of linked sets is at most ``slack`` times |x| + |y|.
+    slack = (100 - percent) / (100 + percent)
+    apart = _still_apart(apart, roots)
     # Nodes near the base are one component. Of any other pair at least one is far. If a
     # pair is linked, the one that differs less from the base has few differences that
     # the other lacks, so among its rarest there is one of the other's rarest.
@@ -316,7 +385,7 @@ def _across(
         F.least(wide / 2, (F.col("apart") + slack * (size - F.col("n_base"))) / 2),
     ).otherwise(wide / 2)
     items = apart.select(
-        "family", "node", "root", "near", "apart", "n_shingles",
+        "family", "node", "apart", "n_shingles",
         wide.alias("wide"), narrow.alias("narrow"), F.explode("items").alias("item"),
     )
     common = items.groupBy("family", "item").agg(F.count("*").alias("times")).where("times > 1")
@@ -328,19 +397,52 @@ def _across(
     ranked = items.withColumn("rank", F.row_number().over(rarest)).where(
         "rank <= wide + 1.000001 and times > 1"
     )
-    ranked = scratch.keep(ranked.drop("times", "wide"), "rarest")
-    less = ranked.where("rank <= narrow + 1.000001").drop("narrow")
+    return scratch.keep(ranked.drop("wide"), "rarest")
+
+
+def _closest(rarest: DataFrame, roots: DataFrame) -> DataFrame:
+    """For each node the one it has most in common with, of those that are nearest to the
+    base among all that have an item; a rarer item counts for more."""
+    rooted = _rooted(rarest, roots)
+    centres = rooted.groupBy("family", "item").agg(
+        F.min(F.struct("apart", "node", "root")).alias("c")
+    )
+    met = rooted.join(centres, ["family", "item"]).where("root <> c.root")
+    shared = met.groupBy("family", "node", F.col("c.node").alias("centre")).agg(
+        F.sum(1 / F.col("times")).alias("weight")
+    )
+    most = shared.groupBy("node").agg(F.max(F.struct("weight", "centre")).alias("most"))
+    return most.select("node", "most.centre").select(*_pair("node", "centre")).distinct()
+
+
+def _across(rarest: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of nodes that still lie apart."""
+    slack = (100 - percent) / (100 + percent)
+    rooted = _rooted(rarest.drop("times"), roots)
+    # Pairs within the largest component, most of a family, aren't formed.
+    largest = (
+        rooted.groupBy("family", "root").agg(F.count("*").alias("n"))
+        .groupBy("family").agg(F.max(F.struct("n", "root")).alias("top"))
+        .select("family", F.col("top.root").alias("largest"))
+    )
+    rooted = rooted.join(largest, "family").withColumn("inside", F.col("root") == F.col("largest"))
+    less = rooted.where("rank <= narrow + 1.000001").drop("narrow", "largest")
     less = less.toDF(*(c if c in ("family", "item") else f"{c}_a" for c in less.columns))
-    more = ranked.drop("narrow")
+    more = rooted.drop("narrow", "largest")
     more = more.toDF(*(c if c in ("family", "item") else f"{c}_b" for c in more.columns))
+    both = less.where("not inside_a").join(more, ["family", "item"]).unionByName(
+        less.where("inside_a").join(more.where("not inside_b"), ["family", "item"])
+    )
     most = f"{slack} * (n_shingles_a + n_shingles_b)"
-    pairs = (
-        less.join(more, ["family", "item"])
-        .where("apart_a < apart_b or (apart_a = apart_b and node_a < node_b)")
-        .where("root_a <> root_b and not (near_a and near_b)")
+    return (
+        both.where("apart_a < apart_b or (apart_a = apart_b and node_a < node_b)")
+        .where("root_a <> root_b")
         # What a linked pair's differences share is all but the slack; from these ranks on
-        # it must still fit.
-        .where(f"apart_b - apart_a <= {most}")
+        # it must still fit. In whole numbers first: sets just at the threshold are linked.
+        .where(
+            f"{100 + percent} * (apart_b - apart_a)"
+            f" <= {100 - percent} * (n_shingles_a + n_shingles_b)"
+        )
         .where(f"2 * rank_a <= apart_a - apart_b + {most} + 2.000001")
         .where(f"2 * rank_b <= apart_b - apart_a + {most} + 2.000001")
         .where(
@@ -350,8 +452,18 @@ def _across(
         .select(*_pair("node_a", "node_b"))
         .distinct()
     )
-    near_base = apart.where("near and node <> base").select(*_pair("node", "base"))
-    return near_base, pairs
+
+
+def _joined(roots: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(node, root) after further links, of which there are few between components."""
+    for end in "ab":
+        found = roots.select(F.col("node").alias(end), F.col("root").alias("r"))
+        links = links.join(found, end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+    tops = components(links.select("a", "b"), scratch, f"{name}-tops").toDF("root", "top")
+    alone = tops.join(roots.select(F.col("node").alias("root")), "root", "left_anti")
+    nodes = roots.union(alone.select(F.col("root").alias("node"), "root"))
+    nodes = nodes.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return scratch.keep(nodes, name)
 
 
 def _marked(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -415,19 +527,19 @@ def _resolved(docs: DataFrame, words: int, percent: int) -> DataFrame:
         _confirmed(stars.select(*_pair("node", "centre")).distinct(), sets, percent), "stars"
     )
     roots = scratch.keep(components(edges, scratch, "star-roots", rounds=2), "roots")
-    near_base, pairs = _across(members, roots, sets, scratch, percent)
-    across = scratch.keep(_confirmed(pairs, sets, percent), "across")
-    # Links of components, of which there are few, instead of links of classes.
-    joined = edges.union(near_base).union(across)
-    for end in "ab":
-        found = roots.select(F.col("node").alias(end), F.col("root").alias("r"))
-        joined = joined.join(found, end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
-    tops = components(joined.select("a", "b"), scratch, "tops").toDF("root", "top")
+    apart = _from_common(members, roots, sets, percent, scratch)
+    roots = _joined(roots, edges.union(_base_links(apart)), scratch, "near-common")
+    apart = _from_middle(apart, roots, percent, scratch)
+    roots = _joined(roots, _base_links(apart), scratch, "near-middle")
+    rarest = _rarest(apart, roots, percent, scratch)
+    closest = scratch.keep(_confirmed(_closest(rarest, roots), sets, percent), "closest")
+    roots = _joined(roots, closest, scratch, "near-closest")
+    across = scratch.keep(_confirmed(_across(rarest, roots, percent), sets, percent), "across")
+    roots = _joined(roots, across, scratch, "linked")
 
     ids = (
-        classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        .join(tops, "root", "left")
-        .select("key1", "key2", "doc_id", "mark", F.coalesce("top", "root").alias("root"))
+        classes.join(roots, "node", "left")
+        .select("key1", "key2", "doc_id", "mark", F.coalesce("root", "node").alias("root"))
     )
     ids = scratch.keep(ids, "ids")
     least = ids.groupBy("root").agg(

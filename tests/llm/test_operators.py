@@ -379,6 +379,56 @@ GOOD_LINE = "This is a line of the prose that people write and others read with
 POOR_LINE = "$$ 123 | 456 >>\n"
 
 
+def near_copies(count):
+    """Variants of one text, of which many pairs are just below the threshold or above."""
+    draw = random.Random(5)
+    source = [f"s{i}" for i in range(150)]
+    texts = []
+    for i in range(count):
+        words = list(source)
+        for k in draw.sample(range(150), draw.randint(3, 6)):
+            words[k] = f"v{i}x{k}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_near_copies_that_stay_apart_make_few_candidates(spark, monkeypatch):
+    texts = near_copies(300)
+    asked = []
+    confirmed = set_sketch._confirmed
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(set_sketch, "_confirmed", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in set_sketch.near_duplicates(docs, words=2).collect()}
+    sets = [set(set_sketch.shingle_set(t, 2).tolist()) for t in texts]
+    top = list(range(len(texts)))
+    for i, one in enumerate(sets):
+        for j in range(i):
+            if 100 * len(one & sets[j]) >= 80 * len(one | sets[j]) and top[i] != top[j]:
+                low, high = sorted((top[i], top[j]))
+                top = [low if x == high else x for x in top]
+    assert found == dict(enumerate(top))
+    assert sum(asked) <= 2 * len(texts)
+
+
+def test_candidates_just_at_the_threshold(spark):
+    # One difference lies in the other: 40 of 360 is what similarity 0.8 leaves.
+    rows = [(1, 180, 7, 9, 180, list(range(10)), 10, True),
+            (2, 180, 7, 9, 180, list(range(50)), 50, False)]
+    apart = spark.createDataFrame(
+        rows, "node long, n_shingles long, family long, base long, n_base long, "
+        "items array<long>, apart int, near boolean",
+    )
+    roots = spark.createDataFrame([], "node long, root long")
+    rarest = set_sketch._rarest(apart, roots, 80, Scratch(spark, "threshold"))
+    pairs = set_sketch._across(rarest, roots, 80)
+    assert [tuple(r) for r in pairs.collect()] == [(1, 2)]
+
+
 def test_field_is_fitted_to_long_documents(spark):
     rows = [(i, (GOOD_LINE if i % 2 else POOR_LINE) * 900) for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
