@@ -520,12 +520,17 @@ def _repeated(docs: DataFrame, words: int, percent: int, scratch: Scratch) -> Da
         "id", F.explode(_confirmed(F.col("one"), F.col("two"), length, percent, SHINGLE)).alias("p")
     )
     at = regions.select("id", "doc_id", "first", F.col("begin").alias("b"), "first_begin")
-    return confirmed.join(at, "id").select(
+    spans = confirmed.join(at, "id").select(
         "doc_id", (F.col("b") + F.col("p.begin")).alias("begin"),
         (F.col("b") + F.col("p.end")).alias("end"), F.col("first").alias("first_doc_id"),
         (F.col("first_begin") + F.col("p.first_begin")).alias("first_begin"),
         (F.col("first_begin") + F.col("p.first_end")).alias("first_end"), "p.similarity",
     )
+    # A text stands beside each of its regions, so its slices are taken in the small batches
+    # of a kept table, not in those of whatever the caller does with the result.
+    spans = scratch.keep(spans, "spans")
+    scratch.drop("regions")
+    return spans
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -575,8 +580,10 @@ def without_repeats(
         same = (F.col("__own") == F.col("__doc")) & (F.xxhash64(text) == F.col("__mark"))
         rows = rows.join(other, same, "left").withColumn("__own", F.coalesce("__number", "__own"))
     rows = rows.join(spans, F.col("__own") == F.col("__id"), "left")
-    rows = rows.withColumn("__text", _cut(F.col(text), F.col("__spans")))
     repeats = F.col("__spans").isNotNull()
+    # Other texts don't go through Python.
+    cut_text = _cut(F.when(repeats, F.col(text)), F.col("__spans"))
+    rows = rows.withColumn("__text", F.when(repeats, cut_text).otherwise(F.col(text)))
     rows = rows.where(~repeats | F.col("__text").rlike(WORD))
     columns = []
     for name in documents.columns:

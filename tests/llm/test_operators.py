@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -530,6 +531,34 @@ def test_planted_passages_are_found_and_cut(spark):
         assert left[i].text == " ".join(rows[i]) and left[i].n_chars == 0
 
 
+def test_slices_are_taken_in_small_batches_and_other_texts_stay_in_spark(spark, monkeypatch):
+    @F.arrow_udf("string")
+    def strict(text: pa.Array, spans: pa.Array) -> pa.Array:
+        assert all(s.is_valid or not t.is_valid for t, s in zip(text, spans, strict=True))
+        return pa.array(
+            [
+                passages.cut(t.as_py(), [(x["begin"], x["end"]) for x in s.as_py()])
+                if s.is_valid else None
+                for t, s in zip(text, spans, strict=True)
+            ],
+            pa.string(),
+        )
+
+    passage = " ".join(f"p{i}" for i in range(80))
+    rows = [(i, f"a{i} {passage} b{i}" if i % 2 else f"alone{i}  here") for i in range(40)]
+    rows += [(None, passage), (50, None), (51, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.repeated_passages(docs)
+    # The caller's own batches of whole texts may be of any size.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in plan and found.count() == 19
+    monkeypatch.setattr(passages, "_cut", strict)
+    kept = {(r.doc_id, r.text) for r in passages.without_repeats(docs).collect()}
+    assert kept == {
+        (i, f"a{i} b{i}" if text and i and 1 < i < 40 and i % 2 else text) for i, text in rows
+    }
+
+
 def test_passages_odd_rows(spark, odd):
     assert passages.repeated_passages(odd).count() == 0
     left = passages.without_repeats(odd)
