@@ -20,7 +20,8 @@ both, and two sets agree in a register about as often as their Jaccard similarit
    Of a linked pair the two differences share one of their rarest items. So each class is
    first compared with one that has many of its items, and pairs of what still lies apart
    come from an exact prefix join on those items: what a family has in common, which would
-   pair all its members, cancels out.
+   pair all its members, cancels out. Prefixes are so long that more items must meet in
+   them than two changed words account for.
 5. A pair is first estimated from both registers at once by maximum likelihood over
    the known sizes; one more than six deviations below the threshold goes. The rest
    is confirmed on the full sets of 64-bit shingle hashes.
@@ -280,12 +281,13 @@ def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _still_apart(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Nodes with their roots, of the families that are in several components."""
+    """Nodes with their roots, of the families that are in several components, and of how
+    many nodes these are."""
     rooted = _rooted(nodes, roots)
     several = rooted.groupBy("family").agg(
-        F.min("root").alias("least"), F.max("root").alias("most")
+        F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n")
     )
-    return rooted.join(several.where("least < most").select("family"), "family", "left_semi")
+    return rooted.join(several.where("least < most").select("family", "n"), "family")
 
 
 def _near(apart: DataFrame, percent: int) -> DataFrame:
@@ -339,20 +341,22 @@ def _from_middle(
     or lacks is not in it, and no longer makes all others alike.
     """
     apart = scratch.keep(_still_apart(apart, roots).drop("root"), "still-apart")
-    sizes = apart.groupBy("family").agg(F.count("*").alias("n"))
-    items = apart.select("family", "node", F.explode("items").alias("item"))
+    items = apart.select("family", "n", F.explode("items").alias("item"))
+    # Fewer than twice what a member has on average, so one row holds a family's.
     usual = (
-        items.groupBy("family", "item").agg(F.count("*").alias("times"))
-        .join(sizes, "family").where("2 * times > n").select("family", "item")
-    )
-    agreed = items.join(usual, ["family", "item"]).groupBy("family", "node").agg(
-        F.count("*").alias("agreed")
+        items.groupBy("family", "n", "item").agg(F.count("*").alias("times"))
+        .where("2 * times > n")
+        .groupBy("family").agg(F.collect_list("item").alias("usual"))
     )
+    # Both are kept, so that the join of a large family can be dealt over several tasks.
+    usual = scratch.keep(usual, "usual")
+    agreed = F.size(F.array_intersect("items", "usual"))
     # A node's distance from the middle, less that of the former base.
+    further = apart.join(usual, "family").select(
+        "family", "node", (F.col("apart") - 2 * agreed).alias("further")
+    )
     middle = (
-        agreed.join(apart.select("family", "node", "apart"), ["family", "node"])
-        .withColumn("further", F.col("apart") - 2 * F.col("agreed"))
-        .where("further < 0")
+        scratch.keep(further.where("further < 0"), "further")
         .groupBy("family").agg(F.min(F.struct("further", "node")).alias("first"))
         .select("family", F.col("first.node").alias("node"))
     )
@@ -370,8 +374,11 @@ def _from_middle(
     return scratch.keep(_near(rebased, percent), "from-middle")
 
 
-def _rarest(apart: DataFrame, roots: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Of families still apart, the differences from the base that links have in common."""
+def _rarest(
+    apart: DataFrame, roots: DataFrame, percent: int, scratch: Scratch, least: int = 1
+) -> DataFrame:
+    """Of families still apart, the differences from the base that links have in common, so
+    far that ``least`` shared ones are among them."""
     # |x - y| + |y - x| of linked sets is at most ``slack`` times |x| + |y|.
     slack = (100 - percent) / (100 + percent)
     apart = _still_apart(apart, roots)
@@ -385,7 +392,7 @@ def _rarest(apart: DataFrame, roots: DataFrame, percent: int, scratch: Scratch)
         F.least(wide / 2, (F.col("apart") + slack * (size - F.col("n_base"))) / 2),
     ).otherwise(wide / 2)
     items = apart.select(
-        "family", "node", "apart", "n_shingles",
+        "family", "n", "node", "apart", "n_shingles",
         wide.alias("wide"), narrow.alias("narrow"), F.explode("items").alias("item"),
     )
     common = items.groupBy("family", "item").agg(F.count("*").alias("times")).where("times > 1")
@@ -394,31 +401,45 @@ def _rarest(apart: DataFrame, roots: DataFrame, percent: int, scratch: Scratch)
         "times", F.coalesce("times", F.lit(1))
     )
     rarest = Window.partitionBy("family", "node").orderBy("times", "item")
-    ranked = items.withColumn("rank", F.row_number().over(rarest)).where(
-        "rank <= wide + 1.000001 and times > 1"
+    ranked = items.withColumn("rank", F.row_number().over(rarest)).withColumn(
+        "usual", F.expr("2 * times > n")
+    )
+    # A longer prefix doesn't meet others in what most of a family have. Those items are the
+    # last of its ranks; the first of them tells how many it is spared.
+    spared = F.expr(
+        f"usual and rank > narrow + 1.000001 and rank <= narrow + {least}.000001"
+    )
+    of_node = Window.partitionBy("family", "node")
+    ranked = ranked.withColumn("spared", spared).withColumn(
+        "first_spared", F.min(F.when(F.col("spared"), F.col("rank"))).over(of_node)
     )
-    return scratch.keep(ranked.drop("wide"), "rarest")
+    ranked = ranked.where(f"rank <= wide + {least}.000001 and times > 1")
+    return scratch.keep(ranked.drop("wide", "n"), "rarest")
 
 
 def _closest(rarest: DataFrame, roots: DataFrame) -> DataFrame:
-    """For each node the one it has most in common with, of those that are nearest to the
-    base among all that have an item; a rarer item counts for more."""
+    """For each node the one it differs least from, of those that are nearest to the base
+    among all that have an item; what most of the family have tells none from another."""
     rooted = _rooted(rarest, roots)
     centres = rooted.groupBy("family", "item").agg(
         F.min(F.struct("apart", "node", "root")).alias("c")
     )
     met = rooted.join(centres, ["family", "item"]).where("root <> c.root")
     shared = met.groupBy("family", "node", F.col("c.node").alias("centre")).agg(
-        F.sum(1 / F.col("times")).alias("weight")
+        (2 * F.count(F.when(~F.col("usual"), 1)) - F.first("c.apart")).alias("weight")
     )
     most = shared.groupBy("node").agg(F.max(F.struct("weight", "centre")).alias("most"))
     return most.select("node", "most.centre").select(*_pair("node", "centre")).distinct()
 
 
-def _across(rarest: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of nodes that still lie apart."""
+def _across(rarest: DataFrame, roots: DataFrame, percent: int, least: int = 1) -> DataFrame:
+    """Candidate pairs of nodes that still lie apart.
+
+    If differences share ``t`` items, the first ``least`` of these have no rank beyond
+    their size less ``t`` plus ``least`` in either, so pairs with fewer there are no links.
+    """
     slack = (100 - percent) / (100 + percent)
-    rooted = _rooted(rarest.drop("times"), roots)
+    rooted = _rooted(rarest.drop("times", "usual"), roots)
     # Pairs within the largest component, most of a family, aren't formed.
     largest = (
         rooted.groupBy("family", "root").agg(F.count("*").alias("n"))
@@ -426,14 +447,18 @@ def _across(rarest: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         .select("family", F.col("top.root").alias("largest"))
     )
     rooted = rooted.join(largest, "family").withColumn("inside", F.col("root") == F.col("largest"))
-    less = rooted.where("rank <= narrow + 1.000001").drop("narrow", "largest")
+    less = rooted.where(f"rank <= narrow + {least}.000001 and not spared").drop(
+        "narrow", "largest", "spared"
+    )
     less = less.toDF(*(c if c in ("family", "item") else f"{c}_a" for c in less.columns))
-    more = rooted.drop("narrow", "largest")
+    more = rooted.drop("narrow", "largest", "spared", "first_spared")
     more = more.toDF(*(c if c in ("family", "item") else f"{c}_b" for c in more.columns))
     both = less.where("not inside_a").join(more, ["family", "item"]).unionByName(
         less.where("inside_a").join(more.where("not inside_b"), ["family", "item"])
     )
     most = f"{slack} * (n_shingles_a + n_shingles_b)"
+    last = f"(apart_a - apart_b + {most} + {2 * least}.000001) / 2"
+    spared = F.expr(f"greatest(0, floor({last}) - first_spared_a + 1)")
     return (
         both.where("apart_a < apart_b or (apart_a = apart_b and node_a < node_b)")
         .where("root_a <> root_b")
@@ -443,12 +468,18 @@ def _across(rarest: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
             f"{100 + percent} * (apart_b - apart_a)"
             f" <= {100 - percent} * (n_shingles_a + n_shingles_b)"
         )
-        .where(f"2 * rank_a <= apart_a - apart_b + {most} + 2.000001")
-        .where(f"2 * rank_b <= apart_b - apart_a + {most} + 2.000001")
+        .where(f"rank_a <= {last}")
+        .where(f"2 * rank_b <= apart_b - apart_a + {most} + {2 * least}.000001")
         .where(
             f"100 * least(n_shingles_a, n_shingles_b)"
             f" >= {percent} * greatest(n_shingles_a, n_shingles_b)"
         )
+        .groupBy("family", "node_a", "node_b")
+        .agg(
+            (F.count("*") + F.first(spared)).alias("shared"),
+            F.first(F.expr(f"apart_a + apart_b - {most}")).alias("twice"),
+        )
+        .where(f"shared >= {least} or 2 * shared + 0.000001 >= twice")
         .select(*_pair("node_a", "node_b"))
         .distinct()
     )
@@ -531,10 +562,13 @@ def _resolved(docs: DataFrame, words: int, percent: int) -> DataFrame:
     roots = _joined(roots, edges.union(_base_links(apart)), scratch, "near-common")
     apart = _from_middle(apart, roots, percent, scratch)
     roots = _joined(roots, _base_links(apart), scratch, "near-middle")
-    rarest = _rarest(apart, roots, percent, scratch)
+    # A changed word is in as many shingles as these have words: more than two of it are asked.
+    least = 2 * words + 1
+    rarest = _rarest(apart, roots, percent, scratch, least)
     closest = scratch.keep(_confirmed(_closest(rarest, roots), sets, percent), "closest")
     roots = _joined(roots, closest, scratch, "near-closest")
-    across = scratch.keep(_confirmed(_across(rarest, roots, percent), sets, percent), "across")
+    pairs = _across(rarest, roots, percent, least)
+    across = scratch.keep(_confirmed(pairs, sets, percent), "across")
     roots = _joined(roots, across, scratch, "linked")
 
     ids = (

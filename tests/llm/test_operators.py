@@ -416,6 +416,45 @@ def test_near_copies_that_stay_apart_make_few_candidates(spark, monkeypatch):
     assert sum(asked) <= 2 * len(texts)
 
 
+def test_middle_equals_brute_force_without_a_join_by_item(spark, monkeypatch):
+    draw = random.Random(8)
+    rows, sets = [], defaultdict(dict)
+    for node in range(120):
+        family = node % 3
+        common = [i for i in range(12) if draw.random() < 0.7]
+        items = [100 * family + i for i in common] + [10_000 * (node + 1) + i for i in range(node % 5)]
+        if family == 2:  # nothing that more than half of the family hold
+            items = [10_000 * (node + 1) + i for i in range(3)]
+        sets[family][node] = set(items)
+        rows.append((node, 90, family, family, 90, items, len(items), False))
+    apart = spark.createDataFrame(
+        rows, "node long, n_shingles long, family long, base long, n_base long, "
+        "items array<long>, apart int, near boolean",
+    )
+    plans = []
+    keep = Scratch.keep
+
+    def noted(scratch, frame, name):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return keep(scratch, frame, name)
+
+    monkeypatch.setattr(Scratch, "keep", noted)
+    roots = spark.createDataFrame([], "node long, root long")
+    found = set_sketch._from_middle(apart, roots, 80, Scratch(spark, "middle")).collect()
+    assert not [p for p in plans if re.search(r"Join Inner, .*item#", p)]
+    bases = {}
+    for family, nodes in sets.items():
+        held = [x for items in nodes.values() for x in items]
+        usual = {x for x in set(held) if 2 * held.count(x) > len(nodes)}
+        ways = [(len(x) - 2 * len(x & usual), node) for node, x in nodes.items()]
+        bases[family] = min(ways)[1] if min(ways)[0] < 0 else family
+    assert len(found) == 120 and bases[2] == 2 and {0, 1}.isdisjoint(bases[f] for f in (0, 1))
+    for r in found:
+        moved = sets[r.family][bases[r.family]] if r.family < 2 else set()
+        assert r.base == bases[r.family]
+        assert set(r["items"]) == sets[r.family][r.node] ^ moved and r.apart == len(r["items"])
+
+
 def test_candidates_just_at_the_threshold(spark):
     # One difference lies in the other: 40 of 360 is what similarity 0.8 leaves.
     rows = [(1, 180, 7, 9, 180, list(range(10)), 10, True),
@@ -430,6 +469,32 @@ def test_candidates_just_at_the_threshold(spark):
     assert [tuple(r) for r in pairs.collect()] == [(1, 2)]
 
 
+@pytest.mark.parametrize("least", [1, 5, 11])
+def test_candidates_hold_every_link(spark, least):
+    draw = random.Random(least)
+    universe = range(60)
+    sets = [set(universe) ^ set(draw.sample(range(90), draw.randint(0, 24))) for _ in range(60)]
+    base = sets[0]
+    rows = []
+    for node, one in enumerate(sets):
+        items = sorted(one ^ base)
+        near = 180 * len(items) <= 20 * (len(one) + len(base))
+        rows.append((node, len(one), 7, 0, len(base), items, len(items), near))
+    apart = spark.createDataFrame(
+        rows, "node long, n_shingles long, family long, base long, n_base long, "
+        "items array<long>, apart int, near boolean",
+    )
+    roots = spark.createDataFrame([(r[0], 0) for r in rows if r[-1]], "node long, root long")
+    top = {r[0]: 0 if r[-1] else r[0] for r in rows}
+    links = {
+        (i, j) for j in range(60) for i in range(j)
+        if top[i] != top[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+    }
+    rarest = set_sketch._rarest(apart, roots, 80, Scratch(spark, "links"), least)
+    pairs = {tuple(r) for r in set_sketch._across(rarest, roots, 80, least).collect()}
+    assert links and links <= pairs
+
+
 def test_field_is_fitted_to_long_documents(spark):
     rows = [(i, (GOOD_LINE if i % 2 else POOR_LINE) * 900) for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
