@@ -20,8 +20,7 @@ both, and two sets agree in a register about as often as their Jaccard similarit
    Of a linked pair the two differences share one of their rarest items. So each class is
    first compared with one that has many of its items, and pairs of what still lies apart
    come from an exact prefix join on those items: what a family has in common, which would
-   pair all its members, cancels out. Prefixes are so long that more items must meet in
-   them than two changed words account for.
+   pair all its members, cancels out.
 5. A pair is first estimated from both registers at once by maximum likelihood over
    the known sizes; one more than six deviations below the threshold goes. The rest
    is confirmed on the full sets of 64-bit shingle hashes.
@@ -374,11 +373,8 @@ def _from_middle(
     return scratch.keep(_near(rebased, percent), "from-middle")
 
 
-def _rarest(
-    apart: DataFrame, roots: DataFrame, percent: int, scratch: Scratch, least: int = 1
-) -> DataFrame:
-    """Of families still apart, the differences from the base that links have in common, so
-    far that ``least`` shared ones are among them."""
+def _rarest(apart: DataFrame, roots: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Of families still apart, the differences from the base that links have in common."""
     # |x - y| + |y - x| of linked sets is at most ``slack`` times |x| + |y|.
     slack = (100 - percent) / (100 + percent)
     apart = _still_apart(apart, roots)
@@ -401,20 +397,11 @@ def _rarest(
         "times", F.coalesce("times", F.lit(1))
     )
     rarest = Window.partitionBy("family", "node").orderBy("times", "item")
-    ranked = items.withColumn("rank", F.row_number().over(rarest)).withColumn(
-        "usual", F.expr("2 * times > n")
-    )
-    # A longer prefix doesn't meet others in what most of a family have. Those items are the
-    # last of its ranks; the first of them tells how many it is spared.
-    spared = F.expr(
-        f"usual and rank > narrow + 1.000001 and rank <= narrow + {least}.000001"
+    ranked = items.withColumn("rank", F.row_number().over(rarest)).where(
+        "rank <= wide + 1.000001 and times > 1"
     )
-    of_node = Window.partitionBy("family", "node")
-    ranked = ranked.withColumn("spared", spared).withColumn(
-        "first_spared", F.min(F.when(F.col("spared"), F.col("rank"))).over(of_node)
-    )
-    ranked = ranked.where(f"rank <= wide + {least}.000001 and times > 1")
-    return scratch.keep(ranked.drop("wide", "n"), "rarest")
+    usual = F.expr("2 * times > n").alias("usual")
+    return scratch.keep(ranked.select("*", usual).drop("wide", "times", "n"), "rarest")
 
 
 def _closest(rarest: DataFrame, roots: DataFrame) -> DataFrame:
@@ -432,14 +419,10 @@ def _closest(rarest: DataFrame, roots: DataFrame) -> DataFrame:
     return most.select("node", "most.centre").select(*_pair("node", "centre")).distinct()
 
 
-def _across(rarest: DataFrame, roots: DataFrame, percent: int, least: int = 1) -> DataFrame:
-    """Candidate pairs of nodes that still lie apart.
-
-    If differences share ``t`` items, the first ``least`` of these have no rank beyond
-    their size less ``t`` plus ``least`` in either, so pairs with fewer there are no links.
-    """
+def _across(rarest: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of nodes that still lie apart."""
     slack = (100 - percent) / (100 + percent)
-    rooted = _rooted(rarest.drop("times", "usual"), roots)
+    rooted = _rooted(rarest.drop("usual"), roots)
     # Pairs within the largest component, most of a family, aren't formed.
     largest = (
         rooted.groupBy("family", "root").agg(F.count("*").alias("n"))
@@ -447,18 +430,14 @@ def _across(rarest: DataFrame, roots: DataFrame, percent: int, least: int = 1) -
         .select("family", F.col("top.root").alias("largest"))
     )
     rooted = rooted.join(largest, "family").withColumn("inside", F.col("root") == F.col("largest"))
-    less = rooted.where(f"rank <= narrow + {least}.000001 and not spared").drop(
-        "narrow", "largest", "spared"
-    )
+    less = rooted.where("rank <= narrow + 1.000001").drop("narrow", "largest")
     less = less.toDF(*(c if c in ("family", "item") else f"{c}_a" for c in less.columns))
-    more = rooted.drop("narrow", "largest", "spared", "first_spared")
+    more = rooted.drop("narrow", "largest")
     more = more.toDF(*(c if c in ("family", "item") else f"{c}_b" for c in more.columns))
     both = less.where("not inside_a").join(more, ["family", "item"]).unionByName(
         less.where("inside_a").join(more.where("not inside_b"), ["family", "item"])
     )
     most = f"{slack} * (n_shingles_a + n_shingles_b)"
-    last = f"(apart_a - apart_b + {most} + {2 * least}.000001) / 2"
-    spared = F.expr(f"greatest(0, floor({last}) - first_spared_a + 1)")
     return (
         both.where("apart_a < apart_b or (apart_a = apart_b and node_a < node_b)")
         .where("root_a <> root_b")
@@ -468,18 +447,12 @@ def _across(rarest: DataFrame, roots: DataFrame, percent: int, least: int = 1) -
             f"{100 + percent} * (apart_b - apart_a)"
             f" <= {100 - percent} * (n_shingles_a + n_shingles_b)"
         )
-        .where(f"rank_a <= {last}")
-        .where(f"2 * rank_b <= apart_b - apart_a + {most} + {2 * least}.000001")
+        .where(f"2 * rank_a <= apart_a - apart_b + {most} + 2.000001")
+        .where(f"2 * rank_b <= apart_b - apart_a + {most} + 2.000001")
         .where(
             f"100 * least(n_shingles_a, n_shingles_b)"
             f" >= {percent} * greatest(n_shingles_a, n_shingles_b)"
         )
-        .groupBy("family", "node_a", "node_b")
-        .agg(
-            (F.count("*") + F.first(spared)).alias("shared"),
-            F.first(F.expr(f"apart_a + apart_b - {most}")).alias("twice"),
-        )
-        .where(f"shared >= {least} or 2 * shared + 0.000001 >= twice")
         .select(*_pair("node_a", "node_b"))
         .distinct()
     )
@@ -562,13 +535,10 @@ def _resolved(docs: DataFrame, words: int, percent: int) -> DataFrame:
     roots = _joined(roots, edges.union(_base_links(apart)), scratch, "near-common")
     apart = _from_middle(apart, roots, percent, scratch)
     roots = _joined(roots, _base_links(apart), scratch, "near-middle")
-    # A changed word is in as many shingles as these have words: more than two of it are asked.
-    least = 2 * words + 1
-    rarest = _rarest(apart, roots, percent, scratch, least)
+    rarest = _rarest(apart, roots, percent, scratch)
     closest = scratch.keep(_confirmed(_closest(rarest, roots), sets, percent), "closest")
     roots = _joined(roots, closest, scratch, "near-closest")
-    pairs = _across(rarest, roots, percent, least)
-    across = scratch.keep(_confirmed(pairs, sets, percent), "across")
+    across = scratch.keep(_confirmed(_across(rarest, roots, percent), sets, percent), "across")
     roots = _joined(roots, across, scratch, "linked")
 
     ids = (
